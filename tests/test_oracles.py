@@ -1,0 +1,22 @@
+"""Every registered query against its SQL twin."""
+
+import pytest
+from oracle import SF_DIR, difference
+
+import __spark_entry__ as contract
+
+
+def test_every_query_has_a_twin():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query(spark, name):
+    df = contract.queries()[name](spark, SF_DIR)
+    assert difference(df, contract.oracle_sql()[name]) == {}
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns[:4] == ["sport", "medal", "sex", "bio_country_noc"]
+    assert df.count() > 0
