@@ -9,21 +9,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _temporary(application: str) -> str:
+    return "file:" + tempfile.mkdtemp(prefix=f"tallystream-{application}-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get(SETTING, None)
     if base:
         return base.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that every executor can reach")
-    base = "file:" + tempfile.mkdtemp(prefix="tallystream-")
-    spark.conf.set(SETTING, base)
-    return base
+    return _temporary(spark.conf.get("spark.app.id"))
 
 
 def new_dir(spark: SparkSession, label: str) -> str:

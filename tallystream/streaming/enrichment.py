@@ -34,18 +34,23 @@ def enrichment_stream(
     """Running tallies of topic ``records`` joined to a raw ``biography`` table.
 
     Only the fields in use are parsed. The biography is read anew by every
-    micro-batch, so new athletes join from the next batch on; its size is checked
+    micro-batch, so athletes added to a database table join from the next batch on
+    (of a folder, the files it had when the stream was defined). Its size is checked
     for broadcasting when the stream is defined.
 
-    The event time is the time of processing, unless ``event_time`` names a field of
-    the record. The watermark only matters together with ``window``.
+    ``window`` adds a window over the event time as a group key. The event time is
+    the time of processing, unless ``event_time`` names a field of the record, and
+    ``watermark`` says how late a record may be. Without a window neither has any
+    effect on the results. They are left out then, because Spark follows each batch
+    that moves a watermark by an empty one, which reads the biography for nothing.
     """
     fields = [KEY, *RESULT_COLUMNS, *([event_time] if event_time else [])]
     results = parse_envelope(records, schema, fields, keep=POSITION)
-    stamp = F.col(event_time).try_cast("timestamp") if event_time else F.current_timestamp()
-    stamped = results.withColumn("event_time", stamp).withWatermark("event_time", watermark)
+    if window:
+        stamp = F.col(event_time).try_cast("timestamp") if event_time else F.current_timestamp()
+        results = results.withColumn("event_time", stamp).withWatermark("event_time", watermark)
     return enrich_agg(
-        stamped,
+        results,
         clean_biography(biography),
         window=window,
         broadcast_limit=broadcast_limit,

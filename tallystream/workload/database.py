@@ -13,7 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.operators import enrich_agg, clean_biography, latest_per_key
+from tallystream.operators import clean_biography, enrich_agg, latest_per_key
 from tallystream.sinks import jdbc_append, jdbc_sink
 from tallystream.sources import Database, jdbc_scan
 from tallystream.workload import domain

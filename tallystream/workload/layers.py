@@ -21,25 +21,24 @@ EVENING = datetime(2024, 8, 4, 20, 30, 15)
 NEXT_DAY = datetime(2024, 8, 5, 0, 0, 1)
 
 
-def _land(df: DataFrame, path: str) -> str:
-    df.write.option("header", "true").csv(path)
-    return path
-
-
-def _landed(spark: SparkSession, sf_dir: str, label: str) -> Layers:
+def _landed(
+    spark: SparkSession, sf_dir: str, label: str, tables: tuple[str, ...] = (BIOGRAPHY, RESULTS)
+) -> Layers:
     layers = Layers.below(new_dir(spark, label))
-    _land(domain.biographies(spark, sf_dir), layers.landing_file(BIOGRAPHY))
-    _land(domain.results(spark, sf_dir), layers.landing_file(RESULTS))
+    sources = {BIOGRAPHY: domain.biographies, RESULTS: domain.results}
+    for name in tables:
+        landing = sources[name](spark, sf_dir)
+        landing.write.option("header", "true").csv(layers.landing_file(name))
     return layers
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = _landed(spark, sf_dir, "csv")
+    layers = _landed(spark, sf_dir, "csv", (RESULTS,))
     return csv_landing_scan(spark, layers.landing_file(RESULTS))
 
 
 def csv_scan_bios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layers = _landed(spark, sf_dir, "csv")
+    layers = _landed(spark, sf_dir, "csv", (BIOGRAPHY,))
     return csv_landing_scan(spark, layers.landing_file(BIOGRAPHY))
 
 
@@ -148,7 +147,7 @@ QUERIES = {
 _TEXT_RESULTS = ", ".join(
     f"nullif(CAST({c} AS VARCHAR), '') AS {c}" for c in domain.RESULTS
 )
-# The CSV reader keeps leading blanks, which the writer trims by default.
+# The CSV writer trims blanks around a value by default.
 _TEXT_BIOS = ", ".join(
     f"nullif(trim(CAST({c} AS VARCHAR)), '') AS {c}" for c in domain.BIOGRAPHIES
 )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallystream.operators import BROADCAST_LIMIT, latest_per_key
-from tallystream.schemas import ENRICHED_TALLY
 from tallystream.functions import parse_envelope
+from tallystream.operators import BROADCAST_LIMIT, latest_per_key
+from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
 from tallystream.scratch import new_dir
 from tallystream.sinks import log_sink, replay_publish, topic_sink
 from tallystream.sources import Topic, file_topic, read_topic, stream_topic
@@ -18,12 +19,8 @@ from tallystream.workload.joins import rounded
 
 NOW = {"availableNow": True}
 
-
-def _publish(spark: SparkSession, sf_dir: str, topic: Topic, waves: range) -> None:
-    """Publish the rows of some waves; each row of ``events`` belongs to one wave."""
-    rows = domain.results(spark, sf_dir, f"{domain.WAVE} AS wave", "event_id AS offset")
-    chosen = rows.filter(F.col("wave").between(waves.start, waves.stop - 1)).drop("wave")
-    replay_publish(chosen, topic, keep=["offset"])
+# A result record that carries its own time.
+RECORD = T.StructType([*RESULT_EVENT.fields, T.StructField("at", T.StringType())])
 
 
 class _Job:
@@ -37,22 +34,39 @@ class _Job:
         self.log = f"{self.base}/log"
 
     def publish(self, waves: range) -> None:
-        _publish(self.spark, self.sf_dir, self.topic, waves)
+        """Publish the rows of some waves; each row of ``events`` belongs to one wave."""
+        rows = domain.results(
+            self.spark,
+            self.sf_dir,
+            f"{domain.WAVE} AS wave",
+            "event_id AS offset",
+            "concat(CAST(ts AS STRING), 'Z') AS at",
+        )
+        chosen = rows.filter(F.col("wave").between(waves.start, waves.stop - 1)).drop("wave")
+        replay_publish(chosen, self.topic, keep=["offset"])
+
+    def run(
+        self, run: int = 0, topic: Topic | None = None, output_mode: str = "update", **options
+    ) -> None:
+        """Consume what the topic holds, from where the last run stopped.
 
-    def run(self, topic: Topic | None = None, limit: int = BROADCAST_LIMIT) -> None:
-        """Consume what the topic holds, from where the last run stopped."""
+        The log tells the runs apart.
+        """
         tallies = enrichment_stream(
             stream_topic(self.spark, topic or self.topic),
             domain.biographies(self.spark, self.sf_dir),
-            broadcast_limit=limit,
+            schema=RECORD,
+            **options,
+        )
+        sinks = [topic_sink(self.out), log_sink(f"{self.log}/run={run}")]
+        query = start_enrichment(
+            tallies, sinks, f"{self.base}/checkpoint", trigger=NOW, output_mode=output_mode
         )
-        sinks = [topic_sink(self.out), log_sink(self.log)]
-        query = start_enrichment(tallies, sinks, f"{self.base}/checkpoint", trigger=NOW)
         query.awaitTermination()
 
     def totals(self) -> DataFrame:
         log = self.spark.read.parquet(self.log)
-        return rounded(latest_per_key(log).drop("batch_id"))
+        return rounded(latest_per_key(log).drop("run", "batch_id"))
 
 
 def final_totals(spark: SparkSession, sf_dir: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
@@ -61,7 +75,8 @@ def final_totals(spark: SparkSession, sf_dir: str, limit: int = BROADCAST_LIMIT)
     for wave in range(domain.WAVES):
         job.publish(range(wave, wave + 1))
     files = file_count(spark, job.topic.path) // domain.WAVES
-    job.run(file_topic(job.topic.path, maxFilesPerTrigger=str(max(files, 1))), limit)
+    topic = file_topic(job.topic.path, maxFilesPerTrigger=str(max(files, 1)))
+    job.run(topic=topic, broadcast_limit=limit)
     return job.totals()
 
 
@@ -75,7 +90,7 @@ def resumed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     job.publish(range(0, 1))
     job.run()
     job.publish(range(1, domain.WAVES))
-    job.run()
+    job.run(1)
     return job.totals()
 
 
@@ -84,16 +99,18 @@ def update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _Job(spark, sf_dir, "updates")
     for wave in range(domain.WAVES):
         job.publish(range(wave, wave + 1))
-        job.run()
-    log = spark.read.parquet(job.log)
-    batches = log.select("batch_id").distinct()
-    earlier = batches.select(F.col("batch_id").alias("earlier"))
-    numbered = (
-        batches.join(F.broadcast(earlier), F.col("earlier") <= F.col("batch_id"))
-        .groupBy("batch_id")
-        .agg((F.count("*") - 1).alias("wave"))
-    )
-    return rounded(log.join(F.broadcast(numbered), "batch_id").drop("batch_id"))
+        job.run(wave)
+    log = spark.read.parquet(job.log).drop("batch_id")
+    return rounded(log.withColumn("wave", F.col("run").cast("long")).drop("run"))
+
+
+def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tallies per day of the records' own time, each emitted once its day is over."""
+    job = _Job(spark, sf_dir, "windows")
+    job.publish(range(domain.WAVES))
+    job.run(output_mode="append", window="1 day", watermark="1 minute", event_time="at")
+    log = spark.read.parquet(job.log).drop("run", "batch_id")
+    return rounded(log.withColumn("day", F.unix_seconds("window.start")).drop("window"))
 
 
 def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +118,7 @@ def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _Job(spark, sf_dir, "fanout")
     for wave in range(domain.WAVES):
         job.publish(range(wave, wave + 1))
-        job.run()
+        job.run(wave)
     columns = ["sport", "medal", "sex", "bio_country_noc", "athlete_count"]
     logged = spark.read.parquet(job.log).select(*columns, F.lit(1).alias("log"), F.lit(0).alias("topic"))
     records = parse_envelope(read_topic(spark, job.out), ENRICHED_TALLY)
@@ -118,6 +135,7 @@ QUERIES = {
     "stream_enrich_agg_salted": final_totals_salted,
     "stream_resume": resumed_totals,
     "stream_update_log": update_log,
+    "stream_windowed_agg": closed_windows,
     "fanout_batch": fanned_out,
 }
 
@@ -129,11 +147,19 @@ _UPDATES = f"""
     HAVING max(j.wave) = w.wave
 """
 
+_DAY = "CAST(floor(epoch(ts) / 86400) * 86400 AS BIGINT)"
+
 ORACLES = {
     "stream_enrich_agg": domain.TALLY_SQL,
     "stream_enrich_agg_salted": domain.TALLY_SQL,
     "stream_resume": domain.TALLY_SQL,
     "stream_update_log": _UPDATES,
+    "stream_windowed_agg": f"""
+        SELECT {_DAY} AS day, {domain.TALLY_COLUMNS_SQL}
+        FROM ({domain.JOINED_SQL}) j JOIN events e ON j.result_id = CAST(e.event_id AS VARCHAR)
+        GROUP BY day, sport, medal, sex, bio_country_noc
+        HAVING {_DAY} + 86400 <= (SELECT epoch(max(ts)) - 60 FROM events)
+    """,
     "fanout_batch": f"""
         SELECT sport, medal, sex, bio_country_noc, athlete_count,
                count(*) AS in_log, count(*) AS in_topic

@@ -10,15 +10,12 @@ from tallystream.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         master="local[4]",
         shuffle_partitions=4,
-        conf={
-            "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": f"file:{tmp_path_factory.mktemp('shared')}",
-        },
+        conf={"spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
