@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bytes a broadcast side may take in memory. Spark's own limit is 8 GB, so a table
-# that is re-read by a long-running stream can grow a hundredfold before it matters.
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# that a long-running stream reads again and again can grow sixtyfold between starts.
+BROADCAST_LIMIT = 128 * 1024 * 1024
 
 _ROW_OVERHEAD = 32
 _WORD = 8

@@ -77,6 +77,25 @@ def test_updates_are_running_totals_of_touched_groups(stage, limit):
     assert seen == [{("judo", "Gold"): 2, ("judo", None): 2}, {("judo", "Gold"): 3}]
 
 
+def test_a_restart_may_choose_the_other_join(stage):
+    """State and offsets do not depend on whether the biography was broadcast."""
+    seen = []
+    for batch, limit in ((FIRST, 1 << 20), (SECOND, 0), (SECOND, 1 << 20)):
+        stage.send(batch)
+        stage.run([collector(seen)], broadcast_limit=limit)
+    assert [s["judo", "Gold"] for s in seen] == [2, 3, 4]
+
+
+def test_partitions_of_a_batch_are_merged(stage, spark):
+    parts = []
+    deliver = fanout_batch(
+        [lambda df, _: parts.append(df.rdd.getNumPartitions())], rows_per_task=10
+    )
+    for rows in (0, 5, 25):
+        deliver(spark.range(rows).repartition(8), rows)
+    assert parts == [1, 3]
+
+
 def test_several_batches_in_one_run(stage):
     for batch in (FIRST, SECOND, GARBAGE):
         stage.send(batch)
