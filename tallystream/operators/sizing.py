@@ -18,6 +18,8 @@ def _variable_bytes(field: T.StructField) -> Column | None:
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.StringType, T.BinaryType)):
         return F.coalesce(F.octet_length(column), F.lit(0)) + F.lit(_WORD)
+    if isinstance(field.dataType, T.DecimalType):
+        return F.lit(2 * _WORD)
     if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
         return F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) * F.lit(4)
     return None

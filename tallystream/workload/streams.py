@@ -69,6 +69,18 @@ class _Job:
         return rounded(latest_per_key(log).drop("run", "batch_id"))
 
 
+def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of a topic, followed as a stream, parsed and stored."""
+    job = _Job(spark, sf_dir, "records")
+    job.publish(range(domain.WAVES))
+    records = stream_topic(spark, job.topic).selectExpr("CAST(value AS STRING)")
+    parsed = parse_envelope(records, RESULT_EVENT)
+    writer = parsed.writeStream.format("parquet").trigger(**NOW)
+    query = writer.option("checkpointLocation", f"{job.base}/checkpoint").start(job.log)
+    query.awaitTermination()
+    return spark.read.parquet(job.log)
+
+
 def final_totals(spark: SparkSession, sf_dir: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """One run that takes the topic in several micro-batches."""
     job = _Job(spark, sf_dir, "stream")
@@ -131,6 +143,7 @@ def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "topic_stream": streamed_records,
     "stream_enrich_agg": final_totals,
     "stream_enrich_agg_salted": final_totals_salted,
     "stream_resume": resumed_totals,
@@ -150,6 +163,7 @@ _UPDATES = f"""
 _DAY = "CAST(floor(epoch(ts) / 86400) * 86400 AS BIGINT)"
 
 ORACLES = {
+    "topic_stream": f"SELECT {', '.join(domain.RESULTS)} FROM ({domain.RESULTS_SQL})",
     "stream_enrich_agg": domain.TALLY_SQL,
     "stream_enrich_agg_salted": domain.TALLY_SQL,
     "stream_resume": domain.TALLY_SQL,

@@ -147,6 +147,8 @@ def parsed(spark, *records):
         ('{"athlete_id":2.5,"sport":"s"}', (None, "s", None)),
         ('{"sport":5}', (None, "5", None)),
         ('{"sport":{"k":1},"other":2}', (None, '{"k":1}', None)),
+        ('{"athlete_id":1,"sport":"judo","edition":', (None, None, None)),
+        ('{"athlete_id":1,"edition_id":"x"}', (1, None, None)),
         ("not json", (None, None, None)),
         ("null", (None, None, None)),
         ('[{"athlete_id":4}]', (None, None, None)),
@@ -183,6 +185,35 @@ def test_envelope_timestamps_are_iso_with_milliseconds(spark):
     ]
 
 
+@pytest.mark.parametrize("record", ['{"athlete_id":1,"sport":"judo","edition":', '{"edition_id":"x","sport":"a"}'])
+def test_parsing_fewer_fields_changes_nothing(spark, record):
+    df = spark.createDataFrame([(record,)], "value string")
+    few = parse_envelope(df, RESULT_EVENT, ["athlete_id", "sport"]).collect()
+    assert few == parse_envelope(df, RESULT_EVENT).select("athlete_id", "sport").collect()
+
+
+TEXT = st.text(st.characters(exclude_categories=["Cs"]), max_size=20)
+
+
+@settings(max_examples=5, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(-(2**31), 2**31 - 1)), st.one_of(st.none(), TEXT)
+        ),
+        min_size=1,
+        max_size=100,
+    )
+)
+def test_envelope_round_trip(spark, pairs):
+    rows = [(n, athlete, sport) for n, (athlete, sport) in enumerate(pairs)]
+    df = spark.createDataFrame(rows, "n int, athlete_id int, sport string")
+    records = to_envelope(df, ["athlete_id"], keep=["n"])
+    back = parse_envelope(records, RESULT_EVENT, ["athlete_id", "sport"], keep=["n", "key"])
+    got = {r["n"]: (r["key"], r["athlete_id"], r["sport"]) for r in back.collect()}
+    assert got == {n: (None if a is None else str(a), a, s) for n, a, s in rows}
+
+
 def test_decode_topic_shows_absent_and_empty_keys_as_null(spark):
     rows = [(0, None, b'{"sport":"a"}'), (1, b"", b"{}"), (2, "é".encode(), b"x")]
     df = spark.createDataFrame(rows, "partition int, key binary, value binary")
