@@ -4,7 +4,9 @@ The same code serves batch and streaming results. The biography side is broadcas
 only if its measured size allows it; otherwise:
 
 * batch rows use a sort-merge join, whose hot keys AQE splits by map output;
-* streamed rows, for which there is no AQE, are spread over ``spread`` salts;
+* streamed rows, for which there is no AQE, are spread over ``spread`` salts, and the
+  biographies repeated as often; name the ``hot`` athletes (see ``hot_athletes``) to
+  confine that to them;
 * the batch aggregate first counts results per (athlete, sport, medal), so that a
   hot athlete reaches the join as a handful of rows.
 """
@@ -31,8 +33,20 @@ def _biography_side(biography: DataFrame) -> DataFrame:
     )
 
 
+def hot_athletes(results: DataFrame, share: float = 0.01) -> list[int]:
+    """Athletes with more than ``share`` of the rows; there are fewer than ``1 / share``."""
+    known = results.filter(F.col(KEY).isNotNull())
+    counts = known.groupBy(KEY).agg(F.count("*").alias("n"))
+    return [r[KEY] for r in counts.filter(F.col("n") > known.count() * share).collect()]
+
+
 def _join(
-    results: DataFrame, side: DataFrame, columns: Sequence[str], small: bool, spread: int
+    results: DataFrame,
+    side: DataFrame,
+    columns: Sequence[str],
+    small: bool,
+    spread: int,
+    hot: Sequence[int] | None,
 ) -> DataFrame:
     """Inner join on the athlete; ``columns`` of the results survive."""
     if small:
@@ -42,10 +56,14 @@ def _join(
     # The salt is a hash of the record (with its topic position, if there is one),
     # so a task that is run again puts its rows where the lost one put them.
     salt = F.pmod(F.xxhash64(*results.columns), F.lit(spread)).cast("int")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
+    salts = F.sequence(F.lit(0), F.lit(spread - 1))
+    if hot is not None:
+        is_hot = F.col(KEY).isin(list(hot))
+        salt = F.when(is_hot, salt).otherwise(F.lit(0))
+        salts = F.when(is_hot, salts).otherwise(F.array(F.lit(0)))
     return (
         results.select(KEY, *columns, salt.alias("salt"))
-        .join(side.withColumn("salt", salts).hint("merge"), [KEY, "salt"])
+        .join(side.withColumn("salt", F.explode(salts)).hint("merge"), [KEY, "salt"])
         .drop("salt")
     )
 
@@ -57,6 +75,7 @@ def enrich_join(
     carry: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """One row per result and matching biography; NULL athletes match nothing.
 
@@ -64,7 +83,8 @@ def enrich_join(
     """
     columns = (*RESULT_COLUMNS, *carry)
     side = _biography_side(biography)
-    joined = _join(results, side, columns, fits_broadcast(side, broadcast_limit), spread)
+    small = fits_broadcast(side, broadcast_limit)
+    joined = _join(results, side, columns, small, spread, hot)
     return joined.select(*columns, *PROFILE_COLUMNS, "height", "weight")
 
 
@@ -96,6 +116,7 @@ def enrich_agg(
     window: str | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Mean height, mean weight and row count per sport, medal, sex and country.
 
@@ -115,7 +136,7 @@ def enrich_agg(
     else:
         counted = results.groupBy(KEY, *keys).agg(F.count("*").alias("n"))
     return (
-        _join(counted, _profiles(biography), (*keys, "n"), small, spread)
+        _join(counted, _profiles(biography), (*keys, "n"), small, spread, hot)
         .groupBy(*keys, *PROFILE_COLUMNS)
         .agg(
             _mean("height"),

@@ -105,9 +105,10 @@ def run_gold(
     silver = read_day(spark, layers.silver_day(table, run_ts), missing)
     if silver is None:
         return None
-    counts = gold_counts(silver, keys)
-    _look(counts, preview_rows)
-    return overwrite_day(counts, layers.gold_day(run_ts))
+    path = overwrite_day(gold_counts(silver, keys), layers.gold_day(run_ts))
+    if preview_rows:
+        _look(spark.read.parquet(path), preview_rows)
+    return path
 
 
 def run_medallion(

@@ -30,13 +30,15 @@ def enrichment_stream(
     window: str | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Running tallies of topic ``records`` joined to a raw ``biography`` table.
 
     Only the fields in use are parsed. The biography is read anew by every
     micro-batch, so athletes added to a database table join from the next batch on
     (of a folder, the files it had when the stream was defined). Its size is checked
-    for broadcasting when the stream is defined.
+    for broadcasting when the stream is defined; ``spread`` and ``hot`` say how a hot
+    athlete is dealt with if it is too large (see ``operators.enrich``).
 
     ``window`` adds a window over the event time as a group key. The event time is
     the time of processing, unless ``event_time`` names a field of the record, and
@@ -55,6 +57,7 @@ def enrichment_stream(
         window=window,
         broadcast_limit=broadcast_limit,
         spread=spread,
+        hot=hot,
     )
 
 

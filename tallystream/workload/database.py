@@ -72,7 +72,7 @@ def appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink(first, 0)
     sink(everything, 1)
     jdbc_sink(database, name)(everything, 1)
-    log = jdbc_scan(spark, database, name)
+    log = jdbc_scan(spark, database, name, partition_column="batch_id")
     versions = log.groupBy("batch_id").agg(F.count("*").alias("rows_in_batch"))
     newest = latest_per_key(log)
     return rounded(newest.join(versions, "batch_id").drop("batch_id"))

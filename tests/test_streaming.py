@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from tallystream.functions import parse_envelope
-from tallystream.operators import clean_biography, enrich_agg, latest_per_key
+from tallystream.operators import clean_biography, enrich_agg, hot_athletes, latest_per_key
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT, TOPIC_RECORD
 from tallystream.sinks import fanout_batch, log_sink, replay_publish, topic_sink, write_topic
 from tallystream.sources import file_topic, kafka_topic, read_topic, stream_topic
@@ -170,6 +170,17 @@ def test_salts_depend_on_the_topic_position(stage, capsys):
     assert "SortMergeJoin" in plan
 
 
+def test_only_hot_athletes_are_salted(stage, capsys):
+    seen = []
+    for batch in (FIRST, SECOND):
+        stage.send(batch)
+        stage.run([collector(seen)], broadcast_limit=0, hot=[1], spread=4)
+    assert seen == [{("judo", "Gold"): 2, ("judo", None): 2}, {("judo", "Gold"): 3}]
+    results = parse_envelope(read_topic(stage.spark, stage.topic), RESULT_EVENT)
+    assert hot_athletes(results, 0.5) == [1]
+    assert sorted(hot_athletes(results, 0.1)) == [1, 2, 4]
+
+
 def test_fan_out_delivers_equal_rows_and_skips_empty_batches(stage, spark, capsys):
     out, log = file_topic(f"{stage.base}/out"), f"{stage.base}/log"
     deliver = fanout_batch([topic_sink(out), log_sink(log)], preview_rows=5)
