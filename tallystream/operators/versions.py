@@ -15,9 +15,10 @@ def latest_per_key(
 ) -> DataFrame:
     """The row with the highest ``version`` of each key; NULL is a key like any other.
 
-    ``max_by`` combines on the map side, so a key with many versions is no hot spot,
-    and a batch that was appended twice yields one row.
+    Rows with the same key and version must be copies of one another, as they are in a
+    log that the sinks wrote; one of them remains. Each column has its own ``max_by``:
+    numbers can be updated in place, which lets Spark aggregate by hash, whereas one
+    ``max_by`` over a struct makes it sort the whole log.
     """
     rest = [c for c in log.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), F.col(version)).alias("newest")
-    return log.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+    return log.groupBy(*keys).agg(*[F.max_by(c, version).alias(c) for c in rest])

@@ -180,11 +180,19 @@ def test_gold_counts_include_rows_without_a_medal(spark):
 
 def test_latest_per_key(spark):
     log = spark.createDataFrame(
-        [("a", None, 1, 0), ("a", None, 3, 2), ("a", None, 2, 1), ("a", None, 3, 2), ("b", "g", 9, 0)],
-        "sport string, medal string, n int, batch_id long",
+        [
+            ("a", None, 1.0, 5, 0),
+            ("a", None, None, 3, 2),
+            ("a", None, 2.0, 9, 1),
+            ("a", None, None, 3, 2),
+            ("b", "g", 9.0, None, 0),
+        ],
+        "sport string, medal string, mean double, n int, batch_id long",
     )
-    got = {tuple(r) for r in latest_per_key(log, ["sport", "medal"]).collect()}
-    assert got == {("a", None, 3, 2), ("b", "g", 9, 0)}
+    df = latest_per_key(log, ["sport", "medal"])
+    assert df.columns == log.columns
+    assert {tuple(r) for r in df.collect()} == {("a", None, None, 3, 2), ("b", "g", 9.0, None, 0)}
+    assert "SortAggregate" not in plan(df)
 
 
 def test_preview(spark, capsys):
