@@ -11,13 +11,15 @@ from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
 from tallystream.session import build_session
 from tallystream.sinks import jdbc_sink, replay_publish, topic_sink
 from tallystream.sources import Database, jdbc_scan, kafka_topic, stream_topic
-from tallystream.streaming import enrichment_stream, follow_topic, start_enrichment
+from tallystream.streaming import enrichment_stream, follow_topic, keep_enriching
 
 STAGES = ("bronze", "silver", "gold", "medallion")
 
 
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="submit.py", description=__doc__)
+    parser.add_argument("--shuffle-partitions", type=int, help="also the state-store partitions")
+    parser.add_argument("--initial-partitions", type=int, help="of batch shuffles, before merging")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     for stage in STAGES:
@@ -49,6 +51,7 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--output-topic", required=True)
     job.add_argument("--output-table", required=True)
     job.add_argument("--checkpoint", required=True)
+    job.add_argument("--replan-seconds", type=float, default=3600.0)
     job.add_argument("--preview", type=int, default=20, metavar="ROWS")
 
     job = jobs.add_parser("follow", parents=[topics], help="print the records of a topic")
@@ -69,7 +72,11 @@ def _topic(args: argparse.Namespace, name: str, **options):
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(f"tallystream-{args.job}")
+    spark = build_session(
+        f"tallystream-{args.job}",
+        shuffle_partitions=args.shuffle_partitions,
+        initial_partitions=args.initial_partitions,
+    )
     if args.job in STAGES:
         layers, rows = Layers.below(args.base), args.preview
         if args.job == "bronze":
@@ -88,16 +95,24 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "enrich":
         database = _database(args)
         source = _topic(args, args.topic, starting_offsets=args.starting_offsets)
-        biography = jdbc_scan(
-            spark, database, args.bio_table, partition_column=args.partition_column
-        )
-        tallies = enrichment_stream(stream_topic(spark, source), biography)
         sinks = [
             topic_sink(_topic(args, args.output_topic)),
             jdbc_sink(database, args.output_table),
         ]
-        query = start_enrichment(tallies, sinks, args.checkpoint, preview_rows=args.preview)
-        query.awaitTermination()
+
+        def define():
+            biography = jdbc_scan(
+                spark, database, args.bio_table, partition_column=args.partition_column
+            )
+            return enrichment_stream(stream_topic(spark, source), biography)
+
+        keep_enriching(
+            define,
+            sinks,
+            args.checkpoint,
+            seconds=args.replan_seconds,
+            preview_rows=args.preview,
+        )
     else:
         schema = RESULT_EVENT if args.records == "results" else ENRICHED_TALLY
         records = stream_topic(spark, _topic(args, args.topic))

@@ -25,13 +25,18 @@ def build_session(
     app: str = "tallystream",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    initial_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
     """Get or create a session.
 
-    ``shuffle_partitions`` is also the number of state-store partitions of a
-    streaming query, and that number is fixed by the first run of a checkpoint:
-    size it for the state expected later, not for the first day.
+    ``shuffle_partitions`` is the number of state-store partitions of a streaming
+    query, and that number is fixed by the first run of a checkpoint: size it for the
+    state expected later, not for the first day.
+
+    ``initial_partitions`` is what a batch shuffle starts with (by default as many).
+    AQE merges partitions that turn out small but never makes more, so choose the
+    largest shuffle divided by a few hundred megabytes.
     """
     builder = SparkSession.builder.appName(app)
     if master is not None:
@@ -39,6 +44,10 @@ def build_session(
     settings = dict(DEFAULTS)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions is not None:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            initial_partitions
+        )
     settings.update(conf or {})
     for name, value in settings.items():
         builder = builder.config(name, value)

@@ -1,3 +1,8 @@
-from tallystream.streaming.enrichment import enrichment_stream, follow_topic, start_enrichment
+from tallystream.streaming.enrichment import (
+    enrichment_stream,
+    follow_topic,
+    keep_enriching,
+    start_enrichment,
+)
 
-__all__ = ["enrichment_stream", "follow_topic", "start_enrichment"]
+__all__ = ["enrichment_stream", "follow_topic", "keep_enriching", "start_enrichment"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -86,6 +86,31 @@ def start_enrichment(
     return writer.start()
 
 
+def keep_enriching(
+    define: Callable[[], DataFrame],
+    sinks: Sequence[Sink],
+    checkpoint: str,
+    *,
+    seconds: float,
+    rounds: int | None = None,
+    **options: Any,
+) -> None:
+    """Run the job for good, but define it anew every ``seconds``.
+
+    ``define`` builds the tallies, so each round measures the biography again and
+    broadcasts it only if it still fits (and sees files added to a folder). A batch
+    that a round leaves unfinished is run again by the next one. ``options`` are those
+    of ``start_enrichment``; a query that ends by itself ends the job.
+    """
+    while rounds is None or rounds > 0:
+        query = start_enrichment(define(), sinks, checkpoint, **options)
+        if query.awaitTermination(seconds):
+            return
+        query.stop()
+        if rounds is not None:
+            rounds -= 1
+
+
 def follow_topic(
     records: DataFrame,
     schema: T.StructType,

@@ -1,0 +1,84 @@
+"""The continuous jobs from the command line, on folders instead of Kafka topics."""
+
+import uuid
+from functools import partial
+
+import pytest
+
+from tallystream import cli
+from tallystream.operators import latest_per_key
+from tallystream.sinks import jdbc_append
+from tallystream.sources import file_topic, jdbc_scan, read_topic
+from tallystream.workload.database import configured_database
+
+NOW = {"availableNow": True}
+BIOS = [(1, "1,80", "75,5", "F", "UKR"), (2, "", None, "M", "UKR"), (3, "180", "80", "M", "POL")]
+RESULTS = [(1, "judo", "Gold"), (1, "judo", "Gold"), (2, "judo", "Gold"), (3, "luge", None)]
+
+
+@pytest.fixture
+def topics(monkeypatch, tmp_path):
+    """Topic names become folders; jobs stop when they have read what is there."""
+    settings = []
+
+    def folder(servers, name, **options):
+        settings.append((servers, name, options))
+        return file_topic(f"file:{tmp_path}/{name}")
+
+    monkeypatch.setattr(cli, "kafka_topic", folder)
+    monkeypatch.setattr(cli, "keep_enriching", partial(cli.keep_enriching, trigger=NOW))
+    monkeypatch.setattr(cli, "follow_topic", partial(cli.follow_topic, trigger=NOW))
+    return settings
+
+
+def test_publish_enrich_follow(spark, tmp_path, topics):
+    database = configured_database(spark)
+    bio, results, out = (f"{n}_{uuid.uuid4().hex[:8]}" for n in ("bio", "results", "out"))
+    jdbc_append(
+        spark.createDataFrame(
+            BIOS, "athlete_id int, height string, weight string, sex string, country_noc string"
+        ),
+        database,
+        bio,
+    )
+    jdbc_append(
+        spark.createDataFrame(RESULTS, "athlete_id int, sport string, medal string"),
+        database,
+        results,
+    )
+    servers = ["--servers", "a:9092"]
+    jdbc = ["--jdbc-url", database.url, "--jdbc-driver", database.driver]
+    split = ["--partition-column", "athlete_id"]
+    cli.main(["publish", *servers, *jdbc, *split, "--table", results, "--topic", "in"])
+    assert read_topic(spark, file_topic(f"file:{tmp_path}/in")).count() == 4
+
+    enrich = ["enrich", *servers, *jdbc, *split, "--topic", "in", "--bio-table", bio]
+    enrich += ["--output-topic", "out", "--output-table", out]
+    enrich += ["--checkpoint", f"file:{tmp_path}/cp"]
+    cli.main(enrich)
+    totals = latest_per_key(jdbc_scan(spark, database, out)).collect()
+    assert {(r["sport"], r["medal"], r["sex"], r["athlete_count"]) for r in totals} == {
+        ("judo", "Gold", "F", 2),
+        ("luge", None, "M", 1),
+    }
+    assert read_topic(spark, file_topic(f"file:{tmp_path}/out")).count() == 2
+
+    cli.main(["publish", *servers, *jdbc, *split, "--table", results, "--topic", "in"])
+    cli.main(enrich)
+    totals = latest_per_key(jdbc_scan(spark, database, out)).collect()
+    assert {(r["sport"], r["athlete_count"]) for r in totals} == {("judo", 4), ("luge", 2)}
+
+    for records in ("results", "tallies"):
+        topic = "in" if records == "results" else "out"
+        follow = ["follow", *servers, "--topic", topic, "--records", records]
+        cli.main([*follow, "--checkpoint", f"file:{tmp_path}/follow-{records}"])
+    assert ("a:9092", "in", {"security_protocol": "PLAINTEXT", "starting_offsets": "earliest"}) in topics
+
+
+def test_password_comes_from_the_named_variable(monkeypatch):
+    monkeypatch.setenv("DB_PASSWORD", "secret")
+    args = cli._parser().parse_args(
+        ["publish", "--servers", "a", "--topic", "t", "--jdbc-url", "u", "--jdbc-driver", "d",
+         "--jdbc-user", "me", "--jdbc-password-env", "DB_PASSWORD"]
+    )
+    assert cli._database(args).options("x")["password"] == "secret"

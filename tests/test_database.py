@@ -59,6 +59,15 @@ def test_sink_completes_a_half_written_batch(spark, database, table):
     assert {r["batch_id"] for r in latest_per_key(log).collect()} == {2}
 
 
+def test_sink_looks_again_at_a_batch_that_comes_again(spark, database, table):
+    df = spark.createDataFrame([("judo", "Gold", "F", "UKR", 2)], ROW)
+    sink = jdbc_sink(database, table)
+    for batch_id in (3, 4, 4, 5):
+        sink(df, batch_id)
+    log = jdbc_scan(spark, database, table)
+    assert sorted(r["batch_id"] for r in log.collect()) == [3, 4, 5]
+
+
 def test_password_stays_out_of_sight():
     database = Database("jdbc:x", "d", "me", "secret", {"ssl": "true"})
     assert "secret" not in repr(database)

@@ -11,7 +11,12 @@ from tallystream.operators import clean_biography, enrich_agg, hot_athletes, lat
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT, TOPIC_RECORD
 from tallystream.sinks import fanout_batch, log_sink, replay_publish, topic_sink, write_topic
 from tallystream.sources import file_topic, kafka_topic, read_topic, stream_topic
-from tallystream.streaming import enrichment_stream, follow_topic, start_enrichment
+from tallystream.streaming import (
+    enrichment_stream,
+    follow_topic,
+    keep_enriching,
+    start_enrichment,
+)
 
 NOW = {"availableNow": True}
 BIO = "athlete_id string, height string, weight string, sex string, country_noc string"
@@ -86,6 +91,34 @@ def test_a_restart_may_choose_the_other_join(stage):
     assert [s["judo", "Gold"] for s in seen] == [2, 3, 4]
 
 
+def test_the_job_is_defined_anew_every_so_often(stage, spark):
+    """The second round sees an athlete whose biography came after the first."""
+    seen = []
+    waiting = [(FIRST, BIOS), ([record(9)], [*BIOS, ("9", "170", "70", "F", "UKR")])]
+
+    def define():
+        values, bios = waiting.pop(0)
+        stage.send(values)
+        stage.bio = spark.createDataFrame(bios, BIO)
+        return stage.tallies()
+
+    keep_enriching(define, [collector(seen)], f"{stage.base}/cp", seconds=12, rounds=2)
+    assert seen == [{("judo", "Gold"): 2, ("judo", None): 2}, {("judo", "Gold"): 3}]
+    assert not spark.streams.active
+
+
+def test_a_job_that_ends_by_itself_is_not_restarted(stage):
+    stage.send(FIRST)
+    calls = []
+
+    def define():
+        calls.append(1)
+        return stage.tallies()
+
+    keep_enriching(define, [], f"{stage.base}/cp", seconds=60, trigger=NOW)
+    assert calls == [1]
+
+
 def test_partitions_of_a_batch_are_merged(stage, spark):
     parts = []
     deliver = fanout_batch(
