@@ -6,11 +6,13 @@ import argparse
 import os
 from datetime import UTC, datetime
 
+from tallystream.functions import parse_envelope
+from tallystream.operators import hot_athletes
 from tallystream.plans import Layers, run_bronze, run_gold, run_medallion, run_silver
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
 from tallystream.session import build_session
 from tallystream.sinks import jdbc_sink, replay_publish, topic_sink
-from tallystream.sources import Database, jdbc_scan, kafka_topic, stream_topic
+from tallystream.sources import Database, jdbc_scan, kafka_topic, read_topic, stream_topic
 from tallystream.streaming import enrichment_stream, follow_topic, keep_enriching
 
 STAGES = ("bronze", "silver", "gold", "medallion")
@@ -52,6 +54,11 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--output-table", required=True)
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--replan-seconds", type=float, default=3600.0)
+    job.add_argument(
+        "--find-hot",
+        action="store_true",
+        help="count the topic's records per athlete first, to salt the dominant ones only",
+    )
     job.add_argument("--preview", type=int, default=20, metavar="ROWS")
 
     job = jobs.add_parser("follow", parents=[topics], help="print the records of a topic")
@@ -104,7 +111,11 @@ def main(argv: list[str] | None = None) -> None:
             biography = jdbc_scan(
                 spark, database, args.bio_table, partition_column=args.partition_column
             )
-            return enrichment_stream(stream_topic(spark, source), biography)
+            hot = None
+            if args.find_hot:
+                records = read_topic(spark, source)
+                hot = hot_athletes(parse_envelope(records, RESULT_EVENT, ["athlete_id"]))
+            return enrichment_stream(stream_topic(spark, source), biography, hot=hot)
 
         keep_enriching(
             define,

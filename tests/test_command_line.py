@@ -64,7 +64,7 @@ def test_publish_enrich_follow(spark, tmp_path, topics):
     assert read_topic(spark, file_topic(f"file:{tmp_path}/out")).count() == 2
 
     cli.main(["publish", *servers, *jdbc, *split, "--table", results, "--topic", "in"])
-    cli.main(enrich)
+    cli.main([*enrich, "--find-hot"])
     totals = latest_per_key(jdbc_scan(spark, database, out)).collect()
     assert {(r["sport"], r["athlete_count"]) for r in totals} == {("judo", 4), ("luge", 2)}
 
