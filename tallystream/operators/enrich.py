@@ -3,10 +3,11 @@
 The same code serves batch and streaming results. The biography side is broadcast
 only if its measured size allows it; otherwise:
 
-* batch rows use a sort-merge join, whose hot keys AQE splits by map output;
-* streamed rows, for which there is no AQE, are spread over ``spread`` salts, and the
-  biographies repeated as often; name the ``hot`` athletes (see ``hot_athletes``) to
-  confine that to them;
+* batch rows use a sort-merge join, whose hot keys AQE splits by map output, or, if the
+  ``hot`` athletes are named (see ``hot_athletes``), their rows are spread over
+  ``spread`` salts and their biographies repeated as often;
+* streamed rows, for which there is no AQE, are salted too: all of them, unless the
+  ``hot`` athletes are named;
 * the batch aggregate first counts results per (athlete, sport, medal), so that a
   hot athlete reaches the join as a handful of rows.
 """
@@ -51,7 +52,7 @@ def _join(
     """Inner join on the athlete; ``columns`` of the results survive."""
     if small:
         return results.select(KEY, *columns).join(F.broadcast(side), KEY)
-    if not results.isStreaming:
+    if hot is None and not results.isStreaming:
         return results.select(KEY, *columns).join(side.hint("merge"), KEY)
     # The salt is a hash of the record (with its topic position, if there is one),
     # so a task that is run again puts its rows where the lost one put them.

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.operators import BROADCAST_LIMIT, clean_biography, enrich_agg, enrich_join
+from tallystream.operators import (
+    BROADCAST_LIMIT,
+    clean_biography,
+    enrich_agg,
+    enrich_join,
+    hot_athletes,
+)
 from tallystream.workload import domain
 
 
@@ -35,11 +41,20 @@ def rows_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows(spark, sf_dir, limit=0)
 
 
+def rows_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a broadcast, and with salts for athletes that hold over 1% of the results."""
+    biography = clean_biography(domain.biographies(spark, sf_dir))
+    results = domain.results(spark, sf_dir)
+    hot = hot_athletes(results)
+    return enrich_join(results, biography, carry=["result_id"], broadcast_limit=0, hot=hot)
+
+
 QUERIES = {
     "enrich_agg": tallies,
     "enrich_agg_shuffled": tallies_without_broadcast,
     "enrich_join": rows,
     "enrich_join_shuffled": rows_without_broadcast,
+    "enrich_join_hot": rows_salted,
 }
 
 _ROWS_SQL = (
@@ -52,4 +67,5 @@ ORACLES = {
     "enrich_agg_shuffled": domain.TALLY_SQL,
     "enrich_join": _ROWS_SQL,
     "enrich_join_shuffled": _ROWS_SQL,
+    "enrich_join_hot": _ROWS_SQL,
 }

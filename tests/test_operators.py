@@ -13,6 +13,7 @@ from tallystream.operators import (
     enrich_join,
     fits_broadcast,
     gold_counts,
+    hot_athletes,
     latest_per_key,
     measured_bytes,
     preview,
@@ -79,6 +80,19 @@ def test_enrich_agg_edge_rows(results, bio, limit):
     assert got["luge", "Silver"]["avg_height"] == 175.0
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_enrich_agg_per_window(results, bio, limit):
+    minute = F.when(F.col("country_noc") == "BBB", 11).otherwise(3)
+    stamped = results.withColumn("event_time", F.make_timestamp(
+        F.lit(2024), F.lit(8), F.lit(4), F.lit(10), minute, F.lit(0)
+    ))
+    df = enrich_agg(stamped, bio, window="10 minutes", broadcast_limit=limit)
+    got = {(r["window"]["start"].minute, r["sport"], r["medal"], r["athlete_count"]) for r in df.collect()}
+    assert got == {
+        (0, "judo", "Gold", 1), (10, "judo", "Gold", 1), (0, "judo", None, 2), (0, "luge", "Silver", 1)
+    }
+
+
 @pytest.mark.parametrize("limit", [0, 1 << 20])
 def test_enrich_agg_with_hot_keys_equals_brute_force(spark, limit):
     """One athlete holds a third of the results and a third of the biographies."""
@@ -153,6 +167,25 @@ def test_hot_athlete_is_split_at_run_time(spark, bio):
             spark.conf.set(name, value)
 
 
+def test_hot_athletes_are_salted_on_request(spark, bio):
+    """The rows of the named athlete meet its biography in several partitions, once each."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).cast("int")
+        rows = spark.range(0, 6000).select(
+            hot.alias("athlete_id"), F.lit("judo").alias("sport"), F.col("id").alias("medal")
+        )
+        assert hot_athletes(rows) == [1]
+        joined = enrich_join(rows, bio, broadcast_limit=0, hot=[1], spread=32)
+        place = joined.filter("medal % 3 = 0").select(F.spark_partition_id().alias("p"))
+        sizes = [r["count"] for r in place.groupBy("p").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(sizes) == 2000 and len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert joined.count() == 2000 + 1 + 2
+
+
 def test_measured_bytes_grows_with_text_and_nesting(spark):
     short = spark.range(10).select(F.lit("a").alias("t"))
     long = spark.range(10).select(F.lit("a" * 1000).alias("t"))
