@@ -68,6 +68,15 @@ def test_sink_looks_again_at_a_batch_that_comes_again(spark, database, table):
     assert sorted(r["batch_id"] for r in log.collect()) == [3, 4, 5]
 
 
+def test_filters_and_columns_reach_the_database(spark, database, table):
+    df = spark.createDataFrame([("judo", "Gold", "F", "UKR", 2)], ROW)
+    jdbc_append(df, database, table)
+    scan = jdbc_scan(spark, database, table).filter("athlete_count = 2").select("sport")
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "*EqualTo(athlete_count,2)" in plan
+    assert "ReadSchema: struct<sport:string>" in plan
+
+
 def test_password_stays_out_of_sight():
     database = Database("jdbc:x", "d", "me", "secret", {"ssl": "true"})
     assert "secret" not in repr(database)

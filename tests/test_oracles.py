@@ -1,11 +1,17 @@
 """Every registered query against its SQL twin."""
 
+import re
+
 import pytest
 from oracle import SF_DIR, difference
 
 import __spark_entry__ as contract
 
 
+# A preview is a global limit.
+ALLOWED = {("preview", "SinglePartition")}
+
+
 def test_every_query_has_a_twin():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
@@ -14,6 +20,40 @@ def test_every_query_has_a_twin():
 def test_query(spark, name):
     df = contract.queries()[name](spark, SF_DIR)
     assert difference(df, contract.oracle_sql()[name]) == {}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("EvalPython", "CartesianProduct", "NestedLoopJoin", "SinglePartition"):
+        assert unwanted not in plan or (name, unwanted) in ALLOWED
+
+
+def read_schema(df):
+    """Columns that each Parquet scan of the plan reads."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [set(re.findall(r"(\w+):", schema)) for schema in re.findall(r"ReadSchema: struct<(.*?)>", plan)]
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("gold_counts", [{"user_id", "event_type", "props"}]),
+        ("gold_counts_part", [{"p_brand", "p_type", "p_size"}]),
+        ("json_props", [{"event_id", "props"}]),
+        ("clean_sql_functions", [{"p_partkey", "p_name", "p_brand"}]),
+        (
+            "enrich_agg",
+            [
+                {"user_id", "event_type", "props"},
+                {"c_custkey", "c_nationkey"},
+                {"c_custkey", "c_nationkey"},
+            ],
+        ),
+    ],
+)
+def test_scans_read_only_what_is_used(spark, name, columns):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        assert read_schema(contract.queries()[name](spark, SF_DIR)) == columns
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_entry(spark):
