@@ -85,7 +85,8 @@ def main() -> None:
     seconds = {}
     for name, query in cases.items():
         timed(query, spark, sf_dir)
-        seconds[name] = round(statistics.median(timed(query, spark, sf_dir) for _ in range(runs)), 3)
+        times = [timed(query, spark, sf_dir) for _ in range(runs)]
+        seconds[name] = round(statistics.median(times), 3)
     spark.stop()
     line = {
         "metric": "sum of median query times",

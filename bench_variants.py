@@ -50,10 +50,8 @@ def pairs(spark: SparkSession, sf_dir: str):
     """(name, {variant: function giving a DataFrame or None}); the first variant is ours."""
     documents = domain.table(spark, sf_dir, "documents")
     lines = domain.table(spark, sf_dir, "lineitem")
-    short = stored(
-        lines.select(F.concat_ws("-", *[c for c in lines.columns if c != "l_shipdate"]).alias("text")),
-        "short",
-    )
+    words = [c for c in lines.columns if c != "l_shipdate"]
+    short = stored(lines.select(F.concat_ws("-", *words).alias("text")), "short")
     by_row = F.udf(python_clean, "string", useArrow=False)
     by_arrow = F.udf(python_clean, "string", useArrow=True)
     for name, df in (("clean long text", documents), ("clean short text", short)):

@@ -54,8 +54,8 @@ def _join(
         return results.select(KEY, *columns).join(F.broadcast(side), KEY)
     if hot is None and not results.isStreaming:
         return results.select(KEY, *columns).join(side.hint("merge"), KEY)
-    # The salt is a hash of the record (with its topic position, if there is one),
-    # so a task that is run again puts its rows where the lost one put them.
+    # The salt is a hash of the record with its topic position or whatever else tells it
+    # from its copies, so a task that is run again puts its rows where the lost one did.
     salt = F.pmod(F.xxhash64(*results.columns), F.lit(spread)).cast("int")
     salts = F.sequence(F.lit(0), F.lit(spread - 1))
     if hot is not None:

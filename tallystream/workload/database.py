@@ -33,7 +33,7 @@ def configured_database(spark: SparkSession) -> Database:
         )
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError(f"set {SETTING}.url and {SETTING}.driver to a database all executors reach")
+        raise ValueError(f"set {SETTING}.url and .driver to a database all executors reach")
     spark._jvm.java.lang.System.setProperty("derby.stream.error.file", "/dev/null")
     return Database(
         "jdbc:derby:memory:tallystream;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
@@ -55,8 +55,8 @@ def scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tallies over a biography table that lives in the database."""
     database, name = configured_database(spark), _table("bio")
-    raw = domain.biographies(spark, sf_dir).withColumn("athlete_id", F.col("athlete_id").cast("int"))
-    jdbc_append(raw, database, name)
+    raw = domain.biographies(spark, sf_dir)
+    jdbc_append(raw.withColumn("athlete_id", F.col("athlete_id").cast("int")), database, name)
     biography = jdbc_scan(spark, database, name, partition_column="athlete_id")
     return rounded(enrich_agg(domain.results(spark, sf_dir), clean_biography(biography)))
 

@@ -63,10 +63,12 @@ def parse_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh record quotes its id, every eleventh is no object at all."""
+    quoted = F.format_string('{"athlete_id":"%d"}', "user_id")
+    sound = F.format_string('{"extra":{},"sport":{"k":1},"athlete_id":%d}', "user_id")
     broken = (
         F.when(F.col("event_id") % 11 == 0, F.lit("[1, 2]"))
-        .when(F.col("event_id") % 7 == 0, F.concat(F.lit('{"athlete_id":"'), "user_id", F.lit('"}')))
-        .otherwise(F.concat(F.lit('{"extra":{},"sport":{"k":1},"athlete_id":'), "user_id", F.lit("}")))
+        .when(F.col("event_id") % 7 == 0, quoted)
+        .otherwise(sound)
     )
     records = table(spark, sf_dir, "events").select("event_id", broken.alias("value"))
     return parse_envelope(records, RESULT_EVENT, ["athlete_id", "sport"], keep=["event_id"])
@@ -143,9 +145,12 @@ ORACLES = {
     "json_parse_malformed": (
         "SELECT event_id, CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 "
         "THEN CAST(user_id AS INTEGER) END AS athlete_id, "
-        "CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 THEN '{\"k\":1}' END AS sport FROM events"
+        "CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 THEN '{\"k\":1}' END AS sport "
+        "FROM events"
+    ),
+    "json_props": (
+        "SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events"
     ),
-    "json_props": "SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events",
     "preview": " UNION ALL ".join(
         f"SELECT '{name}' AS name, least(count(*), 20) AS n FROM {name}"
         for name in ("events", "orders", "documents", "nation", "region")

@@ -86,9 +86,8 @@ def silver_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = Layers.below(new_dir(spark, "guard"))
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     overwrite_day(part, layers.silver_day("part", MORNING))
-    days = [
-        read_day(spark, layers.silver_day("part", day), missing="skip") for day in (MORNING, NEXT_DAY)
-    ]
+    paths = [layers.silver_day("part", day) for day in (MORNING, NEXT_DAY)]
+    days = [read_day(spark, path, missing="skip") for path in paths]
     present = [day for day in days if day is not None]
     return present[0].withColumn("days_present", F.lit(len(present)))
 

@@ -142,7 +142,8 @@ def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
         job.publish(range(wave, wave + 1))
         job.run(wave)
     columns = ["sport", "medal", "sex", "bio_country_noc", "athlete_count"]
-    logged = spark.read.parquet(job.log).select(*columns, F.lit(1).alias("log"), F.lit(0).alias("topic"))
+    log = spark.read.parquet(job.log)
+    logged = log.select(*columns, F.lit(1).alias("log"), F.lit(0).alias("topic"))
     records = parse_envelope(read_topic(spark, job.out), ENRICHED_TALLY)
     sent = records.select(*columns, F.lit(0).alias("log"), F.lit(1).alias("topic"))
     return (

@@ -14,8 +14,8 @@ from tallystream.workload.joins import rounded, tallies
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = domain.results(spark, sf_dir).select("sport", "medal", "edition_id", "athlete_id", "event")
-    return to_envelope(rows, ["sport"])
+    columns = ["sport", "medal", "edition_id", "athlete_id", "event"]
+    return to_envelope(domain.results(spark, sf_dir).select(*columns), ["sport"])
 
 
 def envelope_full_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,8 @@ def decoded_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = file_topic(new_dir(spark, "decode"))
     rows = domain.results(spark, sf_dir, "CAST(event_id % 4 AS INT) AS partition")
     replay_publish(rows, topic, keep=["partition"])
-    return decode_topic(read_topic(spark, topic), RESULT_EVENT).select("partition", "key", "value.*")
+    decoded = decode_topic(read_topic(spark, topic), RESULT_EVENT)
+    return decoded.select("partition", "key", "value.*")
 
 
 def decoded_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +66,8 @@ ORACLES = {
     "envelope_sink_full_key": (
         """SELECT concat('{"sport":"', sport, '"', CASE WHEN medal IS NULL THEN '' """
         """ELSE concat(',"medal":"', medal, '"') END, '}') AS key, """
-        f"""concat('{{"sport":"', sport, '",', {_MEDAL}, '"edition_id":', edition_id, '}}') AS value """
-        f"FROM ({domain.RESULTS_SQL})"
+        f"""concat('{{"sport":"', sport, '",', {_MEDAL}, '"edition_id":', edition_id, '}}') """
+        f"AS value FROM ({domain.RESULTS_SQL})"
     ),
     "replay_publish": (
         f"SELECT CAST(athlete_id AS STRING) AS key, {_COLUMNS} FROM ({domain.RESULTS_SQL})"
