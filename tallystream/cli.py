@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import os
 from datetime import UTC, datetime
+from functools import partial
 
 from tallystream.functions import parse_envelope
 from tallystream.operators import hot_athletes
@@ -57,7 +58,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument(
         "--find-hot",
         action="store_true",
-        help="count the topic's records per athlete first, to salt the dominant ones only",
+        help="if the biographies are too large to broadcast, count the topic's records per "
+        "athlete, to salt the dominant ones only",
     )
     job.add_argument("--preview", type=int, default=20, metavar="ROWS")
 
@@ -113,8 +115,8 @@ def main(argv: list[str] | None = None) -> None:
             )
             hot = None
             if args.find_hot:
-                records = read_topic(spark, source)
-                hot = hot_athletes(parse_envelope(records, RESULT_EVENT, ["athlete_id"]))
+                records = parse_envelope(read_topic(spark, source), RESULT_EVENT, ["athlete_id"])
+                hot = partial(hot_athletes, records)
             return enrichment_stream(stream_topic(spark, source), biography, hot=hot)
 
         keep_enriching(

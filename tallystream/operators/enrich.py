@@ -14,7 +14,7 @@ only if its measured size allows it; otherwise:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,9 @@ RESULT_COLUMNS = ("sport", "medal")
 PROFILE_COLUMNS = ("sex", "bio_country_noc")
 SPREAD = 16
 
+# Athletes to salt, or a function that finds them, called only if salts are needed.
+Hot = Sequence[int] | Callable[[], Sequence[int]] | None
+
 
 def _biography_side(biography: DataFrame) -> DataFrame:
     # Both sides have a country_noc; the biography's is the one that is kept.
@@ -47,7 +50,7 @@ def _join(
     columns: Sequence[str],
     small: bool,
     spread: int,
-    hot: Sequence[int] | None,
+    hot: Hot,
 ) -> DataFrame:
     """Inner join on the athlete; ``columns`` of the results survive."""
     if small:
@@ -59,7 +62,7 @@ def _join(
     salt = F.pmod(F.xxhash64(*results.columns), F.lit(spread)).cast("int")
     salts = F.sequence(F.lit(0), F.lit(spread - 1))
     if hot is not None:
-        is_hot = F.col(KEY).isin(list(hot))
+        is_hot = F.col(KEY).isin(list(hot() if callable(hot) else hot))
         salt = F.when(is_hot, salt).otherwise(F.lit(0))
         salts = F.when(is_hot, salts).otherwise(F.array(F.lit(0)))
     return (
@@ -76,7 +79,7 @@ def enrich_join(
     carry: Sequence[str] = (),
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
-    hot: Sequence[int] | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """One row per result and matching biography; NULL athletes match nothing.
 
@@ -117,7 +120,7 @@ def enrich_agg(
     window: str | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
-    hot: Sequence[int] | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """Mean height, mean weight and row count per sport, medal, sex and country.
 

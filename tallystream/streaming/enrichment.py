@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.functions.envelope import decode_topic, parse_envelope
 from tallystream.operators.biography import clean_biography
-from tallystream.operators.enrich import KEY, RESULT_COLUMNS, SPREAD, enrich_agg
+from tallystream.operators.enrich import KEY, RESULT_COLUMNS, SPREAD, Hot, enrich_agg
 from tallystream.operators.sizing import BROADCAST_LIMIT
 from tallystream.schemas import RESULT_EVENT
 from tallystream.sinks.fanout import Sink, fanout_batch
@@ -30,7 +30,7 @@ def enrichment_stream(
     window: str | None = None,
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
-    hot: Sequence[int] | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """Running tallies of topic ``records`` joined to a raw ``biography`` table.
 

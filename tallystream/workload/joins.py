@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,8 +47,13 @@ def rows_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without a broadcast, and with salts for athletes that hold over 1% of the results."""
     biography = clean_biography(domain.biographies(spark, sf_dir))
     results = domain.results(spark, sf_dir)
-    hot = hot_athletes(results)
-    return enrich_join(results, biography, carry=["result_id"], broadcast_limit=0, hot=hot)
+    return enrich_join(
+        results,
+        biography,
+        carry=["result_id"],
+        broadcast_limit=0,
+        hot=partial(hot_athletes, results),
+    )
 
 
 QUERIES = {

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystream.functions import parse_envelope
-from tallystream.operators import BROADCAST_LIMIT, hot_athletes, latest_per_key
+from tallystream.operators import hot_athletes, latest_per_key
 from tallystream.operators.enrich import KEY
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
 from tallystream.scratch import new_dir
@@ -51,13 +53,15 @@ class _Job:
     ) -> None:
         """Consume what the topic holds, from where the last run stopped.
 
-        The log tells the runs apart.
+        The log tells the runs apart. If the biographies are too large to broadcast,
+        the records of athletes that hold over 1% of them are salted.
         """
+        records = parse_envelope(read_topic(self.spark, self.topic), RECORD, [KEY])
         tallies = enrichment_stream(
             stream_topic(self.spark, topic or self.topic),
             domain.biographies(self.spark, self.sf_dir),
             schema=RECORD,
-            **options,
+            **{"hot": partial(hot_athletes, records), **options},
         )
         sinks = [topic_sink(self.out), log_sink(f"{self.log}/run={run}")]
         query = start_enrichment(
@@ -82,28 +86,25 @@ def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(job.log)
 
 
-def final_totals(spark: SparkSession, sf_dir: str, limit: int = BROADCAST_LIMIT) -> DataFrame:
+def final_totals(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """One run that takes the topic in several micro-batches."""
     job = _Job(spark, sf_dir, "stream")
     for wave in range(domain.WAVES):
         job.publish(range(wave, wave + 1))
     files = file_count(spark, job.topic.path) // domain.WAVES
     topic = file_topic(job.topic.path, maxFilesPerTrigger=str(max(files, 1)))
-    job.run(topic=topic, broadcast_limit=limit)
+    job.run(topic=topic, **options)
     return job.totals()
 
 
 def final_totals_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return final_totals(spark, sf_dir, limit=0)
+    """As above, without a broadcast and with salts for all athletes."""
+    return final_totals(spark, sf_dir, broadcast_limit=0, hot=None)
 
 
 def final_totals_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As above, with salts for the athletes that hold most of the topic's records only."""
-    job = _Job(spark, sf_dir, "hot")
-    job.publish(range(domain.WAVES))
-    results = parse_envelope(read_topic(spark, job.topic), RESULT_EVENT, [KEY])
-    job.run(broadcast_limit=0, hot=hot_athletes(results))
-    return job.totals()
+    """As above, without a broadcast and with salts for the dominant athletes only."""
+    return final_totals(spark, sf_dir, broadcast_limit=0)
 
 
 def resumed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:

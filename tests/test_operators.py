@@ -177,7 +177,9 @@ def test_hot_athletes_are_salted_on_request(spark, bio):
             hot.alias("athlete_id"), F.lit("judo").alias("sport"), F.col("id").alias("medal")
         )
         assert hot_athletes(rows) == [1]
-        joined = enrich_join(rows, bio, broadcast_limit=0, hot=[1], spread=32)
+        joined = enrich_join(
+            rows, bio, broadcast_limit=0, hot=lambda: hot_athletes(rows), spread=32
+        )
         place = joined.filter("medal % 3 = 0").select(F.spark_partition_id().alias("p"))
         sizes = [r["count"] for r in place.groupBy("p").count().collect()]
     finally:
@@ -186,6 +188,13 @@ def test_hot_athletes_are_salted_on_request(spark, bio):
     assert joined.count() == 2000 + 1 + 2
 
 
+def test_hot_athletes_are_not_looked_for_without_need(results, bio):
+    def fail():
+        raise AssertionError("called")
+
+    assert enrich_join(results, bio, hot=fail).count() == 5
+
+
 def test_measured_bytes_grows_with_text_and_nesting(spark):
     short = spark.range(10).select(F.lit("a").alias("t"))
     long = spark.range(10).select(F.lit("a" * 1000).alias("t"))
