@@ -71,7 +71,8 @@ def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(sound)
     )
     records = table(spark, sf_dir, "events").select("event_id", broken.alias("value"))
-    return parse_envelope(records, RESULT_EVENT, ["athlete_id", "sport"], keep=["event_id"])
+    parsed = parse_envelope(records, RESULT_EVENT, ["athlete_id", "sport"], keep=["event_id"])
+    return parsed.withColumn("athlete_id", F.col("athlete_id").cast("string"))
 
 
 def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +145,7 @@ ORACLES = {
     "json_parse": _PLAIN_RESULTS,
     "json_parse_malformed": (
         "SELECT event_id, CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 "
-        "THEN CAST(user_id AS INTEGER) END AS athlete_id, "
+        "THEN CAST(user_id AS VARCHAR) END AS athlete_id, "
         "CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 THEN '{\"k\":1}' END AS sport "
         "FROM events"
     ),
