@@ -25,6 +25,13 @@ class Topic:
     path: str | None = None
     schema: T.StructType | None = None
 
+    def table_options(self) -> dict[str, str]:
+        """Read options for a finite read, which Kafka does not let start at ``latest``."""
+        options = dict(self.read_options)
+        if options.get("startingOffsets") == "latest":
+            options["startingOffsets"] = "earliest"
+        return options
+
 
 def kafka_topic(
     servers: str,
@@ -72,7 +79,7 @@ def file_topic(path: str, **read_options: str) -> Topic:
 
 def read_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     """All records that the topic holds now."""
-    reader = spark.read.format(topic.format).options(**topic.read_options)
+    reader = spark.read.format(topic.format).options(**topic.table_options())
     if topic.schema is not None:
         reader = reader.schema(topic.schema)
     return reader.load(topic.path)

@@ -254,6 +254,14 @@ def test_follow_topic_remembers_its_position(stage, spark):
         assert sum(p["numInputRows"] for p in query.recentProgress) == expected
 
 
+def test_a_table_of_a_topic_starts_with_the_first_record():
+    topic = kafka_topic("a:9092", "results", starting_offsets="latest")
+    assert topic.read_options["startingOffsets"] == "latest"
+    assert topic.table_options() == {**topic.read_options, "startingOffsets": "earliest"}
+    given = kafka_topic("a:9092", "results", starting_offsets='{"results":{"0":5}}')
+    assert given.table_options() == given.read_options
+
+
 def test_kafka_options_are_on_the_side_that_reads_them():
     topic = kafka_topic(
         "a:9092,b:9092", "results", security_protocol="SASL_SSL",
