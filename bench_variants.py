@@ -36,8 +36,11 @@ from tallystream.workload import domain  # noqa: E402
 COPIES = 10
 
 
+unwanted = re.compile(r"[^a-z0-9\s]+")
+
+
 def python_clean(text: str | None) -> str:
-    return "" if text is None else re.sub(r"[^a-z0-9\s]", "", text.lower())
+    return unwanted.sub("", (text or "").lower())
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -64,13 +64,13 @@ def results(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
 
 def biographies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw biography rows, with duplicates."""
-    customer = table(spark, sf_dir, "customer")
-    columns = [f"{expression} AS {name}" for name, expression in BIOGRAPHIES.items()]
-    once = customer.selectExpr(*columns)
-    again = customer.filter(DUPLICATED).selectExpr(*columns).selectExpr(
-        *[c if c != "height" else "'170,5' AS height" for c in BIOGRAPHIES]
-    )
-    return once.unionAll(again)
+    copies = f"explode(CASE WHEN {DUPLICATED} THEN array(1, 2) ELSE array(1) END) AS copy"
+    columns = {
+        **BIOGRAPHIES,
+        "height": f"CASE copy WHEN 2 THEN '170,5' ELSE {BIOGRAPHIES['height']} END",
+    }
+    customer = table(spark, sf_dir, "customer").selectExpr("*", copies)
+    return customer.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])
 
 
 RESULTS_SQL = f"SELECT event_id, {WAVE} AS wave, {_select(RESULTS)} FROM events"

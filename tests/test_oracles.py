@@ -38,14 +38,7 @@ def read_schema(df):
         ("gold_counts_part", [{"p_brand", "p_type", "p_size"}]),
         ("json_props", [{"event_id", "props"}]),
         ("clean_sql_functions", [{"p_partkey", "p_name", "p_brand"}]),
-        (
-            "enrich_agg",
-            [
-                {"user_id", "event_type", "props"},
-                {"c_custkey", "c_nationkey"},
-                {"c_custkey", "c_nationkey"},
-            ],
-        ),
+        ("enrich_agg", [{"user_id", "event_type", "props"}, {"c_custkey", "c_nationkey"}]),
     ],
 )
 def test_scans_read_only_what_is_used(spark, name, columns):
