@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.operators import clean_biography, enrich_agg, latest_per_key
-from tallystream.sinks import jdbc_append, jdbc_sink
-from tallystream.sources import Database, jdbc_scan
+from tallystream.scratch import new_dir
+from tallystream.sinks import jdbc_append, jdbc_sink, replay_publish, topic_sink
+from tallystream.sources import Database, file_topic, jdbc_scan, stream_topic
+from tallystream.streaming import enrichment_stream, start_enrichment
 from tallystream.workload import domain
 from tallystream.workload.joins import rounded
 
@@ -78,15 +80,39 @@ def appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(newest.join(versions, "batch_id").drop("batch_id"))
 
 
+def continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole continuous job: results replayed out of a table into a topic, followed
+    as a stream, joined to a biography table, and delivered to a topic and a table."""
+    database = configured_database(spark)
+    bio, results, totals = _table("bio"), _table("results"), _table("totals")
+    raw = domain.biographies(spark, sf_dir)
+    jdbc_append(raw.withColumn("athlete_id", F.col("athlete_id").cast("int")), database, bio)
+    jdbc_append(domain.results(spark, sf_dir, "event_id"), database, results)
+
+    base = new_dir(spark, "continuous")
+    topic, out = file_topic(f"{base}/in"), file_topic(f"{base}/out")
+    table = jdbc_scan(spark, database, results, partition_column="event_id").drop("event_id")
+    replay_publish(table, topic)
+    biography = jdbc_scan(spark, database, bio, partition_column="athlete_id")
+    tallies = enrichment_stream(stream_topic(spark, topic), biography)
+    sinks = [topic_sink(out), jdbc_sink(database, totals)]
+    query = start_enrichment(tallies, sinks, f"{base}/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    log = jdbc_scan(spark, database, totals)
+    return rounded(latest_per_key(log).drop("batch_id"))
+
+
 QUERIES = {
     "jdbc_scan": scanned,
     "jdbc_enrich_agg": enriched,
     "jdbc_append": appended,
+    "stream_enrich_jdbc": continuous,
 }
 
 ORACLES = {
     "jdbc_scan": f"SELECT event_id, {', '.join(domain.RESULTS)} FROM ({domain.RESULTS_SQL})",
     "jdbc_enrich_agg": domain.TALLY_SQL,
+    "stream_enrich_jdbc": domain.TALLY_SQL,
     "jdbc_append": f"""
         SELECT *, (SELECT count(*) FROM ({domain.TALLY_SQL})) AS rows_in_batch
         FROM ({domain.TALLY_SQL})
