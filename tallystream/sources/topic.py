@@ -73,7 +73,11 @@ def kafka_topic(
 
 
 def file_topic(path: str, **read_options: str) -> Topic:
-    """A folder of Parquet files with topic columns."""
+    """A folder of Parquet files with topic columns.
+
+    Columns that a publisher left out are NULL. It should write an ``offset``, which
+    tells copies of a record apart (see ``operators.enrich`` on salts).
+    """
     return Topic("parquet", read_options=read_options, path=path, schema=TOPIC_RECORD)
 
 

@@ -91,8 +91,8 @@ def continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = new_dir(spark, "continuous")
     topic, out = file_topic(f"{base}/in"), file_topic(f"{base}/out")
-    table = jdbc_scan(spark, database, results, partition_column="event_id").drop("event_id")
-    replay_publish(table, topic)
+    table = jdbc_scan(spark, database, results, partition_column="event_id")
+    replay_publish(table.withColumnRenamed("event_id", "offset"), topic, keep=["offset"])
     biography = jdbc_scan(spark, database, bio, partition_column="athlete_id")
     tallies = enrichment_stream(stream_topic(spark, topic), biography)
     sinks = [topic_sink(out), jdbc_sink(database, totals)]
