@@ -127,7 +127,7 @@ def enrich_agg(
     ``athlete_count`` counts joined rows, not distinct athletes. NULL keys form
     groups. On a stream these are running totals whose state is kept for ever,
     unless ``window`` (a duration over ``event_time``) adds a key that a watermark
-    can expire.
+    can expire; it shows as ``window_start`` and ``window_end``.
     """
     keys = RESULT_COLUMNS
     if window:
@@ -139,7 +139,7 @@ def enrich_agg(
         counted = results.withColumn("n", F.lit(1).cast("long"))
     else:
         counted = results.groupBy(KEY, *keys).agg(F.count("*").alias("n"))
-    return (
+    tallies = (
         _join(counted, _profiles(biography), (*keys, "n"), small, spread, hot)
         .groupBy(*keys, *PROFILE_COLUMNS)
         .agg(
@@ -149,3 +149,10 @@ def enrich_agg(
         )
         .withColumn("timestamp", F.current_timestamp())
     )
+    if window:
+        tallies = tallies.select(
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+            *[c for c in tallies.columns if c != "window"],
+        )
+    return tallies

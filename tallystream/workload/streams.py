@@ -133,7 +133,8 @@ def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     job.publish(range(domain.WAVES))
     job.run(output_mode="append", window="1 day", watermark="1 minute", event_time="at")
     log = spark.read.parquet(job.log).drop("run", "batch_id")
-    return rounded(log.withColumn("day", F.unix_seconds("window.start")).drop("window"))
+    days = log.withColumn("day", F.unix_seconds("window_start"))
+    return rounded(days.drop("window_start", "window_end"))
 
 
 def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -87,7 +87,7 @@ def test_enrich_agg_per_window(results, bio, limit):
         F.lit(2024), F.lit(8), F.lit(4), F.lit(10), minute, F.lit(0)
     ))
     df = enrich_agg(stamped, bio, window="10 minutes", broadcast_limit=limit)
-    got = {(r["window"]["start"].minute, r["sport"], r["medal"], r["athlete_count"]) for r in df.collect()}
+    got = {(r["window_start"].minute, r["sport"], r["medal"], r["athlete_count"]) for r in df.collect()}
     assert got == {
         (0, "judo", "Gold", 1), (10, "judo", "Gold", 1), (0, "judo", None, 2), (0, "luge", "Silver", 1)
     }
