@@ -24,17 +24,24 @@ def second_stamp(run_ts: datetime) -> str:
 
 
 def latest_snapshot(
-    spark: SparkSession, base: str, pattern: str = "*", by: str = "modified"
+    spark: SparkSession,
+    base: str,
+    pattern: str = "*",
+    by: str = "modified",
+    finished: bool = False,
 ) -> str | None:
     """The newest folder below ``base``, or None if there is none.
 
     ``by="modified"`` goes by modification time and settles ties by name;
     ``by="name"`` goes by the stamp in the name, for object stores, whose folders
-    have no times of their own.
+    have no times of their own. ``finished=True`` passes over folders whose write was
+    cut short, i.e. that lack the ``_SUCCESS`` file of Spark's writers.
     """
     if by not in ("modified", "name"):
         raise ValueError(f"by must be 'modified' or 'name', not {by!r}")
     found = folders(spark, f"{base}/{pattern}")
+    if finished:
+        found = [f for f in found if path_exists(spark, f"{f.path}/_SUCCESS")]
     newest = max(found, key=None if by == "modified" else lambda f: f.path, default=None)
     return newest.path if newest else None
 
@@ -49,14 +56,14 @@ def read_snapshots(
     """Snapshots of one day below ``base``.
 
     ``all`` concatenates every snapshot of the day, so two landings double the rows;
-    ``latest`` reads the newest one. A day without snapshots is an error.
+    ``latest`` reads the newest finished one. A day without snapshots is an error.
     """
     pattern = f"{day_stamp(run_ts)}_*"
     if snapshots == "all":
         return spark.read.parquet(f"{base}/{pattern}")
     if snapshots != "latest":
         raise ValueError(f"snapshots must be 'all' or 'latest', not {snapshots!r}")
-    newest = latest_snapshot(spark, base, pattern, by)
+    newest = latest_snapshot(spark, base, pattern, by, finished=True)
     if newest is None:
         raise FileNotFoundError(f"no snapshot matches {base}/{pattern}")
     return spark.read.parquet(newest)

@@ -99,6 +99,16 @@ def test_snapshots_all_and_latest(spark, layers):
         latest_snapshot(spark, base, by="size")
 
 
+def test_latest_passes_over_an_unfinished_snapshot(spark, layers, tmp_path):
+    base = f"{layers.bronze}/t"
+    write_snapshot(spark.range(2), layers.bronze_snapshot("t", RUN.replace(hour=8)))
+    (tmp_path / "bronze" / "t" / "20240804_120000" / "_temporary").mkdir(parents=True)
+    assert read_snapshots(spark, base, RUN, "latest").count() == 2
+    assert read_snapshots(spark, base, RUN).count() == 2
+    assert latest_snapshot(spark, base, by="name").endswith("20240804_120000")
+    assert latest_snapshot(spark, base, by="name", finished=True).endswith("20240804_085958")
+
+
 def test_missing_silver_day(spark, layers):
     with pytest.raises(FileNotFoundError):
         run_gold(spark, layers, RUN)
