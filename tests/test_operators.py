@@ -188,6 +188,25 @@ def test_hot_athletes_are_salted_on_request(spark, bio):
     assert joined.count() == 2000 + 1 + 2
 
 
+def test_copies_of_a_record_are_told_apart_by_their_position(spark, bio):
+    """Equal results of one athlete, a third of all rows or more, do not share a salt."""
+    copies = spark.range(0, 4000).select(
+        F.lit(1).alias("athlete_id"),
+        F.lit("judo").alias("sport"),
+        F.lit("Gold").alias("medal"),
+        F.col("id").alias("offset"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = enrich_join(copies, bio, broadcast_limit=0, hot=[1], spread=64)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    counts = [r["count"] for r in sizes]
+    assert sum(counts) == 4000 and max(counts) < 2500
+
+
 def test_hot_athletes_are_not_looked_for_without_need(results, bio):
     def fail():
         raise AssertionError("called")
