@@ -2,7 +2,7 @@
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the number of local cores and
 ``BENCH_RUNS`` the timed runs per query, of which the median counts. Each query is
-run once before that. Results go to a sink that discards them.
+run twice before that. Results go to a sink that discards them.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from tallystream.session import build_session  # noqa: E402
 from tallystream.workload import QUERIES  # noqa: E402
 from tallystream.workload.domain import table  # noqa: E402
 
+WARM_UP = 2
+
 HEADLINE = (
     "clean_strings",
     "gold_counts",
@@ -79,12 +81,12 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    cases = {name: QUERIES[name] for name in HEADLINE}
-    cases["clean_long_text"] = clean_long_text
-    cases["clean_short_text"] = clean_short_text
+    cases = {"clean_long_text": clean_long_text, "clean_short_text": clean_short_text}
+    cases.update({name: QUERIES[name] for name in HEADLINE})
     seconds = {}
     for name, query in cases.items():
-        timed(query, spark, sf_dir)
+        for _ in range(WARM_UP):
+            timed(query, spark, sf_dir)
         times = [timed(query, spark, sf_dir) for _ in range(runs)]
         seconds[name] = round(statistics.median(times), 3)
     spark.stop()
