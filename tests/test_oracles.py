@@ -6,6 +6,7 @@ import pytest
 from oracle import SF_DIR, difference
 
 import __spark_entry__ as contract
+from tallystream.workload import ORACLES, QUERIES
 
 
 # A preview is a global limit.
@@ -13,10 +14,12 @@ ALLOWED = {("preview", "SinglePartition")}
 
 
 def test_every_query_has_a_twin():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLES.items() <= contract.oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     df = contract.queries()[name](spark, SF_DIR)
     assert difference(df, contract.oracle_sql()[name]) == {}
