@@ -2,10 +2,14 @@
 
 from tallystream.llm.packing import op4_pack_concat_cut
 from tallystream.llm.sharding import op3_shard_vector_packing
+from tallystream.llm.substrings import OP1_SQL, op1_substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_shard_vector_packing": op3_shard_vector_packing,
     "op4_pack_concat_cut": op4_pack_concat_cut,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_substring_dedup": OP1_SQL,
+}
