@@ -1,5 +1,6 @@
 """The pipeline operators as queries over the given tables, with SQL where SQL can express them."""
 
+from tallystream.llm.jaccard import OP6_SQL, op6_ngram_jaccard_join
 from tallystream.llm.packing import op4_pack_concat_cut
 from tallystream.llm.sharding import op3_shard_vector_packing
 from tallystream.llm.substrings import OP1_SQL, op1_substring_dedup
@@ -8,8 +9,10 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_shard_vector_packing": op3_shard_vector_packing,
     "op4_pack_concat_cut": op4_pack_concat_cut,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
 }
 
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
+    "op6_ngram_jaccard_join": OP6_SQL,
 }
