@@ -8,106 +8,155 @@ in one place.
 
 from __future__ import annotations
 
+import re
 import string
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystream.llm.batches import parts
 from tallystream.llm.tables import store
 
 WINDOW = 4096
 END_ID = 2
-#: Words kept with their ids per task; beyond that the memory starts anew.
-REMEMBERED = 400_000
+#: Words kept with their ids per task (some 200 MB); beyond that the memory starts anew.
+REMEMBERED = 1_000_000
 _MARKS = string.punctuation
 
 
 class WordEncoder:
-    """Ids of whole texts, word by word, with a bounded memory of words seen.
+    """Ids of whole texts from the ids of their distinct words, with a bounded memory of words.
 
-    Holds for tokenizers that never join what white space parts and end each piece with
-    ``</w>``; the test compares it with the tokenizer on whole texts. Texts that contain a
-    special token go to the tokenizer as they are.
+    Holds for tokenizers that ignore the case of A to Z, never join what white space parts and
+    end each piece with ``</w>``; the test compares it with the tokenizer on whole texts. Texts
+    with a special token or a combining mark go to the tokenizer as they are.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
+        self.end_id = end_id
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for piece, i in vocabulary.items():
             self.last[i] = piece.endswith("</w>")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.seen: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {"": b""}
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Special tokens, and marks that may join the letter before them.
+        self.odd = "|".join([r"[\x{0300}-\x{036f}]", *map(re.escape, special)])
+        self.seen: dict[str, bytes] = {"": b""}
 
     def _plain(self, text: str) -> bytes:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, new: set[str]) -> None:
-        parts = [(w, core := w.rstrip(_MARKS), w[len(core) :]) for w in new]
-        simple = [x for x in parts if not x[1] or x[1].isalpha()]
-        for w, core, _ in parts:
-            if core and not core.isalpha():
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """Words that are a single piece each, all letters or all marks."""
+        raw = self._plain(" ".join(pieces))
+        ends = 4 * (np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 1)
+        if len(ends) == len(pieces):
+            ends = ends.tolist()
+            self.seen.update(
+                zip(pieces, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True)
+            )
+        else:
+            self.seen.update((p, self._plain(p)) for p in pieces)
+
+    def _learn(self, new: list[str]) -> None:
+        need = {w for w in new if w.isalpha()}
+        composed = []
+        for w in set(new) - need:
+            core = w.rstrip(_MARKS)
+            if not core or core.isalpha():
+                tail = w[len(core) :]
+                need.update((core, tail))
+                composed.append((w, core, tail))
+            else:
                 self.seen[w] = self._plain(w)
-        need = list({p for x in simple for p in x[1:]}.difference(self.pieces))
+        need.difference_update(self.seen)
         if need:
-            raw = self._plain(" ".join(need))
-            ends = 4 * (np.flatnonzero(self.last[np.frombuffer(raw, "<u4")]) + 1)
-            if len(ends) == len(need):
-                begins = [0, *ends[:-1].tolist()]
-                for piece, a, b in zip(need, begins, ends.tolist(), strict=True):
-                    self.pieces[piece] = raw[a:b]
-            else:
-                for piece in need:
-                    self.pieces[piece] = self._plain(piece)
-        for w, core, tail in simple:
-            self.seen[w] = self.pieces[core] + self.pieces[tail]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.seen) + len(self.pieces) > REMEMBERED:
-            self.seen, self.pieces = {}, {"": b""}
-        whole = [any(s in t for s in self.special) for t in texts]
-        split = [[] if w else t.split() for t, w in zip(texts, whole, strict=True)]
-        new = {w for ws in split for w in ws}.difference(self.seen)
+            self._learn_pieces(list(need))
+        seen = self.seen
+        seen.update([(w, seen[core] + seen[tail]) for w, core, tail in composed])
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids behind each other, and how many each text has."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        encoded = split.flatten().dictionary_encode()
+        distinct = encoded.dictionary.to_pylist()
+        if len(self.seen) > REMEMBERED:
+            self.seen = {"": b""}
+        new = [w for w in distinct if w not in self.seen]
         if new:
             self._learn(new)
-        seen = self.seen
-        return [
-            self._plain(t) if w else b"".join([seen[x] for x in ws])
-            for t, w, ws in zip(texts, whole, split, strict=True)
-        ]
+        known = list(map(self.seen.__getitem__, distinct))
+        ids = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        heads = np.cumsum(sizes) - sizes
+        word = encoded.indices.to_numpy()
+        n = sizes[word]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        kind = np.int32 if max(len(ids), ends[-1]) < 1 << 31 else np.int64
+        place = np.repeat((heads[word] - ends[:-1]).astype(kind), n)
+        place += np.arange(len(place), dtype=kind)
+        borders = split.offsets.to_numpy() - split.offsets[0].as_py()
+        return ids[place], np.diff(ends[borders])
+
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Little-endian unsigned 32-bit ids of each text and the end id, and how many."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, self.odd).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(np.diff(odd)) + 1).tolist(), len(texts)]
+        ids, sizes = [], []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b and odd[a]:
+                own = [np.frombuffer(self._plain(t), "<u4") for t in texts[a:b].to_pylist()]
+                ids.append(np.concatenate(own))
+                sizes.append(np.array([len(x) for x in own], np.int64))
+            elif a < b:
+                out, n = self._by_words(texts[a:b])
+                ids.append(out)
+                sizes.append(n)
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        full = np.full(len(ids) + len(sizes), self.end_id, "<u4")
+        full[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
+        sizes = sizes + 1
+        borders = (4 * np.concatenate([[0], np.cumsum(sizes)])).astype(np.int64)
+        buffers = [None, pa.py_buffer(borders), pa.py_buffer(full)]
+        return pa.Array.from_buffers(pa.large_binary(), len(sizes), buffers).cast(pa.binary()), sizes
+
+
+def _encoder(path: str, end_id: int) -> WordEncoder:
+    """One per Python worker, so that the tasks it runs one after another share the words."""
+    kept = sys.modules.setdefault(f"{__name__}.kept", types.ModuleType("kept")).__dict__
+    if (path, end_id) not in kept:
+        kept[path, end_id] = WordEncoder(path, end_id)
+    return kept[path, end_id]
 
 
 def _encode_partition(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-    texts_at_once = 256
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = WordEncoder(path), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for lo in range(0, batch.num_rows, texts_at_once):
-                rows = batch.slice(lo, texts_at_once)
-                ids = [x + end for x in encoder.encode([t or "" for t in rows["text"].to_pylist()])]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                starts = at + np.cumsum(n) - n
-                at += int(n.sum())
-                yield pa.record_batch(
-                    {
-                        "doc_id": rows["doc_id"].cast(pa.int64()),
-                        "part": pa.array(np.full(len(ids), part, np.int32)),
-                        "part_start": pa.array(starts),
-                        "n_tokens": pa.array(n),
-                        "ids": pa.array(ids, pa.binary()),
-                    }
-                )
+        encoder, part, at = _encoder(path, end_id), TaskContext.get().partitionId(), 0
+        for rows in parts(batches):
+            ids, n = encoder.encode(rows["text"])
+            starts = at + np.cumsum(n) - n
+            at += int(n.sum())
+            yield pa.record_batch(
+                {
+                    "doc_id": rows["doc_id"].cast(pa.int64()),
+                    "part": pa.array(np.full(len(n), part, np.int32)),
+                    "part_start": pa.array(starts),
+                    "n_tokens": pa.array(n),
+                    "ids": ids,
+                }
+            )
 
     return run
 
