@@ -10,7 +10,8 @@ only if its overlap with the group's union can reach the threshold.
    similarity of 0.75 or more share one of the rarest quarter of their tokens, in one order of
    all tokens. The order puts tokens of more than ``COMMON`` documents last (counted over all
    documents), so the lists of the others are short. The matrix of these tokens and the groups
-   gives candidate pairs of a set and a group, never two sets of one group.
+   gives candidate pairs of a set and a group, never two sets of one group; sizes and the
+   number of prefix tokens shared bound the overlap.
 3. Candidate groups arrive in parts of bounded size at a task with the sets that query them.
    The bound against the part's union decides which are opened; then sets are compared exactly.
 
@@ -136,58 +137,70 @@ def _has(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
 def _prefixes(common, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
-            rare, usual = [], []
+            rare, usual, size = [], [], []
             for tokens in token_sets(batch["text"]):
                 length = len(tokens) - -(-OVER * len(tokens) // UNDER) + 1 if len(tokens) else 0
                 last = _has(common.value, _short(tokens, bits))
                 first = tokens[~last][:length]
+                size.append(len(tokens))
                 rare.append(signed(first))
                 usual.append(signed(tokens[last][: length - len(first)]))
             lists = pa.list_(pa.int64())
             yield pa.record_batch(
-                [*batch.select(["d", "g", "part"]).columns, pa.array(rare, lists), pa.array(usual, lists)],
-                names=["d", "g", "part", "rare", "usual"],
+                [
+                    *batch.select(["d", "g", "part"]).columns,
+                    pa.array(np.array(size, np.int32)),
+                    pa.array(rare, lists),
+                    pa.array(usual, lists),
+                ],
+                names=["d", "g", "part", "n", "rare", "usual"],
             )
 
     return run
 
 
-_CANDIDATE = "g long, part int, q long"
+_PAIR = "g long, part int, q long, d long, least int"
+_ROW = ("token", "d", "g", "part", "n", "usual")
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: pairs of a set and another group's part that share one.
-
-    A set queries groups with a larger number than its own.
-    """
+    """Rows sorted by token: pairs of sets of different groups, once for each token they share."""
     kept = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        t, d, g, part = (batch[c].to_numpy() for c in ("token", "d", "g", "part"))
+        rows = [batch[c].to_numpy() for c in _ROW]
         if kept is not None:
-            t, d, g, part = (np.concatenate(x) for x in zip(kept, (t, d, g, part), strict=True))
-        open_from = np.searchsorted(t, t[-1])  # the last token may go on in the next batch
-        kept = tuple(x[open_from:] for x in (t, d, g, part))
-        yield from _pairs(*(x[:open_from] for x in (t, d, g, part)))
+            rows = [np.concatenate(x) for x in zip(kept, rows, strict=True)]
+        open_from = np.searchsorted(rows[0], rows[0][-1])  # the last token may go on in the next batch
+        kept = [x[open_from:] for x in rows]
+        yield from _pairs(*[x[:open_from] for x in rows])
     if kept is not None:
         yield from _pairs(*kept)
 
 
-def _pairs(t, d, g, part) -> Iterator[pa.RecordBatch]:
+def _pairs(t, d, g, part, n, usual) -> Iterator[pa.RecordBatch]:
+    """``least`` is how many of their rare prefix tokens the two must share.
+
+    What two sets share is at most what their prefixes share and what the set whose prefix
+    ends first has left; they link only if they share 3/7 of their sizes' sum.
+    """
+    left_over = -(-OVER * n // UNDER) - 1
     apart = 1
     left = np.flatnonzero(t[apart:] == t[:-apart]) if len(t) > 1 else np.zeros(0, np.int64)
     while len(left):
         right = left + apart
-        other = g[left] != g[right]
-        a, b = left[other], right[other]
+        fits = UNDER * np.minimum(n[left], n[right]) >= OVER * np.maximum(n[left], n[right])
+        fits &= g[left] != g[right]
+        a, b = left[fits], right[fits]
         if len(a):
             swap = g[a] > g[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
-            found = np.unique(np.stack([g[b], part[b].astype(np.int64), d[a]]), axis=1)
+            needed = -(-OVER * (n[a] + n[b]) // (OVER + UNDER))
+            least = needed - np.maximum(left_over[a], left_over[b]) - np.minimum(usual[a], usual[b])
             yield pa.record_batch(
-                [pa.array(found[0]), pa.array(found[1].astype(np.int32)), pa.array(found[2])],
-                names=["g", "part", "q"],
+                [pa.array(x) for x in (g[b], part[b], d[a], d[b], np.maximum(least, 1).astype(np.int32))],
+                names=["g", "part", "q", "d", "least"],
             )
         apart += 1
         left = left[left + apart < len(t)]
@@ -195,11 +208,13 @@ def _pairs(t, d, g, part) -> Iterator[pa.RecordBatch]:
 
 
 def candidates(prefixes: DataFrame) -> DataFrame:
-    """Distinct (g, part, q): set ``q`` shares a prefix token with that part of another group."""
-    rows = ["d", "g", "part"]
+    """Distinct (g, part, q): set ``q`` may link with a member of that part of another group."""
+    rows = ["d", "g", "part", "n"]
     rare = (
-        prefixes.select(F.explode("rare").alias("token"), *rows)
-        .repartition("token").sortWithinPartitions("token").mapInArrow(_meet, _CANDIDATE)
+        prefixes.select(F.explode("rare").alias("token"), *rows, F.size("usual").alias("usual"))
+        .repartition("token").sortWithinPartitions("token").mapInArrow(_meet, _PAIR)
+        .groupBy("g", "part", "q", "d", "least").agg(F.count("*").alias("shared"))
+        .filter("shared >= least").select("g", "part", "q")
     )
     # Common tokens: only those of several groups, each group's part once per token.
     usual = prefixes.select(F.explode("usual").alias("token"), *rows)
@@ -209,11 +224,16 @@ def candidates(prefixes: DataFrame) -> DataFrame:
         "tokens",
     )
     spread = store(usual.join(shared, "token"), "spread")
-    matrix = store(spread.select("token", F.col("g").alias("h"), F.col("part").alias("at")).distinct(), "matrix")
+    matrix = store(
+        spread.groupBy("token", F.col("g").alias("h"), F.col("part").alias("at"))
+        .agg(F.min("n").alias("least"), F.max("n").alias("most")),
+        "matrix",
+    )
     meeting = (
-        spread.join(matrix, "token").filter("g < h")
+        spread.join(matrix, "token")
+        .filter(f"g < h AND {UNDER} * n >= {OVER} * least AND {UNDER} * most >= {OVER} * n")
         .select(F.col("h").alias("g"), F.col("at").alias("part"), F.col("d").alias("q"))
-    )
+    )
     return store(rare.unionByName(meeting).distinct(), "candidates")
 
 
@@ -351,7 +371,7 @@ def linked_sets(docs: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(common)
     prefixes = store(
         texts.join(parted, "d").mapInArrow(
-            _prefixes(shared, bits), "d long, g long, part int, rare array<long>, usual array<long>"
+            _prefixes(shared, bits), "d long, g long, part int, n int, rare array<long>, usual array<long>"
         ),
         "prefixes",
     )
