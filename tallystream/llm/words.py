@@ -53,17 +53,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def words(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of all words, and for each row the index of its first word (one more at the end)."""
+def words(
+    column: pa.Array,
+    lower: bool = False,
+    between: np.ndarray = _SPACE,
+    first: int | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all words, and for each row the index of its first word (one more at the end).
+
+    ``between`` says for each byte whether it parts words; ``first`` looks at that many bytes
+    of each word only.
+    """
     data, bounds = text_bytes(column)
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    inside = ~_SPACE[data]
+    inside = ~between[data]
     opens = inside.copy()
     opens[1:] &= ~inside[:-1]
-    first = bounds[:-1][bounds[:-1] < n]
-    opens[first] = inside[first]
+    heads = bounds[:-1][bounds[:-1] < n]
+    opens[heads] = inside[heads]
     starts = np.flatnonzero(opens)
     del opens
     rows = np.searchsorted(starts, bounds)
@@ -81,6 +90,9 @@ def words(column: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray
         lengths = np.diff(np.append(heads, len(letters)))
         place = np.arange(len(letters)) - np.repeat(heads, lengths)
         value = _LETTERS[letters] * _power_table(int(lengths.max()))[place]
+        if first is not None:
+            value *= place < first
+            lengths = np.minimum(lengths, first)
         out[at:stop] = mix(np.add.reduceat(value, heads) + lengths.astype(np.uint64) * _GOLDEN)
         at = stop
     return out, rows
