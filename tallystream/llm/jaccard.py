@@ -4,18 +4,19 @@ Documents are partitioned into groups of similar ones, the tokens (distinct 5-wo
 of each group are kept as one union, and a document is compared with the members of a group
 only if its overlap with the group's union can reach the threshold.
 
-1. Equal sets become one. Sets that share a smallest hash are compared with the smallest id
-   among them; who links forms a group with it (connected components).
-2. Which groups a set can link with follows from its prefix: two sets with a Jaccard
+1. Equal sets become one. Sets that share a smallest hash gather around the smallest id among
+   them and are compared with it; links make first components, gatherings make the groups,
+   which are divided into parts of some 64 members.
+2. Which parts a set can link with follows from its prefix: two sets with a Jaccard
    similarity of 0.75 or more share one of the rarest quarter of their tokens, in one order of
    all tokens. The order puts tokens of more than ``COMMON`` documents last (counted over all
-   documents), so the lists of the others are short. The matrix of these tokens and the groups
-   gives candidate pairs of a set and a group, never two sets of one group; sizes and the
-   number of prefix tokens shared bound the overlap.
-3. Candidate groups arrive in parts of bounded size at a task with the sets that query them.
-   The bound against the part's union decides which are opened; then sets are compared exactly.
+   documents), so the lists of the others are short: they give pairs of sets, whose sizes and
+   number of shared tokens bound the overlap. For common tokens the matrix of tokens and parts
+   gives pairs of parts. Nothing is asked within a component.
+3. Candidate parts arrive at a task with the sets that query them. The bound against the
+   part's union decides which are opened; then sets are compared exactly.
 
-All links between different groups are found, so components are exact.
+All links between different first components are found, so the final ones are exact.
 """
 
 from __future__ import annotations
@@ -148,23 +149,23 @@ def _prefixes(common, bits: int):
             lists = pa.list_(pa.int64())
             yield pa.record_batch(
                 [
-                    *batch.select(["d", "g", "part"]).columns,
+                    *batch.select(["d", "c", "g", "part"]).columns,
                     pa.array(np.array(size, np.int32)),
                     pa.array(rare, lists),
                     pa.array(usual, lists),
                 ],
-                names=["d", "g", "part", "n", "rare", "usual"],
+                names=["d", "c", "g", "part", "n", "rare", "usual"],
             )
 
     return run
 
 
 _PAIR = "g long, part int, q long, d long, least int"
-_ROW = ("token", "d", "g", "part", "n", "usual")
+_ROW = ("token", "d", "c", "g", "part", "n", "usual")
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by token: pairs of sets of different groups, once for each token they share."""
+    """Rows sorted by token: pairs of sets of different components, once for each token they share."""
     kept = None
     for batch in batches:
         if not batch.num_rows:
@@ -179,7 +180,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _pairs(*kept)
 
 
-def _pairs(t, d, g, part, n, usual) -> Iterator[pa.RecordBatch]:
+def _pairs(t, d, c, g, part, n, usual) -> Iterator[pa.RecordBatch]:
     """``least`` is how many of their rare prefix tokens the two must share.
 
     What two sets share is at most what their prefixes share and what the set whose prefix
@@ -191,10 +192,10 @@ def _pairs(t, d, g, part, n, usual) -> Iterator[pa.RecordBatch]:
     while len(left):
         right = left + apart
         fits = UNDER * np.minimum(n[left], n[right]) >= OVER * np.maximum(n[left], n[right])
-        fits &= g[left] != g[right]
+        fits &= c[left] != c[right]
         a, b = left[fits], right[fits]
         if len(a):
-            swap = g[a] > g[b]
+            swap = c[a] > c[b]
             a, b = np.where(swap, b, a), np.where(swap, a, b)
             needed = -(-OVER * (n[a] + n[b]) // (OVER + UNDER))
             least = needed - np.maximum(left_over[a], left_over[b]) - np.minimum(usual[a], usual[b])
@@ -208,33 +209,44 @@ def _pairs(t, d, g, part, n, usual) -> Iterator[pa.RecordBatch]:
 
 
 def candidates(prefixes: DataFrame) -> DataFrame:
-    """Distinct (g, part, q): set ``q`` may link with a member of that part of another group."""
-    rows = ["d", "g", "part", "n"]
+    """Distinct (g, part, q): set ``q`` can link with a member of that part, of another component."""
     rare = (
-        prefixes.select(F.explode("rare").alias("token"), *rows, F.size("usual").alias("usual"))
+        prefixes.select(
+            F.explode("rare").alias("token"), "d", "c", "g", "part", "n", F.size("usual").alias("usual")
+        )
         .repartition("token").sortWithinPartitions("token").mapInArrow(_meet, _PAIR)
         .groupBy("g", "part", "q", "d", "least").agg(F.count("*").alias("shared"))
         .filter("shared >= least").select("g", "part", "q")
     )
-    # Common tokens: only those of several groups, each group's part once per token.
-    usual = prefixes.select(F.explode("usual").alias("token"), *rows)
-    shared = store(
-        usual.groupBy("token").agg(F.min("g").alias("low"), F.max("g").alias("high"))
+    # The matrix: each common token once for each part that has it in a prefix.
+    matrix = store(
+        prefixes.select(F.explode("usual").alias("token"), "c", "g", "part", "n")
+        .groupBy("token", "g", "part")
+        .agg(*[f("c").alias(f"{k}_c") for k, f in (("least", F.min), ("most", F.max))],
+             *[f("n").alias(f"{k}_n") for k, f in (("least", F.min), ("most", F.max))]),
+        "matrix",
+    )
+    several = store(
+        matrix.groupBy("token").agg(F.min("least_c").alias("low"), F.max("most_c").alias("high"))
         .filter("low < high").select("token"),
         "tokens",
     )
-    spread = store(usual.join(shared, "token"), "spread")
-    matrix = store(
-        spread.groupBy("token", F.col("g").alias("h"), F.col("part").alias("at"))
-        .agg(F.min("n").alias("least"), F.max("n").alias("most")),
-        "matrix",
+    matrix = store(matrix.join(several, "token"), "spread")
+    left, right = (matrix.select("token", *[F.col(c).alias(s + c) for c in matrix.columns[1:]]) for s in "ab")
+    met = (
+        left.join(right, "token")
+        .filter("ag < bg OR (ag = bg AND apart <= bpart)")
+        .filter("aleast_c < bmost_c OR bleast_c < amost_c")
+        .filter(f"{UNDER} * amost_n >= {OVER} * bleast_n AND {UNDER} * bmost_n >= {OVER} * aleast_n")
+        .select("ag", "apart", "bg", "bpart").distinct()
     )
-    meeting = (
-        spread.join(matrix, "token")
-        .filter(f"g < h AND {UNDER} * n >= {OVER} * least AND {UNDER} * most >= {OVER} * n")
-        .select(F.col("h").alias("g"), F.col("at").alias("part"), F.col("d").alias("q"))
+    asking = prefixes.filter("size(usual) > 0").select(
+        F.col("g").alias("ag"), F.col("part").alias("apart"), F.col("d").alias("q")
+    )
+    usual = store(met, "met").join(asking, ["ag", "apart"]).select(
+        F.col("bg").alias("g"), F.col("bpart").alias("part"), "q"
     )
-    return store(rare.unionByName(meeting).distinct(), "candidates")
+    return store(rare.unionByName(usual).distinct(), "candidates")
 
 
 def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,9 +258,9 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo in range(0, len(row), 10_000):
             some = row[lo : lo + 10_000]
             yield pa.record_batch(
-                [pa.array(places[c][lo : lo + 10_000]) for c in ("g", "part", "copy", "kind")]
+                [pa.array(places[c][lo : lo + 10_000]) for c in ("g", "part", "copy", "kind", "c")]
                 + [batch["d"].take(pa.array(some)), pa.array([sets[i].tobytes() for i in some], pa.binary())],
-                names=["g", "part", "copy", "kind", "d", "tokens"],
+                names=["g", "part", "copy", "kind", "c", "d", "tokens"],
             )
 
 
@@ -257,11 +269,13 @@ class _Part:
 
     def __init__(self):
         self.ids: list[int] = []
+        self.components: list[int] = []
         self.sets: list[np.ndarray] = []
         self.union = None
 
-    def add(self, d: int, tokens: np.ndarray) -> None:
+    def add(self, d: int, component: int, tokens: np.ndarray) -> None:
         self.ids.append(d)
+        self.components.append(component)
         self.sets.append(tokens)
 
     def close(self) -> None:
@@ -269,18 +283,21 @@ class _Part:
         self.union = np.unique(self.all)
         self.sizes = np.array([len(s) for s in self.sets])
         self.heads = np.cumsum(self.sizes) - self.sizes
+        self.component = np.array(self.components)
 
-    def link(self, tokens: np.ndarray) -> int | None:
-        """A member that links with the set, if there is one."""
+    def links(self, component: int, tokens: np.ndarray) -> list[int]:
+        """A member of each other component that links with the set."""
         if not self.ids:
-            return None
+            return []
         if self.union is None:
             self.close()
         if UNDER * int(_has(self.union, tokens).sum()) < OVER * len(tokens):
-            return None  # no member can reach the threshold: the part stays shut
+            return []  # no member can reach the threshold: the part stays shut
         shared = np.add.reduceat(_has(tokens, self.all).astype(np.int64), self.heads)
-        linked = np.flatnonzero(UNDER * shared >= OVER * (self.sizes + len(tokens) - shared))
-        return self.ids[linked[0]] if len(linked) else None
+        linked = UNDER * shared >= OVER * (self.sizes + len(tokens) - shared)
+        linked = np.flatnonzero(linked & (self.component != component))
+        _, first = np.unique(self.component[linked], return_index=True)
+        return [self.ids[i] for i in linked[first].tolist()]
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,25 +305,28 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     key, part = None, _Part()
     for batch in batches:
         a, b = [], []
-        columns = (batch[c].to_pylist() for c in ("g", "part", "copy", "kind", "d", "tokens"))
-        for g, number, copy, kind, d, raw in zip(*columns, strict=True):
+        columns = (batch[c].to_pylist() for c in ("g", "part", "copy", "kind", "c", "d", "tokens"))
+        for g, number, copy, kind, component, d, raw in zip(*columns, strict=True):
             if (g, number, copy) != key:
                 key, part = (g, number, copy), _Part()
             tokens = np.frombuffer(raw, np.uint64)
+            if not len(tokens):
+                continue
             if kind == 0:
-                if len(tokens):
-                    part.add(d, tokens)
-            elif len(tokens) and (found := part.link(tokens)) is not None:
-                a.append(d)
-                b.append(found)
+                part.add(d, component, tokens)
+            else:
+                found = part.links(component, tokens)
+                a += [d] * len(found)
+                b += found
         if a:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 def compare(texts: DataFrame, members: DataFrame, queries: DataFrame) -> DataFrame:
-    """Links (a, b) of query sets with a member of the part of a group they query.
+    """Links (a, b) of query sets with members of the part of a group they query.
 
-    ``members`` (g, part, d) and ``queries`` (g, part, q) name documents of ``texts`` (d, text).
+    ``members`` (g, part, d, c) and ``queries`` (g, part, q, c) name documents of ``texts``
+    (d, text) and their components; of a component that a set links with, one member is given.
     A part with many queries is sent to several tasks, each with its share of them.
     """
     copies = F.ceil(F.col("n") / QUERIES_PER_COPY).cast("int")
@@ -315,17 +335,17 @@ def compare(texts: DataFrame, members: DataFrame, queries: DataFrame) -> DataFra
         "asked",
     )
     to_members = members.join(asked, ["g", "part"]).select(
-        "g", "part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), "d"
+        "g", "part", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), F.lit(0).alias("kind"), "c", "d"
     )
     to_queries = queries.join(asked, ["g", "part"]).select(
-        "g", "part", F.pmod(F.hash("q"), F.col("copies")).alias("copy"), F.lit(1).alias("kind"), F.col("q").alias("d")
+        "g", "part", F.pmod(F.hash("q"), F.col("copies")).alias("copy"), F.lit(1).alias("kind"), "c", F.col("q").alias("d")
     )
     places = (
         to_members.unionByName(to_queries).groupBy("d")
-        .agg(F.collect_list(F.struct("g", "part", "copy", "kind")).alias("places"))
+        .agg(F.collect_list(F.struct("g", "part", "copy", "kind", "c")).alias("places"))
     )
     sent = texts.join(places, "d").mapInArrow(
-        _send, "g long, part int, copy int, kind int, d long, tokens binary"
+        _send, "g long, part int, copy int, kind int, c long, d long, tokens binary"
     )
     unit = ["g", "part", "copy"]
     compared = sent.repartition(*unit).sortWithinPartitions(*unit, "kind").mapInArrow(_compare, "a long, b long")
@@ -355,29 +375,41 @@ def linked_sets(docs: DataFrame) -> DataFrame:
         )
         near.append(sets.join(lead, m).filter("d <> g").select("g", F.lit(0).alias("part"), F.col("d").alias("q")))
     queries = store(near[0].unionByName(near[1]).unionByName(near[2]).distinct(), "near")
-    leaders = queries.select("g", "part", F.col("g").alias("d")).distinct()
-    links = compare(texts, leaders, queries)
-    groups = components(links)
-    grouped = sets.select("d").distinct().join(groups.withColumnRenamed("node", "d"), "d", "left").select(
-        "d", F.coalesce("component", "d").alias("g")
+    own = lambda c: F.col(c).alias("c")
+    leaders = queries.select("g", "part", F.col("g").alias("d"), own("g")).distinct()
+    links = compare(texts, leaders, queries.select("g", "part", "q", own("q")))
+    component = components(links).select(F.col("node").alias("d"), F.col("component").alias("c"))
+    component = store(
+        sets.select("d").distinct().join(component, "d", "left").select("d", F.coalesce("c", "d").alias("c")),
+        "component",
     )
-    grouped = store(grouped, "grouped")
+    gathered = queries.groupBy(F.col("q").alias("d")).agg(F.min("g").alias("leader"))
+    of_leader = component.select(F.col("d").alias("leader"), F.col("c").alias("leader_c"))
+    grouped = store(
+        component.join(gathered, "d", "left").join(of_leader, "leader", "left")
+        .select("d", "c", F.coalesce("leader_c", "c").alias("g")),
+        "grouped",
+    )
     sizes = grouped.groupBy("g").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     parted = store(
-        grouped.join(store(sizes, "sizes"), "g").select("d", "g", F.pmod(F.hash("d"), F.col("parts")).alias("part")),
+        grouped.join(store(sizes, "sizes"), "g").select(
+            "d", "c", "g", F.pmod(F.hash("d"), F.col("parts")).alias("part")
+        ),
         "parted",
     )
     common, bits = common_tokens(texts, total)
     shared = spark.sparkContext.broadcast(common)
     prefixes = store(
         texts.join(parted, "d").mapInArrow(
-            _prefixes(shared, bits), "d long, g long, part int, n int, rare array<long>, usual array<long>"
+            _prefixes(shared, bits),
+            "d long, c long, g long, part int, n int, rare array<long>, usual array<long>",
         ),
         "prefixes",
     )
     asked = candidates(prefixes)
     wanted = asked.select("g", "part").distinct()
-    more = compare(texts, parted.join(wanted, ["g", "part"]), asked)
+    asking = asked.join(component.withColumnRenamed("d", "q"), "q")
+    more = compare(texts, parted.join(wanted, ["g", "part"]), store(asking, "asking"))
     whole = components(links.unionByName(more))
     named = sets.join(whole.withColumnRenamed("node", "d"), "d", "left").select(
         *same, F.coalesce("component", "d").alias("component")
