@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystream.llm.batches import parts
-from tallystream.llm.tables import table
+from tallystream.llm.tables import store, table
 from tallystream.llm.words import words
 
 #: Labelled rows the model is fitted on, chosen by hash.
@@ -62,10 +62,16 @@ def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model(NamedTuple):
-    feature_of: np.ndarray  # bucket -> feature, or -1
+    buckets: np.ndarray  # of the features
     weights: np.ndarray
     thresholds: np.ndarray  # ascending
 
+    def feature_of(self) -> np.ndarray:
+        """Bucket to feature, or -1."""
+        out = np.full(BUCKETS, -1, np.int16)
+        out[self.buckets] = np.arange(len(self.buckets))
+        return out
+
     def above(self, strength: np.ndarray) -> np.ndarray:
         """P(grade > k) for each k, a row per strength."""
         return 1 / (1 + np.exp(-np.clip(strength[:, None] - self.thresholds, -40, 40)))
@@ -81,28 +87,20 @@ def grades(toxic: np.ndarray, amount: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn(row, bucket, counts, toxic) -> Model | None:
-    """Choose features, derive grades, and fit weights and thresholds (Adam on the likelihood)."""
-    size, bad = len(toxic), toxic.astype(bool)
-    if not bad.any() or bad.all():
-        return None
-    with_bad = np.bincount(bucket[bad[row]], minlength=BUCKETS)
-    with_good = np.bincount(bucket[~bad[row]], minlength=BUCKETS)
-    ratio = (with_bad / bad.sum()) / ((with_good + 0.5) / (~bad).sum())
-    good = np.flatnonzero((with_bad >= LEAST_ROWS) & (ratio >= LEAST_RATIO))
-    good = np.sort(good[np.argsort(-with_bad[good], kind="stable")][:FEATURES])
-    feature_of = np.full(BUCKETS, -1, np.int32)
-    feature_of[good] = np.arange(len(good))
-    use = feature_of[bucket] >= 0
-    row, feature, x = row[use], feature_of[bucket[use]], np.log1p(counts[use])
-    grade = grades(bad, np.bincount(row, x, minlength=size))
+def learn(row, feature, counts, toxic, buckets) -> Model:
+    """Derive grades and fit weights and thresholds (Adam on the likelihood).
+
+    ``row``, ``feature`` and ``counts`` are the non-zero entries; ``toxic`` has a value per row.
+    """
+    size, n_features, x = len(toxic), len(buckets), np.log1p(counts)
+    grade = grades(toxic, np.bincount(row, x, minlength=size))
     # Thresholds are a first one and positive gaps, so that they stay in order.
-    theta = np.zeros(len(good) + GRADES - 1)
-    theta[len(good)] = 1.0
+    theta = np.zeros(n_features + GRADES - 1)
+    theta[n_features] = 1.0
     m, v = np.zeros(len(theta)), np.zeros(len(theta))
 
     def unpack(theta):
-        return theta[: len(good)], theta[len(good)] + np.concatenate([[0], np.cumsum(np.exp(theta[len(good) + 1 :]))])
+        return theta[: n_features], theta[n_features] + np.concatenate([[0], np.cumsum(np.exp(theta[n_features + 1 :]))])
 
     for step in range(1, STEPS + 1):
         weights, thresholds = unpack(theta)
@@ -120,14 +118,14 @@ def learn(row, bucket, counts, toxic) -> Model | None:
         of_threshold = slope[:, 1:GRADES].sum(axis=0) / size
         of_strength = -(up - down) / size
         g = np.zeros(len(theta))
-        g[: len(good)] = np.bincount(feature, of_strength[row] * x, minlength=len(good)) + PENALTY * weights / size
-        g[len(good)] = of_threshold.sum()
+        g[: n_features] = np.bincount(feature, of_strength[row] * x, minlength=n_features) + PENALTY * weights / size
+        g[n_features] = of_threshold.sum()
         tails = np.cumsum(of_threshold[::-1])[::-1]
-        g[len(good) + 1 :] = tails[1:] * np.exp(theta[len(good) + 1 :])
+        g[n_features + 1 :] = tails[1:] * np.exp(theta[n_features + 1 :])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     weights, thresholds = unpack(theta)
-    return Model(feature_of, weights, thresholds)
+    return Model(buckets, weights, thresholds)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model | None:
@@ -137,29 +135,45 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model
     several labels counts as toxic if one says so. None if a class is missing.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    total = known.count()
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int((1 << 32) * min(1.0, rows / max(total, 1)))
-    got = (
+    known = store(known, "labels")
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int((1 << 32) * min(1.0, rows / max(known.count(), 1)))
+    found = store(
         docs.select("doc_id", "text").join(known.filter(share), "doc_id")
         .select(F.col("doc_id").alias("id"), "toxic", "text")
-        .mapInArrow(_features_of, "id long, toxic int, bucket array<int>, times array<int>")
-        .orderBy("id", "toxic", "bucket", "times").toArrow().combine_chunks()
+        .mapInArrow(_features_of, "id long, toxic int, bucket array<int>, times array<int>"),
+        "features",
     )
-    if not got.num_rows:
+    ids = found.groupBy("id").agg(F.max("toxic").alias("toxic")).orderBy("id").toArrow()
+    id_of_row, toxic = ids["id"].to_numpy(), ids["toxic"].to_numpy()
+    bad = int(toxic.sum())
+    if bad in (0, len(toxic)):
         return None
-    bucket, times = (got[c].combine_chunks() for c in ("bucket", "times"))
-    sizes = np.diff(bucket.offsets.to_numpy())
+    entries = found.select("id", "toxic", F.explode(F.arrays_zip("bucket", "times")).alias("x")).select(
+        "id", "toxic", "x.*"
+    )
+    ratio = (F.col("bad") / bad) / ((F.col("good") + 0.5) / (len(toxic) - bad))
+    chosen = (
+        entries.groupBy("bucket").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+        .filter((F.col("bad") >= LEAST_ROWS) & (ratio >= LEAST_RATIO))
+        .orderBy(F.desc("bad"), "bucket").limit(FEATURES).select("bucket").toArrow()
+    )
+    buckets = np.sort(chosen["bucket"].to_numpy())
+    few = docs.sparkSession.createDataFrame([(int(b),) for b in buckets], "bucket int")
+    used = entries.join(F.broadcast(few), "bucket").select("id", "bucket", "times").orderBy("id", "bucket", "times")
+    used = used.toArrow()
     return learn(
-        np.repeat(np.arange(got.num_rows), sizes),
-        bucket.flatten().to_numpy(),
-        times.flatten().to_numpy(),
-        got["toxic"].to_numpy(),
+        np.searchsorted(id_of_row, used["id"].to_numpy()),
+        np.searchsorted(buckets, used["bucket"].to_numpy()),
+        used["times"].to_numpy(),
+        toxic,
+        buckets,
     )
 
 
 def _score(shared, schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(*shared.value) if shared.value else None
+        feature_of = model.feature_of() if model else None
         for batch in parts(batches):
             size = batch.num_rows
             if model:
@@ -167,11 +181,11 @@ def _score(shared, schema):
                 for form, first in enumerate(FORMS):
                     numbers, rows = words(batch["text"], lower=True, between=_BETWEEN, first=first)
                     bucket = (numbers >> np.uint64(42)).astype(np.int64) ^ (form * 0x15A5A5)
-                    feature = model.feature_of[bucket]
+                    feature = feature_of[bucket]
                     hit = np.flatnonzero(feature >= 0)
                     at = np.searchsorted(rows, hit, side="right") - 1
                     pairs, counts = np.unique(at * BUCKETS + bucket[hit], return_counts=True)
-                    weights = model.weights[model.feature_of[pairs % BUCKETS]]
+                    weights = model.weights[feature_of[pairs % BUCKETS]]
                     strength += np.bincount(pairs // BUCKETS, weights * np.log1p(counts), minlength=size)
                 above = model.above(strength)
             else:
