@@ -9,16 +9,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes worked on at a time. A single longer text is worked on alone.
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 20
 
 
-def parts(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows in order, in slices whose ``column`` has about ``PART_BYTES`` bytes."""
+def parts(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = PART_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The rows in order, in slices whose ``column`` has about ``size`` bytes."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes.astype(np.int64)) // PART_BYTES
+        part = np.cumsum(sizes.astype(np.int64)) // size
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
             yield batch.slice(a, b - a)

@@ -28,6 +28,8 @@ WINDOW = 4096
 END_ID = 2
 #: Words kept with their ids per task (some 200 MB); beyond that the memory starts anew.
 REMEMBERED = 1_000_000
+#: Text bytes whose distinct words are encoded at a time.
+TEXT_BYTES = 1 << 22
 _MARKS = string.punctuation
 
 
@@ -144,7 +146,7 @@ def _encoder(path: str, end_id: int) -> WordEncoder:
 def _encode_partition(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, at = _encoder(path, end_id), TaskContext.get().partitionId(), 0
-        for rows in parts(batches):
+        for rows in parts(batches, size=TEXT_BYTES):
             ids, n = encoder.encode(rows["text"])
             starts = at + np.cumsum(n) - n
             at += int(n.sum())

@@ -39,8 +39,10 @@ def shapes(column: pa.Array) -> np.ndarray:
     """A row of numbers for each text; a null or empty text gives the same row."""
     data, bounds = text_bytes(column)
     size, kinds = len(bounds) - 1, len(_KINDS) + 2
-    row = np.repeat(np.arange(size), np.diff(bounds))
-    counts = np.bincount(row * kinds + _KIND[data], minlength=size * kinds).reshape(size, kinds)
+    kind = np.repeat(np.arange(0, size * kinds, kinds), np.diff(bounds))
+    kind += _KIND[data]
+    counts = np.bincount(kind, minlength=size * kinds).reshape(size, kinds)
+    del kind
     numbers, heads = words(column)
     n = np.diff(heads)
     word_row = np.repeat(np.arange(size), n)

@@ -1,14 +1,13 @@
 """Substring dedup: suffix automata of reference shards, documents streamed past them.
 
 A run of 50 words that starts in two documents is removed from the later one. Every such run
-has the same anchor wherever it stands: its 10-word run with the smallest hash. Anchors found
+has the same anchor wherever it stands: its 12-word run with the smallest hash. Anchors found
 in more than one document name the reference: the passages around them in the first document
 that has them, cut into shards of at most ``SHARD`` anchor places. Each shard's automaton is
 built in a task, past which the matching passages of later documents stream; shards that many
 documents match are sent to several tasks, each with its share of the documents. What has a
 known anchor but is not in the first document's passage (the same anchor, other surroundings)
-goes to a second round, whose reference is the first document left. What is left then is
-compared by the hash of whole runs, so nothing is missed.
+is compared by the hash of whole runs, so nothing is missed.
 """
 
 from __future__ import annotations
@@ -33,13 +32,12 @@ SHARD = 4096
 PER_COPY = 64
 
 _REFERENCE, _STREAMED, _LOOSE = 0, 1, 2
-_MATCHED, _LEFT = 0, 1
-ROUNDS = 2
+_MATCHED, _HASHED = 0, 1
 
 
 def _anchor_width(window: int) -> int:
     """Short enough for few anchors (two in ``window - width + 2`` places), long enough to be rare."""
-    return max(1, window // 5)
+    return max(1, window // 4)
 
 
 def minimizers(numbers: np.ndarray, rows: np.ndarray, window: int):
@@ -154,21 +152,7 @@ def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places[heads], np.diff(np.append(heads, len(places)))
 
 
-def _left(numbers, missed, row, window, last):
-    """What no automaton knows: its anchors, or after the last round its windows by hash.
-
-    Returns a and b (hash and place of an anchor; two hashes of a window), starts and numbers of windows.
-    """
-    if last:
-        at = np.flatnonzero(missed)
-        a, b = (signed(grams(numbers, window, seed)[at]) for seed in (0, 1))
-        return a, b, at + row["lo"], np.ones(len(at))
-    _, h, place, lo, n = minimizers(numbers, np.array([0, len(numbers)]), window)
-    some = np.add.reduceat(missed.astype(np.int64), lo) > 0
-    return signed(h[some]), place[some] + row["lo"], lo[some] + row["lo"], n[some]
-
-
-def _stream(window: int, last: bool):
+def _stream(window: int):
     """Rows come sorted by shard, each shard's reference first; one automaton lives at a time."""
 
     def emit(kind, a, b, d, t, start, n):
@@ -203,16 +187,25 @@ def _stream(window: int, last: bool):
                         zero = np.zeros(len(start), np.int64)
                         waiting.append(emit(_MATCHED, zero, zero, row["d"], row["t"], start, n))
                 if missed.any():
-                    a, b, start, n = _left(numbers, missed, row, window, last)
-                    waiting.append(emit(_LEFT, a, b, row["d"], row["t"], start, n))
+                    at = np.flatnonzero(missed)
+                    a, b = (signed(grams(numbers, window, seed)[at]) for seed in (0, 1))
+                    waiting.append(emit(_HASHED, a, b, row["d"], row["t"], at + row["lo"], np.ones(len(at))))
             if waiting:
                 yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
 
     return run
 
 
-def _match(texts: DataFrame, anchors: DataFrame, window: int, last: bool) -> DataFrame:
-    """One round: matched windows, and what is left of documents that share an anchor with others."""
+def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Windows of each document that also start in a document with a smaller id.
+
+    One row per document that has some: d (id, null as the largest number), t (hash of the
+    text), spans (array of start and number of consecutive windows).
+    """
+    texts = docs.select(key_of().alias("d"), F.hash("text").alias("t"), "text")
+    anchors = store(
+        texts.mapInArrow(_anchors(window), "h long, d long, t int, place int, lo int, n int"), "anchors"
+    )
     shared = store(
         anchors.groupBy("h")
         .agg(
@@ -235,38 +228,21 @@ def _match(texts: DataFrame, anchors: DataFrame, window: int, last: bool) -> Dat
     )
     passages = texts.join(by_document, ["d", "t"]).mapInArrow(_passages(window), _PASSAGE)
     unit = ["shard", "block", "level", "copy"]
-    ordered = passages.repartition(*unit).sortWithinPartitions(*unit, "kind")
-    return store(ordered.mapInArrow(_stream(window, last), _FOUND), "matched")
-
-
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Windows of each document that also start in a document with a smaller id.
-
-    One row per document that has some: d (id, null as the largest number), t (hash of the
-    text), spans (array of start and number of consecutive windows).
-    """
-    texts = docs.select(key_of().alias("d"), F.hash("text").alias("t"), "text")
-    anchors = store(
-        texts.mapInArrow(_anchors(window), "h long, d long, t int, place int, lo int, n int"), "anchors"
+    found = store(
+        passages.repartition(*unit).sortWithinPartitions(*unit, "kind").mapInArrow(_stream(window), _FOUND),
+        "matched",
     )
-    matched = []
-    for i in range(ROUNDS):
-        found = _match(texts, anchors, window, last=i == ROUNDS - 1)
-        matched.append(found.filter(F.col("kind") == _MATCHED).select("d", "t", "start", "n"))
-        left = found.filter(F.col("kind") == _LEFT)
-        anchors = left.select(
-            F.col("a").alias("h"), "d", "t", F.col("b").cast("int").alias("place"), F.col("start").alias("lo"), "n"
-        )
-    hashed = left.select("a", "b", "d", "t", "start")
+    hashed = found.filter(F.col("kind") == _HASHED).select("a", "b", "d", "t", "start")
     earliest = store(
         hashed.groupBy("a", "b").agg(F.min("d").alias("first"), F.max("d").alias("last"))
         .filter("first < last").select("a", "b", "first"),
         "loose",
     )
     loose = hashed.join(earliest, ["a", "b"]).filter("first < d").select("d", "t", "start", F.lit(1).alias("n"))
-    for windows in matched:
-        loose = loose.unionByName(windows)
-    return loose.groupBy("d", "t").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return (
+        found.filter(F.col("kind") == _MATCHED).select("d", "t", "start", "n").unionByName(loose)
+        .groupBy("d", "t").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    )
 
 
 def _cut(window: int, schema: pa.Schema):
