@@ -36,15 +36,22 @@ def _parser() -> argparse.ArgumentParser:
     topics = argparse.ArgumentParser(add_help=False)
     topics.add_argument("--servers", required=True)
     topics.add_argument("--security-protocol", default="PLAINTEXT")
+    topics.add_argument(
+        "--tolerate-data-loss", action="store_true", help="go on when records expired unread"
+    )
+    topics.add_argument("--max-offsets-per-trigger", type=int, help="records of a micro-batch")
+    topics.add_argument("--min-partitions", type=int, help="tasks that read the topic")
     database = argparse.ArgumentParser(add_help=False)
     database.add_argument("--jdbc-url", required=True)
     database.add_argument("--jdbc-driver", required=True)
     database.add_argument("--jdbc-user", default="")
     database.add_argument("--jdbc-password-env", default="", help="variable with the password")
     database.add_argument("--partition-column", help="numeric column to split table reads by")
+    database.add_argument("--partitions", type=int, help="tasks that read a table")
 
     job = jobs.add_parser("publish", parents=[topics, database], help="replay a table into a topic")
     job.add_argument("--table", default="athlete_event_results")
+    job.add_argument("--single-task", action="store_true", help="read the table in one task")
     job.add_argument("--topic", required=True)
 
     job = jobs.add_parser("enrich", parents=[topics, database], help="the continuous enrichment")
@@ -63,9 +70,10 @@ def _parser() -> argparse.ArgumentParser:
     )
     job.add_argument("--preview", type=int, default=20, metavar="ROWS")
 
-    job = jobs.add_parser("follow", parents=[topics], help="print the records of a topic")
+    job = jobs.add_parser("follow", parents=[topics], help="store the decoded records of a topic")
     job.add_argument("--topic", required=True)
     job.add_argument("--records", choices=("results", "tallies"), default="results")
+    job.add_argument("--output", required=True, help="folder for the records, as Parquet")
     job.add_argument("--checkpoint", required=True)
     return parser
 
@@ -76,7 +84,19 @@ def _database(args: argparse.Namespace) -> Database:
 
 
 def _topic(args: argparse.Namespace, name: str, **options):
-    return kafka_topic(args.servers, name, security_protocol=args.security_protocol, **options)
+    sizes = {
+        "maxOffsetsPerTrigger": args.max_offsets_per_trigger,
+        "minPartitions": args.min_partitions,
+    }
+    given = {k: str(v) for k, v in sizes.items() if v is not None}
+    return kafka_topic(
+        args.servers,
+        name,
+        security_protocol=args.security_protocol,
+        fail_on_data_loss=not args.tolerate_data_loss,
+        read_options=given,
+        **options,
+    )
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -97,8 +117,14 @@ def main(argv: list[str] | None = None) -> None:
         else:
             run_medallion(spark, layers, args.run_ts, args.snapshots, preview_rows=rows)
     elif args.job == "publish":
+        if args.partition_column is None and not args.single_task:
+            raise SystemExit("publish: give --partition-column, or --single-task for a small table")
         table = jdbc_scan(
-            spark, _database(args), args.table, partition_column=args.partition_column
+            spark,
+            _database(args),
+            args.table,
+            partition_column=args.partition_column,
+            partitions=args.partitions,
         )
         replay_publish(table, _topic(args, args.topic))
     elif args.job == "enrich":
@@ -111,7 +137,11 @@ def main(argv: list[str] | None = None) -> None:
 
         def define():
             biography = jdbc_scan(
-                spark, database, args.bio_table, partition_column=args.partition_column
+                spark,
+                database,
+                args.bio_table,
+                partition_column=args.partition_column,
+                partitions=args.partitions,
             )
             hot = None
             if args.find_hot:
@@ -129,4 +159,4 @@ def main(argv: list[str] | None = None) -> None:
     else:
         schema = RESULT_EVENT if args.records == "results" else ENRICHED_TALLY
         records = stream_topic(spark, _topic(args, args.topic))
-        follow_topic(records, schema, args.checkpoint).awaitTermination()
+        follow_topic(records, schema, args.checkpoint, args.output).awaitTermination()

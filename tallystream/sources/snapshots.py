@@ -55,12 +55,18 @@ def read_snapshots(
 ) -> DataFrame:
     """Snapshots of one day below ``base``.
 
-    ``all`` concatenates every snapshot of the day, so two landings double the rows;
-    ``latest`` reads the newest finished one. A day without snapshots is an error.
+    ``all`` concatenates every finished snapshot of the day, so two landings double the
+    rows, and has the columns of all of them; ``latest`` reads the newest finished one.
+    A day without (finished) snapshots is an error.
     """
     pattern = f"{day_stamp(run_ts)}_*"
     if snapshots == "all":
-        return spark.read.parquet(f"{base}/{pattern}")
+        found = folders(spark, f"{base}/{pattern}")
+        finished = sorted(f.path for f in found if path_exists(spark, f"{f.path}/_SUCCESS"))
+        if found and not finished:
+            raise FileNotFoundError(f"no finished snapshot matches {base}/{pattern}")
+        paths = finished or [f"{base}/{pattern}"]
+        return spark.read.option("mergeSchema", "true").parquet(*paths)
     if snapshots != "latest":
         raise ValueError(f"snapshots must be 'all' or 'latest', not {snapshots!r}")
     newest = latest_snapshot(spark, base, pattern, by, finished=True)

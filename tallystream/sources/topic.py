@@ -39,14 +39,15 @@ def kafka_topic(
     *,
     security_protocol: str = "PLAINTEXT",
     starting_offsets: str = "earliest",
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     read_options: dict[str, str] | None = None,
     write_options: dict[str, str] | None = None,
 ) -> Topic:
     """A Kafka topic.
 
     ``earliest`` is the default start, so that records published before the first
-    run are read. Useful ``read_options`` at scale: ``maxOffsetsPerTrigger`` to bound
+    run are read. Records that expired unread stop the job, unless ``fail_on_data_loss`` is
+    off, which skips them. Useful ``read_options`` at scale: ``maxOffsetsPerTrigger`` to bound
     a micro-batch, ``minPartitions`` to split large topic partitions into more tasks.
     """
     connection = {

@@ -115,16 +115,19 @@ def follow_topic(
     records: DataFrame,
     schema: T.StructType,
     checkpoint: str,
+    output: str,
     *,
-    rows: int = 20,
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Print decoded records as they arrive; ``checkpoint`` remembers the position."""
+    """Write every decoded record to the folder ``output`` (Parquet) as it arrives.
+
+    ``checkpoint`` remembers the position; a batch repeated after a restart is not added
+    twice. Nothing is shown: read the folder, or a part of it with ``preview``.
+    """
     writer = (
         decode_topic(records, schema)
-        .writeStream.format("console")
-        .option("truncate", "false")
-        .option("numRows", rows)
+        .writeStream.format("parquet")
+        .option("path", output)
         .option("checkpointLocation", checkpoint)
     )
     if trigger:

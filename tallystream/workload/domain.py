@@ -73,8 +73,24 @@ def biographies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])
 
 
+# A third of the results go to one athlete, whose biography is valid.
+HOT_ATHLETE = 2
+_SKEWED_ID = f"CASE WHEN event_id % 3 = 0 THEN {HOT_ATHLETE} ELSE athlete_id END"
+
+
+def skewed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    skewed = results(spark, sf_dir, "event_id")
+    return skewed.selectExpr(*[
+        f"{_SKEWED_ID} AS athlete_id" if c == "athlete_id" else c for c in skewed.columns if c != "event_id"
+    ])
+
+
 RESULTS_SQL = f"SELECT event_id, {WAVE} AS wave, {_select(RESULTS)} FROM events"
 
+SKEWED_RESULTS_SQL = (
+    f"SELECT * REPLACE ({_SKEWED_ID} AS athlete_id) FROM (SELECT event_id, {WAVE} AS wave, {_select(RESULTS)} FROM events)"
+)
+
 BIOGRAPHIES_SQL = (
     f"SELECT {_select(BIOGRAPHIES)} FROM customer UNION ALL "
     f"SELECT {_select({**BIOGRAPHIES, 'height': repr('170,5')})} FROM customer WHERE {DUPLICATED}"

@@ -1,5 +1,7 @@
 """Landing files, snapshots, layers and the command line."""
 
+from pathlib import Path
+
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -78,6 +80,16 @@ def test_snapshot_is_written_once(spark, layers):
         write_snapshot(spark.range(3), path)
 
 
+def test_all_snapshots_leave_out_unfinished_ones_and_keep_new_columns(spark, layers):
+    base = f"{layers.bronze}/t"
+    paths = [layers.bronze_snapshot("t", RUN.replace(hour=h)) for h in (8, 12, 20)]
+    for path, df in zip(paths, (spark.range(3), spark.range(5), spark.range(2).selectExpr("id", "1 AS extra"))):
+        write_snapshot(df, path)
+    (Path(paths[1].removeprefix("file:")) / "_SUCCESS").unlink()
+    got = read_snapshots(spark, base, RUN)
+    assert got.count() == 5 and set(got.columns) == {"id", "extra"} and got.filter("extra = 1").count() == 2
+
+
 def test_snapshots_all_and_latest(spark, layers):
     base = f"{layers.bronze}/t"
     assert latest_snapshot(spark, base) is None

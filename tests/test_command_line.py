@@ -71,8 +71,27 @@ def test_publish_enrich_follow(spark, tmp_path, topics):
     for records in ("results", "tallies"):
         topic = "in" if records == "results" else "out"
         follow = ["follow", *servers, "--topic", topic, "--records", records]
-        cli.main([*follow, "--checkpoint", f"file:{tmp_path}/follow-{records}"])
-    assert ("a:9092", "in", {"security_protocol": "PLAINTEXT", "starting_offsets": "earliest"}) in topics
+        output = f"file:{tmp_path}/{records}"
+        cli.main([*follow, "--checkpoint", f"file:{tmp_path}/follow-{records}", "--output", output])
+        assert spark.read.parquet(output).count() == (8 if records == "results" else 4)
+    options = {"security_protocol": "PLAINTEXT", "fail_on_data_loss": True, "read_options": {}}
+    assert ("a:9092", "in", {**options, "starting_offsets": "earliest"}) in topics
+
+
+def test_sizes_reach_the_topic(topics):
+    args = cli._parser().parse_args(
+        ["follow", "--servers", "a", "--topic", "t", "--checkpoint", "c", "--output", "o",
+         "--tolerate-data-loss", "--max-offsets-per-trigger", "1000", "--min-partitions", "8"]
+    )
+    cli._topic(args, "t")
+    sizes = {"maxOffsetsPerTrigger": "1000", "minPartitions": "8"}
+    options = {"security_protocol": "PLAINTEXT", "fail_on_data_loss": False, "read_options": sizes}
+    assert topics == [("a", "t", options)]
+
+
+def test_publish_asks_for_a_way_to_split_the_table():
+    with pytest.raises(SystemExit, match="--partition-column"):
+        cli.main(["publish", "--servers", "a", "--topic", "t", "--jdbc-url", "u", "--jdbc-driver", "d"])
 
 
 def test_password_comes_from_the_named_variable(monkeypatch):

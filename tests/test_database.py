@@ -7,6 +7,7 @@ import pytest
 from tallystream.operators import latest_per_key
 from tallystream.sinks import jdbc_append, jdbc_sink
 from tallystream.sources import Database, jdbc_bounds, jdbc_scan
+from tallystream.sources.jdbc import bounds_query
 from tallystream.workload.database import configured_database
 
 ROW = "sport string, medal string, sex string, bio_country_noc string, athlete_count long"
@@ -35,6 +36,10 @@ def test_partitioned_scan_reads_everything(spark, database, table):
         assert sorted(r["id"] for r in df.collect()) == list(range(5, 105))
 
 
+def test_bounds_are_asked_from_the_database():
+    assert bounds_query("t", "id") == "(SELECT min(id) AS low, max(id) AS high FROM t) bounds"
+
+
 def test_scan_of_an_empty_table(spark, database, table):
     jdbc_append(spark.range(0), database, table)
     assert jdbc_scan(spark, database, table, partition_column="id").count() == 0

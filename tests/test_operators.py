@@ -19,6 +19,7 @@ from tallystream.operators import (
     preview,
     require_columns,
 )
+from tallystream.workload import domain
 
 BIO = "athlete_id string, height string, weight string, sex string, country_noc string"
 RESULT = "athlete_id int, sport string, medal string, country_noc string"
@@ -263,3 +264,9 @@ def test_preview(spark, capsys):
     preview(df, 10, schema=True, show=True)
     printed = capsys.readouterr().out
     assert "id: long" in printed and "only showing top 10 rows" in printed
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_the_skewed_results_have_a_hot_athlete(spark, sf):
+    found = hot_athletes(domain.skewed_results(spark, f"/root/testdata/{sf}"))
+    assert domain.HOT_ATHLETE in found

@@ -248,10 +248,11 @@ def test_follow_topic_remembers_its_position(stage, spark):
     for expected in (8, 1):
         stage.send(FIRST if expected == 8 else SECOND)
         query = follow_topic(
-            stream_topic(spark, stage.topic), RESULT_EVENT, cp, trigger=NOW
+            stream_topic(spark, stage.topic), RESULT_EVENT, cp, f"{stage.base}/followed", trigger=NOW
         )
         query.awaitTermination()
         assert sum(p["numInputRows"] for p in query.recentProgress) == expected
+    assert spark.read.parquet(f"{stage.base}/followed").count() == 9
 
 
 def test_a_table_of_a_topic_starts_with_the_first_record():
@@ -267,13 +268,15 @@ def test_kafka_options_are_on_the_side_that_reads_them():
         "a:9092,b:9092", "results", security_protocol="SASL_SSL",
         read_options={"maxOffsetsPerTrigger": "1000000"},
     )
+    tolerant = kafka_topic("a:9092", "results", fail_on_data_loss=False)
+    assert tolerant.read_options["failOnDataLoss"] == "false"
     assert topic.format == "kafka" and topic.path is None and topic.schema is None
     assert topic.read_options == {
         "kafka.bootstrap.servers": "a:9092,b:9092",
         "kafka.security.protocol": "SASL_SSL",
         "subscribe": "results",
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "true",
         "maxOffsetsPerTrigger": "1000000",
     }
     assert topic.write_options == {
