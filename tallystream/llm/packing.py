@@ -26,10 +26,10 @@ from tallystream.llm.tables import store
 
 WINDOW = 4096
 END_ID = 2
-#: Words kept with their ids per task (some 200 MB); beyond that the memory starts anew.
-REMEMBERED = 1_000_000
+#: Words kept with their ids per task (some 100 MB); beyond that the memory starts anew.
+REMEMBERED = 500_000
 #: Text bytes whose distinct words are encoded at a time.
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 21
 _MARKS = string.punctuation
 
 

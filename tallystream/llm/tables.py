@@ -11,22 +11,28 @@ from tallystream.scratch import new_dir
 
 #: Stands for a null id inside the operators: larger than any other, and null again on output.
 NO_ID = (1 << 63) - 1
-CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-ROWS_PER_TASK = 250_000
+#: Settings of the writes: shuffle files go as each write ends, not when the driver collects
+#: garbage; batches of whole texts are small enough for an executor with little memory.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 
 @contextmanager
-def shuffles_removed(spark: SparkSession):
-    """Shuffle files of the writes inside are removed as each ends, not when the driver collects garbage."""
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+def write_settings(spark: SparkSession):
+    """``SETTINGS`` for the writes inside, and the session's own again behind them."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def store(df: DataFrame, label: str) -> DataFrame:
@@ -37,7 +43,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_dir(spark, f"llm-{label}")
-    with shuffles_removed(spark):
+    with write_settings(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
