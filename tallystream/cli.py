@@ -8,7 +8,8 @@ from datetime import UTC, datetime
 from functools import partial
 
 from tallystream.functions import parse_envelope
-from tallystream.operators import hot_athletes
+from tallystream.operators import BROADCAST_LIMIT, hot_athletes
+from tallystream.operators.enrich import SPREAD
 from tallystream.plans import Layers, run_bronze, run_gold, run_medallion, run_silver
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
 from tallystream.session import build_session
@@ -29,8 +30,10 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(stage, help=f"batch stage: {stage}")
         job.add_argument("base", help="folder that holds the layers")
         job.add_argument("--run-ts", type=datetime.fromisoformat, default=datetime.now(UTC))
-        job.add_argument("--snapshots", choices=("all", "latest"), default="all")
-        job.add_argument("--missing", choices=("raise", "skip"), default="raise")
+        if stage in ("silver", "medallion"):
+            job.add_argument("--snapshots", choices=("all", "latest"), default="all")
+        if stage == "gold":
+            job.add_argument("--missing", choices=("raise", "skip"), default="raise")
         job.add_argument("--preview", type=int, default=10, metavar="ROWS")
 
     topics = argparse.ArgumentParser(add_help=False)
@@ -68,6 +71,13 @@ def _parser() -> argparse.ArgumentParser:
         help="if the biographies are too large to broadcast, count the topic's records per "
         "athlete, to salt the dominant ones only",
     )
+    job.add_argument("--broadcast-limit", type=int, default=BROADCAST_LIMIT, metavar="BYTES")
+    job.add_argument("--spread", type=int, default=SPREAD, help="salts of an athlete")
+    job.add_argument(
+        "--profiles",
+        help="folder of this job alone for biographies too large to broadcast, renewed every "
+        "--replan-seconds; without it every micro-batch reads the table",
+    )
     job.add_argument("--preview", type=int, default=20, metavar="ROWS")
 
     job = jobs.add_parser("follow", parents=[topics], help="store the decoded records of a topic")
@@ -147,7 +157,14 @@ def main(argv: list[str] | None = None) -> None:
             if args.find_hot:
                 records = parse_envelope(read_topic(spark, source), RESULT_EVENT, ["athlete_id"])
                 hot = partial(hot_athletes, records)
-            return enrichment_stream(stream_topic(spark, source), biography, hot=hot)
+            return enrichment_stream(
+                stream_topic(spark, source),
+                biography,
+                broadcast_limit=args.broadcast_limit,
+                spread=args.spread,
+                hot=hot,
+                profiles=args.profiles,
+            )
 
         keep_enriching(
             define,

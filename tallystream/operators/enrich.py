@@ -38,10 +38,16 @@ def _biography_side(biography: DataFrame) -> DataFrame:
 
 
 def hot_athletes(results: DataFrame, share: float = 0.01) -> list[int]:
-    """Athletes with more than ``share`` of the rows; there are fewer than ``1 / share``."""
+    """Athletes with more than ``share`` of the rows; there are fewer than ``1 / share``.
+
+    One pass: the total is the NULL group of a rollup, and as many of the largest groups
+    as can exceed the share come to the driver with it.
+    """
     known = results.filter(F.col(KEY).isNotNull())
-    counts = known.groupBy(KEY).agg(F.count("*").alias("n"))
-    return [r[KEY] for r in counts.filter(F.col("n") > known.count() * share).collect()]
+    counts = known.rollup(KEY).agg(F.count("*").alias("n"))
+    largest = counts.orderBy(F.desc("n")).limit(int(1 / share) + 2).collect()
+    total = sum(r["n"] for r in largest if r[KEY] is None)
+    return [r[KEY] for r in largest if r[KEY] is not None and r["n"] > total * share]
 
 
 def _join(
@@ -121,6 +127,7 @@ def enrich_agg(
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
     hot: Hot = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Mean height, mean weight and row count per sport, medal, sex and country.
 
@@ -128,6 +135,9 @@ def enrich_agg(
     groups. On a stream these are running totals whose state is kept for ever,
     unless ``window`` (a duration over ``event_time``) adds a key that a watermark
     can expire; it shows as ``window_start`` and ``window_end``.
+
+    ``keep`` is given the grouped biographies if they are too large to broadcast, and
+    returns what the join reads in their place, for instance a stored copy.
     """
     keys = RESULT_COLUMNS
     if window:
@@ -139,8 +149,11 @@ def enrich_agg(
         counted = results.withColumn("n", F.lit(1).cast("long"))
     else:
         counted = results.groupBy(KEY, *keys).agg(F.count("*").alias("n"))
+    profiles = _profiles(biography)
+    if keep is not None and not small:
+        profiles = keep(profiles)
     tallies = (
-        _join(counted, _profiles(biography), (*keys, "n"), small, spread, hot)
+        _join(counted, profiles, (*keys, "n"), small, spread, hot)
         .groupBy(*keys, *PROFILE_COLUMNS)
         .agg(
             _mean("height"),

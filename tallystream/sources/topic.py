@@ -66,6 +66,7 @@ def kafka_topic(
         write_options={
             **connection,
             "topic": name,
+            # Fixed values.
             "kafka.retries": "5",
             "kafka.request.timeout.ms": "60000",
             **(write_options or {}),

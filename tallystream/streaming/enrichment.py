@@ -31,6 +31,7 @@ def enrichment_stream(
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
     hot: Hot = None,
+    profiles: str | None = None,
 ) -> DataFrame:
     """Running tallies of topic ``records`` joined to a raw ``biography`` table.
 
@@ -40,6 +41,11 @@ def enrichment_stream(
     for broadcasting when the stream is defined; ``spread`` and ``hot`` say how a hot
     athlete is dealt with if it is too large (see ``operators.enrich``).
 
+    ``profiles`` names a folder of this job alone. Biographies too large to broadcast are
+    then cleaned and grouped once, when the stream is defined, and stored there in place of
+    an earlier copy; micro-batches read that copy, and changes show when the stream is
+    defined again. No other query may be reading the folder at that time.
+
     ``window`` adds a window over the event time as a group key. The event time is
     the time of processing, unless ``event_time`` names a field of the record, and
     ``watermark`` says how late a record may be. Without a window neither has any
@@ -51,6 +57,11 @@ def enrichment_stream(
     if window:
         stamp = F.col(event_time).try_cast("timestamp") if event_time else F.current_timestamp()
         results = results.withColumn("event_time", stamp).withWatermark("event_time", watermark)
+
+    def stored(grouped: DataFrame) -> DataFrame:
+        grouped.write.mode("overwrite").parquet(profiles)
+        return grouped.sparkSession.read.schema(grouped.schema).parquet(profiles)
+
     return enrich_agg(
         results,
         clean_biography(biography),
@@ -58,6 +69,7 @@ def enrichment_stream(
         broadcast_limit=broadcast_limit,
         spread=spread,
         hot=hot,
+        keep=stored if profiles else None,
     )
 
 

@@ -8,6 +8,7 @@ twin start from the same rows and differ only in the operator under test.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Column -> expression over `events`; k is the number in its props.
 _K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
@@ -85,6 +86,11 @@ def skewed_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def skewed_records(rows: DataFrame) -> DataFrame:
+    """The same for rows that know their event as ``offset``."""
+    return rows.withColumn("athlete_id", F.expr(_SKEWED_ID.replace("event_id", "offset")))
+
+
 RESULTS_SQL = f"SELECT event_id, {WAVE} AS wave, {_select(RESULTS)} FROM events"
 
 SKEWED_RESULTS_SQL = (
@@ -120,6 +126,8 @@ TALLY_SQL = f"""
     SELECT {TALLY_COLUMNS_SQL} FROM ({JOINED_SQL}) GROUP BY sport, medal, sex, bio_country_noc
 """
 
+SKEWED_TALLY_SQL = TALLY_SQL.replace(RESULTS_SQL, SKEWED_RESULTS_SQL)
+
 # White space as the cleaning expression sees it, spelled out for an ASCII-only \s.
 _SPACE = (
     r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"

@@ -38,6 +38,12 @@ def count_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_counts(clean_strings(domain.results(spark, sf_dir))).drop("timestamp")
 
 
+def count_gold_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts with whether each row has its time."""
+    counts = gold_counts(clean_strings(domain.results(spark, sf_dir)))
+    return counts.withColumn("stamped", F.col("timestamp").isNotNull()).drop("timestamp")
+
+
 def count_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = clean_strings(table(spark, sf_dir, "part").select("p_brand", "p_type", "p_size"))
     return gold_counts(part, ["p_brand", "p_type", "p_size"]).drop("timestamp")
@@ -61,7 +67,7 @@ def parse_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_envelope(envelope, RESULT_EVENT)
 
 
-def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh record quotes its id, every eleventh is no object at all."""
     quoted = F.format_string('{"athlete_id":"%d"}', "user_id")
     sound = F.format_string('{"extra":{},"sport":{"k":1},"athlete_id":%d}', "user_id")
@@ -71,10 +77,19 @@ def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(sound)
     )
     records = table(spark, sf_dir, "events").select("event_id", broken.alias("value"))
-    parsed = parse_envelope(records, RESULT_EVENT, ["athlete_id", "sport"], keep=["event_id"])
+    return parse_envelope(records, RESULT_EVENT, ["athlete_id", "sport"], keep=["event_id"])
+
+
+def parse_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = _malformed(spark, sf_dir)
     return parsed.withColumn("athlete_id", F.col("athlete_id").cast("string"))
 
 
+def parse_malformed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of the same records in their own type."""
+    return _malformed(spark, sf_dir).select("event_id", "athlete_id")
+
+
 def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     return events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
@@ -92,19 +107,32 @@ def preview_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def preview_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many different rows of a preview are rows of its table."""
+    parts = []
+    for name in ("orders", "nation"):
+        rows = table(spark, sf_dir, name)
+        found = preview(rows).intersect(rows)
+        parts.append(found.agg(F.lit(name).alias("name"), F.count("*").alias("n")))
+    return parts[0].unionAll(parts[1])
+
+
 QUERIES = {
     "clean_strings": clean_documents,
     "clean_strings_exclude": clean_excluding,
     "clean_sql_functions": clean_functions,
     "gold_counts": count_gold,
+    "gold_counts_stamped": count_gold_stamped,
     "gold_counts_part": count_parts,
     "locale_number": type_numbers,
     "require_columns": guard_columns,
     "clean_biography": clean_bios,
     "json_parse": parse_results,
     "json_parse_malformed": parse_malformed,
+    "json_parse_malformed_ids": parse_malformed_ids,
     "json_props": parse_props,
     "preview": preview_sizes,
+    "preview_members": preview_members,
 }
 
 _PLAIN_RESULTS = f"SELECT {', '.join(domain.RESULTS)} FROM ({domain.RESULTS_SQL})"
@@ -128,6 +156,11 @@ ORACLES = {
         f"{clean_sql('medal')} AS medal, count(*) AS medal_count "
         f"FROM ({domain.RESULTS_SQL}) GROUP BY 1, 2, 3"
     ),
+    "gold_counts_stamped": (
+        f"SELECT {clean_sql('sport')} AS sport, {clean_sql('country_noc')} AS country_noc, "
+        f"{clean_sql('medal')} AS medal, count(*) AS medal_count, true AS stamped "
+        f"FROM ({domain.RESULTS_SQL}) GROUP BY 1, 2, 3"
+    ),
     "gold_counts_part": (
         f"SELECT {clean_sql('p_brand')} AS p_brand, {clean_sql('p_type')} AS p_type, p_size, "
         "count(*) AS medal_count FROM part GROUP BY 1, 2, 3"
@@ -149,6 +182,10 @@ ORACLES = {
         "CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 THEN '{\"k\":1}' END AS sport "
         "FROM events"
     ),
+    "json_parse_malformed_ids": (
+        "SELECT event_id, CASE WHEN event_id % 11 <> 0 AND event_id % 7 <> 0 "
+        "THEN CAST(user_id AS INTEGER) END AS athlete_id FROM events"
+    ),
     "json_props": (
         "SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events"
     ),
@@ -156,4 +193,8 @@ ORACLES = {
         f"SELECT '{name}' AS name, least(count(*), 20) AS n FROM {name}"
         for name in ("events", "orders", "documents", "nation", "region")
     ),
+    "preview_members": " UNION ALL ".join(
+        f"SELECT '{name}' AS name, least(count(*), 20) AS n FROM {name}"
+        for name in ("orders", "nation")
+    ),
 }

@@ -14,6 +14,7 @@ from tallystream.operators import (
     enrich_join,
     hot_athletes,
 )
+from tallystream.operators.enrich import PROFILE_COLUMNS, RESULT_COLUMNS
 from tallystream.workload import domain
 
 
@@ -29,6 +30,17 @@ def tallies(spark: SparkSession, sf_dir: str, limit: int = BROADCAST_LIMIT) -> D
     return rounded(enrich_agg(domain.results(spark, sf_dir), biography, broadcast_limit=limit))
 
 
+def tallies_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts with whether each row has its time."""
+    biography = clean_biography(domain.biographies(spark, sf_dir))
+    return enrich_agg(domain.results(spark, sf_dir), biography).select(
+        *RESULT_COLUMNS,
+        *PROFILE_COLUMNS,
+        "athlete_count",
+        F.col("timestamp").isNotNull().alias("stamped"),
+    )
+
+
 def tallies_without_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tallies(spark, sf_dir, limit=0)
 
@@ -58,6 +70,7 @@ def rows_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "enrich_agg": tallies,
+    "enrich_agg_stamped": tallies_stamped,
     "enrich_agg_shuffled": tallies_without_broadcast,
     "enrich_join": rows,
     "enrich_join_shuffled": rows_without_broadcast,
@@ -71,6 +84,10 @@ _ROWS_SQL = (
 
 ORACLES = {
     "enrich_agg": domain.TALLY_SQL,
+    "enrich_agg_stamped": (
+        "SELECT sport, medal, sex, bio_country_noc, count(*) AS athlete_count, true AS stamped "
+        f"FROM ({domain.JOINED_SQL}) GROUP BY ALL"
+    ),
     "enrich_agg_shuffled": domain.TALLY_SQL,
     "enrich_join": _ROWS_SQL,
     "enrich_join_shuffled": _ROWS_SQL,

@@ -98,6 +98,13 @@ def bronze_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(written[BIOGRAPHY])
 
 
+def bronze_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other table of the same job."""
+    layers = _landed(spark, sf_dir, "bronze")
+    written = run_bronze(spark, layers, MORNING)
+    return spark.read.parquet(written[RESULTS])
+
+
 def silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _landed(spark, sf_dir, "silver")
     run_bronze(spark, layers, MORNING)
@@ -152,6 +159,7 @@ QUERIES = {
     "silver_write": silver_written,
     "silver_scan_guarded": silver_guarded,
     "run_bronze": bronze_job,
+    "run_bronze_results": bronze_job_results,
     "run_silver": silver_job,
     "run_gold": gold_job,
     "gold_write": gold_written,
@@ -197,6 +205,7 @@ ORACLES = {
         "SELECT p_partkey, p_name, CAST(1 AS INTEGER) AS days_present FROM part"
     ),
     "run_bronze": f"SELECT {_TEXT_BIOS} FROM ({domain.BIOGRAPHIES_SQL})",
+    "run_bronze_results": f"SELECT {_TEXT_RESULTS} FROM ({domain.RESULTS_SQL})",
     "run_silver": f"SELECT {_CLEANED} FROM ({domain.RESULTS_SQL})",
     "run_gold": _gold_sql(1),
     "gold_write": _gold_sql(1),

@@ -29,8 +29,8 @@ RECORD = T.StructType([*RESULT_EVENT.fields, T.StructField("at", T.StringType())
 class _Job:
     """Folders of one run of the continuous job."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, label: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, label: str, skewed: bool = False) -> None:
+        self.spark, self.sf_dir, self.skewed = spark, sf_dir, skewed
         self.base = new_dir(spark, label)
         self.topic = file_topic(f"{self.base}/in")
         self.out = file_topic(f"{self.base}/out")
@@ -45,6 +45,8 @@ class _Job:
             "event_id AS offset",
             "concat(CAST(ts AS STRING), 'Z') AS at",
         )
+        if self.skewed:
+            rows = domain.skewed_records(rows)
         chosen = rows.filter(F.col("wave").between(waves.start, waves.stop - 1)).drop("wave")
         replay_publish(chosen, self.topic, keep=["offset"])
 
@@ -86,9 +88,13 @@ def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(job.log)
 
 
-def final_totals(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def final_totals(
+    spark: SparkSession, sf_dir: str, skewed: bool = False, stored: bool = False, **options
+) -> DataFrame:
     """One run that takes the topic in several micro-batches."""
-    job = _Job(spark, sf_dir, "stream")
+    job = _Job(spark, sf_dir, "stream", skewed)
+    if stored:
+        options["profiles"] = f"{job.base}/profiles"
     for wave in range(domain.WAVES):
         job.publish(range(wave, wave + 1))
     files = file_count(spark, job.topic.path) // domain.WAVES
@@ -103,8 +109,9 @@ def final_totals_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def final_totals_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As above, without a broadcast and with salts for the dominant athletes only."""
-    return final_totals(spark, sf_dir, broadcast_limit=0)
+    """Without a broadcast, a third of the records being one athlete's; only the dominant
+    athletes are salted, and the biographies are cleaned and grouped once."""
+    return final_totals(spark, sf_dir, skewed=True, stored=True, broadcast_limit=0)
 
 
 def resumed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,7 +187,7 @@ ORACLES = {
     "topic_stream": f"SELECT {', '.join(domain.RESULTS)} FROM ({domain.RESULTS_SQL})",
     "stream_enrich_agg": domain.TALLY_SQL,
     "stream_enrich_agg_salted": domain.TALLY_SQL,
-    "stream_enrich_agg_hot": domain.TALLY_SQL,
+    "stream_enrich_agg_hot": domain.SKEWED_TALLY_SQL,
     "stream_resume": domain.TALLY_SQL,
     "stream_update_log": _UPDATES,
     "stream_windowed_agg": f"""

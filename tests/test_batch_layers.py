@@ -187,3 +187,5 @@ def test_scratch_is_temporary_on_one_machine_only():
     assert shared_dir(alone).startswith("file:") and shared_dir(alone) == shared_dir(alone)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(FakeSession(spark_master="spark://host:7077", spark_app_id="app-2"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(FakeSession(spark_master="local-cluster[2,1,1024]", spark_app_id="app-3"))

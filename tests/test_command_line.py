@@ -64,7 +64,9 @@ def test_publish_enrich_follow(spark, tmp_path, topics):
     assert read_topic(spark, file_topic(f"file:{tmp_path}/out")).count() == 2
 
     cli.main(["publish", *servers, *jdbc, *split, "--table", results, "--topic", "in"])
-    cli.main([*enrich, "--find-hot"])
+    large = ["--broadcast-limit", "0", "--spread", "4", "--profiles", f"file:{tmp_path}/profiles"]
+    cli.main([*enrich, "--find-hot", *large])
+    assert spark.read.parquet(f"file:{tmp_path}/profiles").count() == 2
     totals = latest_per_key(jdbc_scan(spark, database, out)).collect()
     assert {(r["sport"], r["athlete_count"]) for r in totals} == {("judo", 4), ("luge", 2)}
 
@@ -89,6 +91,16 @@ def test_sizes_reach_the_topic(topics):
     assert topics == [("a", "t", options)]
 
 
+@pytest.mark.parametrize(
+    "stage, option", [("bronze", "--snapshots"), ("bronze", "--missing"), ("silver", "--missing"),
+                      ("gold", "--snapshots"), ("medallion", "--missing")]
+)
+def test_batch_jobs_refuse_options_they_do_not_use(stage, option):
+    value = "latest" if option == "--snapshots" else "skip"
+    with pytest.raises(SystemExit):
+        cli._parser().parse_args([stage, "base", option, value])
+
+
 def test_publish_asks_for_a_way_to_split_the_table():
     with pytest.raises(SystemExit, match="--partition-column"):
         cli.main(["publish", "--servers", "a", "--topic", "t", "--jdbc-url", "u", "--jdbc-driver", "d"])

@@ -1,6 +1,7 @@
 """Scalar functions on literal edge rows."""
 
 import math
+from decimal import Decimal
 
 import pytest
 from hypothesis import given, settings
@@ -224,3 +225,13 @@ def test_decode_topic_shows_absent_and_empty_keys_as_null(spark):
     decoded = decode_topic(df, RESULT_EVENT).orderBy("partition").collect()
     assert [r["key"] for r in decoded] == [None, None, "é"]
     assert decoded[0]["value"]["sport"] == "a"
+
+
+def test_ids_with_a_fraction_are_null_in_any_type(spark):
+    rows = [("1", 12.0, Decimal("12.0"), "12"), ("2", 12.7, Decimal("12.7"), "12.7"), ("3", None, None, None)]
+    df = spark.createDataFrame(rows, "height string, a double, b decimal(5,1), c string")
+    typed = locale_numbers(df, measures=["height"], identifiers=["a", "b", "c"])
+    assert [t for _, t in typed.dtypes] == ["float", "int", "int", "int"]
+    assert {tuple(r) for r in typed.collect()} == {
+        (1.0, 12, 12, 12), (2.0, None, None, None), (3.0, None, None, None)
+    }

@@ -208,6 +208,25 @@ def test_copies_of_a_record_are_told_apart_by_their_position(spark, bio):
     assert sum(counts) == 4000 and max(counts) < 2500
 
 
+def test_hot_athletes_of_no_rows_and_of_one_athlete(spark):
+    rows = spark.createDataFrame([(None,), (1,), (1,)], "athlete_id int")
+    assert hot_athletes(rows) == [1]
+    assert hot_athletes(rows, 1.0) == []
+    assert hot_athletes(rows.limit(1).filter("athlete_id IS NOT NULL")) == []
+
+
+def test_hot_athletes_are_found_in_one_pass(spark, monkeypatch):
+    jobs = []
+    kind = type(spark.range(1))
+    collect = kind.collect
+    monkeypatch.setattr(kind, "collect", lambda df: jobs.append(1) or collect(df))
+    monkeypatch.setattr(kind, "count", lambda df: pytest.fail("another pass"))
+    rows = spark.range(0, 1000).select((F.col("id") % 200).cast("int").alias("athlete_id"))
+    assert hot_athletes(rows) == []
+    assert sorted(hot_athletes(rows, 0.004)) == list(range(200))
+    assert len(jobs) == 2
+
+
 def test_hot_athletes_are_not_looked_for_without_need(results, bio):
     def fail():
         raise AssertionError("called")

@@ -10,7 +10,7 @@ from tallystream.workload import ORACLES, QUERIES
 
 
 # A preview is a global limit.
-ALLOWED = {("preview", "SinglePartition")}
+ALLOWED = {("preview", "SinglePartition"), ("preview_members", "SinglePartition")}
 
 
 def test_every_query_has_a_twin():

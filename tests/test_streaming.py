@@ -214,6 +214,29 @@ def test_only_hot_athletes_are_salted(stage, capsys):
     assert sorted(hot_athletes(results, 0.1)) == [1, 2, 4]
 
 
+def test_large_biographies_are_stored_once(stage, capsys):
+    """Micro-batches read the stored copy; its exchange is the only one of the biographies."""
+    profiles = f"{stage.base}/profiles"
+    seen = []
+    for batch in (FIRST, SECOND):
+        stage.send(batch)
+        stage.run([collector(seen)], broadcast_limit=0, hot=[1], profiles=profiles)
+    assert seen == [{("judo", "Gold"): 2, ("judo", None): 2}, {("judo", "Gold"): 3}]
+    capsys.readouterr()
+    stage.tallies(broadcast_limit=0, hot=[1], profiles=profiles).explain()
+    plan = capsys.readouterr().out
+    assert "bio_country_noc:string,sum_height:double" in plan  # what the scan reads
+    assert plan.count("Exchange hashpartitioning(athlete_id") == 2  # one for each side
+
+
+def test_small_biographies_are_not_stored(stage):
+    profiles = f"{stage.base}/profiles"
+    stage.send(FIRST)
+    stage.tallies(profiles=profiles)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        stage.spark.read.parquet(profiles)
+
+
 def test_fan_out_delivers_equal_rows_and_skips_empty_batches(stage, spark, capsys):
     out, log = file_topic(f"{stage.base}/out"), f"{stage.base}/log"
     deliver = fanout_batch([topic_sink(out), log_sink(log)], preview_rows=5)
