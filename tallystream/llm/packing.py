@@ -12,7 +12,7 @@ import re
 import string
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,8 @@ from tallystream.llm.tables import store
 
 WINDOW = 4096
 END_ID = 2
-#: Words kept with their ids per task (some 100 MB); beyond that the memory starts anew.
+#: Words kept with their ids per task (some 100 MB); beyond that a new memory is begun, and the
+#: words that the one before has in common with it are taken over as they come up.
 REMEMBERED = 500_000
 #: Text bytes whose distinct words are encoded at a time.
 TEXT_BYTES = 1 << 21
@@ -54,6 +55,7 @@ class WordEncoder:
         # Special tokens, and marks that may join the letter before them.
         self.odd = "|".join([r"[\x{0300}-\x{036f}]", *map(re.escape, special)])
         self.seen: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
         ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -71,6 +73,17 @@ class WordEncoder:
         else:
             self.seen.update((p, self._plain(p)) for p in pieces)
 
+    def _recall(self, words: Iterable[str]) -> list[str]:
+        """Take words over from the older memory; returns those that it lacks."""
+        unknown = []
+        for w in words:
+            ids = self.older.get(w)
+            if ids is None:
+                unknown.append(w)
+            else:
+                self.seen[w] = ids
+        return unknown
+
     def _learn(self, new: list[str]) -> None:
         need = {w for w in new if w.isalpha()}
         composed = []
@@ -83,8 +96,8 @@ class WordEncoder:
             else:
                 self.seen[w] = self._plain(w)
         need.difference_update(self.seen)
-        if need:
-            self._learn_pieces(list(need))
+        if need := self._recall(need):
+            self._learn_pieces(need)
         seen = self.seen
         seen.update([(w, seen[core] + seen[tail]) for w, core, tail in composed])
 
@@ -94,9 +107,9 @@ class WordEncoder:
         encoded = split.flatten().dictionary_encode()
         distinct = encoded.dictionary.to_pylist()
         if len(self.seen) > REMEMBERED:
-            self.seen = {"": b""}
+            self.older, self.seen = self.seen, {"": b""}
         new = [w for w in distinct if w not in self.seen]
-        if new:
+        if new := self._recall(new):
             self._learn(new)
         known = list(map(self.seen.__getitem__, distinct))
         ids = np.frombuffer(b"".join(known), "<u4")
