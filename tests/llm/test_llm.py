@@ -358,3 +358,16 @@ def test_digest_of_kept_text(spark):
     row = substrings.op1_substring_dedup(spark, SF_DIR).orderBy("doc_id").first()
     text = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").first()["text"]
     assert row["kept_sha256"] == hashlib.sha256(" ".join(split(text)).encode()).hexdigest()
+
+
+def test_words_outlive_the_memory(monkeypatch):
+    """Texts in many parts, with a memory that is renewed all the time, as the tokenizer has them."""
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
+    encoder = packing.WordEncoder(packing.public_tokenizer(), packing.END_ID)
+    texts = ["the quick, brown fox", "the fox! x1y2", None, "", "quick (fox) café the", "fox, the brown"] * 3
+    for text in texts:
+        ids, sizes = encoder.encode(pa.array([text], pa.string()))
+        expected = encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+        got = np.frombuffer(ids[0].as_py(), "<u4").tolist()
+        assert got == [*expected, packing.END_ID] and sizes.tolist() == [len(got)]
+    assert "the" in encoder.seen and len(encoder.seen) + len(encoder.older) < 20
