@@ -19,12 +19,15 @@ from tallystream.llm.batches import parts
 from tallystream.llm.tables import id_of, key_of, store, table
 from tallystream.llm.words import mix, words
 
-#: Places of 12 consecutive words that each mask looks at.
+#: Places of 12 consecutive words that each mask looks at. Wherever the other words of an overlap
+#: stand, at least one mask fits between them somewhere (the tests go through all cases).
 MASKS = (
-    (0, 1, 2, 4, 6, 7, 9, 11),
-    (0, 1, 3, 5, 6, 8, 10, 11),
-    (0, 2, 3, 4, 7, 8, 9, 11),
-    (0, 1, 4, 5, 6, 9, 10, 11),
+    (0, 1, 2, 3, 4, 7, 8),
+    (0, 1, 3, 4, 5, 6, 7),
+    (0, 1, 3, 6, 8, 10, 11),
+    (0, 1, 3, 7, 9, 10, 11),
+    (0, 1, 4, 5, 6, 8, 9),
+    (0, 1, 4, 6, 9, 10, 11),
 )
 SPAN = 12
 #: Items of fewer words are not looked for; those up to ``SPAN`` are one seed without gaps.
@@ -33,6 +36,7 @@ SHORTEST = 8
 OVERLAP = 13
 #: ... of which at least this share is equal.
 EQUAL = 0.8
+_EQUAL_FOR_OTHER = round(EQUAL / (1 - EQUAL))
 #: Words of test items that are broadcast at a time (some 2 MB, 30 MB as seeds); more are more passes.
 BLOCK_WORDS = 250_000
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
@@ -89,18 +93,28 @@ class SeedIndex:
         return np.unique(np.concatenate(found, axis=1), axis=1).T
 
     def verify(self, numbers: np.ndarray, first: int, end: int, item: int, begin: int):
-        """Best overlap of the item laid at ``begin``: (start in the row, start in the item, words, equal)."""
+        """Longest overlap of the item laid at ``begin``: (start in the row, start in the item, words, equal).
+
+        Other words at its ends are left off as long as enough words remain.
+        """
         own = self.numbers[self.rows[item] : self.rows[item + 1]]
+        need = min(OVERLAP, len(own))
         a, b = max(begin, first), min(begin + len(own), end)
+        if b - a < need:
+            return None
         same = numbers[a:b] == own[a - begin : b - begin]
-        # The run with the best score, an equal word counting 1 and another one -3.
-        total = np.concatenate([[0], np.cumsum(np.where(same, 1, -3))])
-        low = np.minimum.accumulate(total)
-        stop = int(np.argmax(total - low))
-        start = int(np.flatnonzero(total[: stop + 1] == low[stop])[-1])
-        n, equal = stop - start, int(same[start:stop].sum())
-        if n < min(OVERLAP, len(own)) or equal < EQUAL * n:
+        # A run has enough equal words if its sum is not negative, so each place is paired with
+        # the first one before it whose prefix sum is not larger.
+        total = np.concatenate([[0], np.cumsum(np.where(same, 1, -_EQUAL_FOR_OTHER))])
+        starts = np.searchsorted(-np.minimum.accumulate(total), -total)
+        stop = int(np.argmax(np.arange(len(total)) - starts))
+        start = int(starts[stop])
+        if stop - start < need:
             return None
+        equals = np.flatnonzero(same[start:stop]) + start
+        start = min(int(equals[0]), stop - need)
+        stop = max(int(equals[-1]) + 1, start + need)
+        n, equal = stop - start, len(equals)
         return a + start - first, a + start - begin, n, equal
 
 

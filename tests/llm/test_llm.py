@@ -1,6 +1,7 @@
 """The pipeline operators against SQL, brute force, round trips and held-out labels."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -248,6 +249,49 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(df, benchmark.limit(0)).count() == 0
 
 
+def fits(masks, n, others):
+    """Whether a mask fits somewhere into ``n`` words without looking at one of ``others``."""
+    return any(not {s + at for at in m} & others for m in masks for s in range(n - m[-1]))
+
+
+def test_masks_meet_every_promised_overlap():
+    # A longer overlap has a half of 13 words or more with as large a share of equal words.
+    for n in range(12, 26):
+        for others in itertools.combinations(range(n), n // 5):
+            assert fits(decontaminate.MASKS, n, set(others)), (n, others)
+
+
+@pytest.mark.parametrize("n", range(12, 21))
+def test_overlaps_with_other_words_at_every_place(n):
+    """All overlaps that the rule names are found, and no others, however the other words lie."""
+    rng = random.Random(n)
+    item = [f"w{i}" for i in range(n)]
+    index = decontaminate.SeedIndex([0], [" ".join(item)])
+    places = [set(c) for k in range(3) for c in itertools.combinations(range(n), k)]
+    places += [set(rng.sample(range(n), rng.randrange(3, 8))) for _ in range(300)]
+    least = min(13, n)
+    for others in places:
+        text = " ".join(["before"] * 3 + ["other" if i in others else w for i, w in enumerate(item)] + ["behind"] * 3)
+        numbers, rows = words(pa.array([text]), lower=True)
+        hits = index.hits(numbers, np.zeros(len(numbers), int)).tolist()
+        got = [index.verify(numbers, rows[0], rows[1], i, begin) for _, i, begin in hits]
+        good = [
+            (b - a, a)
+            for a in range(n) for b in range(a + least, n + 1)
+            if 5 * len(others & set(range(a, b))) <= b - a
+        ]
+        if not good:
+            assert got in ([], [None]), others
+            continue
+        ((start, item_start, size, equal),) = got
+        assert start == item_start + 3 and size >= least and 5 * equal >= 4 * size
+        assert equal == sum(i not in others for i in range(item_start, item_start + size))
+        # The longest one, but for other words at its ends.
+        ends = max(good)[0] - size
+        assert any(set(range(a, item_start)) | set(range(item_start + size, a + size + ends)) <= others
+                   for length, a in good if length == size + ends and a <= item_start <= a + ends)
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((400, 24)).astype(np.float32)
