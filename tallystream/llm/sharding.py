@@ -1,13 +1,15 @@
 """Sharding: vector bin packing of groups by bytes, tokens and rows together.
 
 A group is placed in the shard where the dot product of its size vector with the shard's
-residual capacity is highest. Groups beyond a share of a shard are cut into pieces and placed
-one by one; all others are gathered by hash into a fixed number of bundles, so the placement
-itself handles a bounded number of items at any corpus size.
+residual capacity is highest. Groups beyond a share of a shard are cut into pieces, those beyond
+a smaller share of the whole are placed one by one; all others are gathered by hash into a fixed
+number of bundles, so the placement itself handles a bounded number of items at any corpus size.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,8 +17,10 @@ from pyspark.sql import functions as F
 from tallystream.llm.tables import store, table
 
 SHARDS = 16
-#: Bundles of small groups; the largest piece is this share of all bytes, tokens or rows.
+#: Bundles of small groups; a larger group than this share of all bytes, tokens or rows is placed alone.
 BUNDLES = 4096
+#: Groups of up to this share of a shard's bytes, tokens and rows are never cut.
+WHOLE = 0.25
 ROWS_PER_SLOT_RANGE = 1_000
 MEASURES = ("bytes", "tokens", "rows")
 
@@ -61,7 +65,7 @@ def shard(
 
     ``group`` names the group of a row, by default its text (64-bit hash; two texts that
     share one are merely placed together). Rows of a group share a shard unless the group is
-    larger than 1/``bundles`` of the whole, when it is cut by row into pieces. A null text
+    larger than a quarter of a shard, when it is cut by row into pieces of about that. A null text
     counts one byte, no token and a group of its own; null or repeated ids and equal rows are
     placed one by one. No rows give no rows.
     """
@@ -75,13 +79,14 @@ def shard(
         F.count("*").alias("rows"),
     ]
     totals = rows.agg(*sums).first()
-    limits = {m: max(1, -(-(totals[m] or 0) // bundles)) for m in MEASURES}
-    times = F.greatest(*[F.ceil(F.col(m) / F.lit(limits[m])) for m in MEASURES])
-    # At most 3 * bundles groups can exceed a limit, so this is bounded.
+    total = {m: totals[m] or 0 for m in MEASURES}
+    alone = [F.col(m) > max(1, -(-total[m] // bundles)) for m in MEASURES]
+    times = [F.ceil(F.col(m) / F.lit(max(1.0, WHOLE * total[m] / shards))) for m in MEASURES]
+    # At most 3 * bundles groups can exceed a limit, so this is bounded; so are the pieces.
     heavy = (
         rows.groupBy("group_key").agg(*sums)
-        .filter((F.col("rows") > 1) & (times > 1))
-        .select("group_key", times.alias("pieces"))
+        .filter(functools.reduce(Column.__or__, alone))
+        .select("group_key", F.least("rows", F.greatest(*times)).alias("pieces"))
         .orderBy("group_key").collect()
     )
     first, listed = bundles, []

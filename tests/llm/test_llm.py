@@ -249,6 +249,26 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(df, benchmark.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [200, 1_000, 20_000])
+def test_sharding_keeps_copies_together(spark, size):
+    rng = random.Random(size)
+    rows, i = [], 0
+    while i < size:
+        copies = rng.choice([1, 1, 2, 3]) if i > size / 50 else size // 100
+        text = " ".join(f"{w:4}" for w in rng.sample(range(1000, 10_000), 12))
+        rows += [(j, text) for j in range(i, i + copies)]
+        i += copies
+    got = sharding.shard(frame(spark, rows)).collect()
+    assert sorted(r["doc_id"] for r in got) == [d for d, _ in rows]
+    shards = {}
+    for r in got:
+        shards.setdefault(r["group_key"], set()).add(r["shard"])
+    assert len(shards) > size / 4 and all(len(s) == 1 for s in shards.values())
+    if size >= 1_000:  # 12 rows are too few for a shard to be even
+        sums = [sum(r["size"] for r in got if r["shard"] == s) for s in range(sharding.SHARDS)]
+        assert max(sums) < 1.05 * min(sums)
+
+
 def fits(masks, n, others):
     """Whether a mask fits somewhere into ``n`` words without looking at one of ``others``."""
     return any(not {s + at for at in m} & others for m in masks for s in range(n - m[-1]))
