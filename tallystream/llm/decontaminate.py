@@ -8,6 +8,7 @@ the overlap is verified word by word.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ from tallystream.llm.batches import parts
 from tallystream.llm.tables import id_of, key_of, store, table
 from tallystream.llm.words import mix, words
 
+_log = logging.getLogger(__name__)
+
 #: Places of 12 consecutive words that each mask looks at. Wherever the other words of an overlap
 #: stand, at least one mask fits between them somewhere (the tests go through all cases).
 MASKS = (
@@ -30,8 +33,25 @@ MASKS = (
     (0, 1, 4, 6, 9, 10, 11),
 )
 SPAN = 12
-#: Items of fewer words are not looked for; those up to ``SPAN`` are one seed without gaps.
-SHORTEST = 8
+#: Masks for items of so many words (from, to), which meet every whole item with 80 % equal.
+SHORT_MASKS = (
+    (6, 6, ((0, 1, 2, 4), (0, 3, 4, 5))),
+    (7, 7, ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 2, 3, 4, 5))),
+    (8, 9, ((0, 1, 2, 3, 4, 6), (0, 1, 3, 4, 5, 6), (0, 2, 3, 5, 6, 7))),
+    (
+        10,
+        11,
+        (
+            (0, 1, 2, 3, 5, 7),
+            (0, 1, 2, 3, 6, 7),
+            (0, 1, 3, 4, 5, 6),
+            (0, 1, 4, 5, 7, 8),
+            (0, 2, 4, 5, 6, 7),
+        ),
+    ),
+)
+#: Items of fewer words are not looked for, see ``not_looked_for``.
+SHORTEST = SHORT_MASKS[0][0]
 #: An overlap counts from so many words, or the whole item if that is shorter ...
 OVERLAP = 13
 #: ... of which at least this share is equal.
@@ -63,7 +83,7 @@ class SeedIndex:
         sizes = np.diff(self.rows)
         item_of = np.repeat(np.arange(len(ids)), sizes)
         self.masks = [(m, sizes >= SPAN) for m in MASKS]
-        self.masks += [(tuple(range(n)), sizes == n) for n in range(SHORTEST, SPAN)]
+        self.masks += [(m, (sizes >= a) & (sizes <= b)) for a, b, masks in SHORT_MASKS for m in masks]
         self.tables = []
         for mask, which in self.masks:
             hashes = seeds(self.numbers, mask)
@@ -139,16 +159,23 @@ def _search(shared):
     return run
 
 
+def counted(benchmark: DataFrame) -> DataFrame:
+    n = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
+    return benchmark.withColumn("n", F.coalesce(n, F.lit(0)))
+
+
+def not_looked_for(benchmark: DataFrame) -> DataFrame:
+    """Test items that are too short to be looked for (or null), with their number of words ``n``."""
+    return counted(benchmark).filter(f"n < {SHORTEST}")
+
+
 def blocks(benchmark: DataFrame) -> Iterator[tuple[list[int], list[str]]]:
     """Items in blocks of at most ``BLOCK_WORDS`` words (a longer item is a block of its own)."""
-    items = store(
-        benchmark.select(
-            key_of("item_id").alias("item_id"),
-            "text",
-            F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).alias("n"),
-        ).filter(f"n >= {SHORTEST}"),
-        "items",
-    )
+    items = store(counted(benchmark.select(key_of("item_id").alias("item_id"), "text")), "items")
+    short = items.filter(f"n < {SHORTEST}").count()
+    if short:
+        _log.warning("%d test items of fewer than %d words are not looked for", short, SHORTEST)
+    items = items.filter(f"n >= {SHORTEST}")
     # A block has items whose hash falls to it, so its size is near the mean.
     total = items.agg(F.sum("n")).first()[0] or 0
     n = -(-2 * total // BLOCK_WORDS)
@@ -164,8 +191,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     Columns: d (doc_id, null as the largest number), item_id, doc_start and item_start (words
     before the overlap), n_words, n_equal. An overlap is at least 13 words, or the item if that
-    is shorter, of which 80 % are equal; A to Z are lower-cased. Items of fewer than 8 words
-    and null texts have none. Equal items are all given. Other columns are ignored.
+    is shorter, of which 80 % are equal; A to Z are lower-cased. Items of fewer than 6 words
+    and null texts have none (``not_looked_for`` gives them). Equal items are all given. Other columns are ignored.
     """
     spark = docs.sparkSession
     texts = docs.select(key_of().alias("d"), "text")

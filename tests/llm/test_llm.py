@@ -281,6 +281,29 @@ def test_masks_meet_every_promised_overlap():
             assert fits(decontaminate.MASKS, n, set(others)), (n, others)
 
 
+    for low, high, masks in decontaminate.SHORT_MASKS:
+        for n in range(low, high + 1):
+            for others in itertools.combinations(range(n), n // 5):
+                assert fits(masks, n, set(others)), (n, others)
+
+
+def test_short_items(spark, caplog):
+    items = [(n, " ".join(f"i{n}w{i}" for i in range(n))) for n in range(1, 12)] + [(12, None)]
+    docs, want = [], set()
+    for n, text in items[:11]:
+        for others in [(), *itertools.combinations(range(n), 1), *itertools.combinations(range(n), 2)]:
+            body = ["other" if i in others else w for i, w in enumerate(text.split())]
+            docs.append((len(docs), " ".join(["a", "b", *body, "c"])))
+            if n >= 6 and 5 * len(others) <= n:
+                want.add((len(docs) - 1, n))
+    benchmark = frame(spark, items, "item_id long, text string")
+    got = decontaminate.overlaps(frame(spark, docs), benchmark).collect()
+    assert {(r["d"], r["item_id"]) for r in got} == want
+    assert all(r["n_words"] == r["item_id"] and (r["doc_start"], r["item_start"]) == (2, 0) for r in got)
+    assert sorted(r["item_id"] for r in decontaminate.not_looked_for(benchmark).collect()) == [1, 2, 3, 4, 5, 12]
+    assert "6 test items of fewer than 6 words are not looked for" in caplog.text
+
+
 @pytest.mark.parametrize("n", range(12, 21))
 def test_overlaps_with_other_words_at_every_place(n):
     """All overlaps that the rule names are found, and no others, however the other words lie."""
