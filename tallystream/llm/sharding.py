@@ -42,7 +42,7 @@ def place(sizes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def measured(docs: DataFrame, group: Column) -> DataFrame:
-    """Sizes of every row; the text itself goes no further."""
+    """Sizes of every row and a number of its own, once stored; the text itself goes no further."""
     body = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -50,6 +50,7 @@ def measured(docs: DataFrame, group: Column) -> DataFrame:
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.regexp_count(body, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("tokens"),
         group.alias("group_key"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
@@ -67,7 +68,8 @@ def shard(
     share one are merely placed together). Rows of a group share a shard unless the group is
     larger than a quarter of a shard, when it is cut by row into pieces of about that. A null text
     counts one byte, no token and a group of its own; null or repeated ids and equal rows are
-    placed one by one. No rows give no rows.
+    placed one by one. Slots and pieces follow the rows' numbers in the stored sizes, so another
+    split of the input into tasks can give others. No rows give no rows.
     """
     spark = docs.sparkSession
     if group is None:
@@ -98,7 +100,7 @@ def shard(
         "item",
         F.when(
             F.col("first").isNotNull(),
-            F.col("first") + F.pmod(F.xxhash64("doc_id", "size"), F.col("pieces")),
+            F.col("first") + F.pmod(F.xxhash64("row"), F.col("pieces")),
         ).otherwise(F.pmod(F.xxhash64("group_key"), F.lit(bundles))),
     )
     items = keyed.groupBy("item").agg(*sums).orderBy("item").collect()
@@ -108,7 +110,7 @@ def shard(
         [(r["item"], int(s)) for r, s in zip(items, chosen, strict=True)], "item long, shard int"
     )
     placed = keyed.join(F.broadcast(places), "item").select(
-        "doc_id", "size", "text_crc32", "tokens", "group_key", "shard"
+        "doc_id", "size", "text_crc32", "tokens", "group_key", "shard", "row"
     )
     return with_slots(placed, totals["rows"], shards)
 
@@ -116,20 +118,18 @@ def shard(
 def with_slots(placed: DataFrame, rows: int, shards: int) -> DataFrame:
     """Number the rows of each shard from 0: prefix sums over ranges, then within each range."""
     ranges = max(1, rows // (shards * ROWS_PER_SLOT_RANGE))
-    placed = placed.withColumn(
-        "range", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(ranges))
-    )
+    placed = placed.withColumn("range", F.pmod(F.xxhash64("row"), F.lit(ranges)))
     before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy("shard", "range").agg(F.count("*").alias("n"))
         .select("shard", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     )
-    within = Window.partitionBy("shard", "range").orderBy("doc_id", "text_crc32", "size")
+    within = Window.partitionBy("shard", "range").orderBy("row")
     return (
         placed.withColumn("nth", F.row_number().over(within))
         .join(starts, ["shard", "range"])
         .withColumn("slot", (F.col("base") + F.col("nth") - 1).cast("long"))
-        .drop("range", "nth", "base")
+        .drop("range", "nth", "base", "row")
     )
 
 

@@ -269,6 +269,18 @@ def test_sharding_keeps_copies_together(spark, size):
         assert max(sums) < 1.05 * min(sums)
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_sharding_cuts_equal_rows(spark, doc_id, monkeypatch):
+    monkeypatch.setattr(sharding, "ROWS_PER_SLOT_RANGE", 20)
+    rows = [(doc_id, "same old text")] * 1_000 + [(i, f"text number {i}") for i in range(1_000, 3_000)]
+    got = sharding.shard(frame(spark, rows)).collect()
+    assert sorted(map(str, (r["doc_id"] for r in got))) == sorted(str(d) for d, _ in rows)
+    shards = [[r for r in got if r["shard"] == s] for s in range(sharding.SHARDS)]
+    assert all(sorted(r["slot"] for r in own) == list(range(len(own))) for own in shards)
+    sums = [sum(r["size"] for r in own) for own in shards]
+    assert max(sums) < 1.1 * min(sums)
+
+
 def fits(masks, n, others):
     """Whether a mask fits somewhere into ``n`` words without looking at one of ``others``."""
     return any(not {s + at for at in m} & others for m in masks for s in range(n - m[-1]))
