@@ -15,7 +15,7 @@ from tallystream.llm.tables import table
 
 BUCKETS = 1 << 16
 LENGTHS = (1, 2, 3)
-#: Labelled rows that the model is fitted on, chosen by hash.
+#: Labelled rows that the model is fitted on, as many of each language, chosen by hash.
 TRAINING_ROWS = 20_000
 #: The matrix of log-probabilities is broadcast: 0.5 MB a language.
 LANGUAGES = 200
@@ -66,20 +66,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def quota(sizes: list[int], rows: int) -> int:
+    """Rows to take of each language (all of smaller ones), so that at most ``rows`` are taken together."""
+    for i, size in enumerate(sorted(sizes)):
+        each = rows // (len(sizes) - i)
+        if size > each:
+            return max(1, each)
+        rows -= size
+    return max(sizes, default=0)
+
+
 def fit(labelled: DataFrame, rows: int = TRAINING_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and their log-probabilities (buckets x languages) from ``labelled`` (doc_id, text, lang).
 
-    At most about ``rows`` rows are used, those with the smallest hash of doc_id. Every language
-    counts alike (no prior).
+    At most about ``rows`` rows are used, of each language those with the smallest hash of doc_id:
+    all of languages that have fewer rows than their share, and of the others as many as that
+    leaves for each. Every language counts alike (no prior).
     """
+    spark = labelled.sparkSession
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
     known = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(LANGUAGES + 1).collect()
     if len(known) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    total = sum(r["n"] for r in known)
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int((1 << 32) * min(1.0, rows / max(total, 1)))
+    each = quota([r["n"] for r in known], rows)
+    shares = spark.createDataFrame(
+        [(r["lang"], int((1 << 32) * min(1.0, each / r["n"]))) for r in known], "lang string, below long"
+    )
     counted = (
-        labelled.filter(share).select("text", "lang").repartition(_TASKS)
+        labelled.join(F.broadcast(shares), "lang")
+        .filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < F.col("below"))
+        .select("text", "lang").repartition(_TASKS)
         .mapInArrow(_count, "lang string, counts binary").collect()
     )
     names = sorted({r["lang"] for r in counted})

@@ -398,6 +398,26 @@ def test_language_held_out(spark):
     assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
 
 
+def test_rare_language_is_learned(spark):
+    rows = [(i, "abc abd" if i % 2 else "cde dce", "xy"[i % 2]) for i in range(10_000)]
+    rows += [(i, "öüä ßöü", "z") for i in range(10_000, 10_003)]
+    names, table = language.fit(frame(spark, rows, DOCS + ", lang string"), rows=500)
+    assert names == ["x", "y", "z"]
+    odd = frame(spark, [(1, "öü", True), (2, "abd", True), (3, "dce", True)], DOCS + ", held_out boolean")
+    out = {r["doc_id"]: r["lang_pred"] for r in language.predict(odd, (names, table)).collect()}
+    assert out == {1: "z", 2: "y", 3: "x"}
+
+
+def test_quota_of_languages():
+    assert language.quota([], 10) == 0 and language.quota([3, 4], 10) == 4
+    assert language.quota([5000, 10, 1000], 900) == 445
+    for sizes in ([1, 2, 3, 4, 5], [7, 7, 7], [1, 100, 100], [30]):
+        for rows in range(len(sizes), 220):
+            each = language.quota(sizes, rows)
+            taken = sum(min(n, each) for n in sizes)
+            assert taken <= rows and (taken == sum(sizes) or taken > rows - len(sizes))
+
+
 def test_quality_held_out(spark):
     sf = SF_DIR.replace("sf0.001", "sf0.01")
     labels = spark.read.parquet(f"{sf}/labels.parquet")
