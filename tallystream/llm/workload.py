@@ -4,6 +4,7 @@ from tallystream.llm.decontaminate import op10_spaced_seed_decontamination
 from tallystream.llm.jaccard import OP6_SQL, op6_ngram_jaccard_join
 from tallystream.llm.language import op9_language_naive_bayes
 from tallystream.llm.packing import op4_pack_concat_cut
+from tallystream.llm.periodic import op12_baier_runs
 from tallystream.llm.quality import op7_pu_quality
 from tallystream.llm.sharding import op3_shard_vector_packing
 from tallystream.llm.substrings import OP1_SQL, op1_substring_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_one_bit_neighbours": op8_one_bit_neighbours,
     "op9_language_naive_bayes": op9_language_naive_bayes,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
+    "op12_baier_runs": op12_baier_runs,
 }
 
 ORACLES = {
