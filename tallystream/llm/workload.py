@@ -1,6 +1,7 @@
 """The pipeline operators as queries over the given tables, with SQL where SQL can express them."""
 
 from tallystream.llm.decontaminate import op10_spaced_seed_decontamination
+from tallystream.llm.dialogues import op13_auction_repair
 from tallystream.llm.jaccard import OP6_SQL, op6_ngram_jaccard_join
 from tallystream.llm.language import op9_language_naive_bayes
 from tallystream.llm.packing import op4_pack_concat_cut
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_language_naive_bayes": op9_language_naive_bayes,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
     "op12_baier_runs": op12_baier_runs,
+    "op13_auction_repair": op13_auction_repair,
 }
 
 ORACLES = {
