@@ -4,6 +4,7 @@ from tallystream.llm.decontaminate import op10_spaced_seed_decontamination
 from tallystream.llm.dialogues import op13_auction_repair
 from tallystream.llm.jaccard import OP6_SQL, op6_ngram_jaccard_join
 from tallystream.llm.language import op9_language_naive_bayes
+from tallystream.llm.mixing import op11_cube_mixing
 from tallystream.llm.packing import op4_pack_concat_cut
 from tallystream.llm.periodic import op12_baier_runs
 from tallystream.llm.quality import op7_pu_quality
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_one_bit_neighbours": op8_one_bit_neighbours,
     "op9_language_naive_bayes": op9_language_naive_bayes,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
+    "op11_cube_mixing": op11_cube_mixing,
     "op12_baier_runs": op12_baier_runs,
     "op13_auction_repair": op13_auction_repair,
 }
