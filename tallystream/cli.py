@@ -10,7 +10,7 @@ from functools import partial
 from tallystream.functions import parse_envelope
 from tallystream.operators import BROADCAST_LIMIT, hot_athletes
 from tallystream.operators.enrich import SPREAD
-from tallystream.plans import Layers, run_bronze, run_gold, run_medallion, run_silver
+from tallystream.plans import Journal, Layers, run_bronze, run_gold, run_medallion, run_silver
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
 from tallystream.session import build_session
 from tallystream.sinks import jdbc_sink, replay_publish, topic_sink
@@ -35,6 +35,16 @@ def _parser() -> argparse.ArgumentParser:
         if stage == "gold":
             job.add_argument("--missing", choices=("raise", "skip"), default="raise")
         job.add_argument("--preview", type=int, default=10, metavar="ROWS")
+        if stage != "bronze":
+            job.add_argument(
+                "--versions-only",
+                action="store_true",
+                help="leave days where they were written, for stores that rename by copying",
+            )
+        if stage != "medallion":
+            job.add_argument(
+                "--resume", action="store_true", help="pass over what this --run-ts has finished"
+            )
 
     topics = argparse.ArgumentParser(add_help=False)
     topics.add_argument("--servers", required=True)
@@ -117,15 +127,20 @@ def main(argv: list[str] | None = None) -> None:
         initial_partitions=args.initial_partitions,
     )
     if args.job in STAGES:
-        layers, rows = Layers.below(args.base), args.preview
+        layers = Layers.below(args.base, plain=not getattr(args, "versions_only", False))
+        resume = getattr(args, "resume", False)
+        journal = Journal(spark, layers.run_journal(args.run_ts)) if resume else None
+        options = {"preview_rows": args.preview, "journal": journal}
         if args.job == "bronze":
-            run_bronze(spark, layers, args.run_ts, preview_rows=rows)
+            run_bronze(spark, layers, args.run_ts, **options)
         elif args.job == "silver":
-            run_silver(spark, layers, args.run_ts, snapshots=args.snapshots, preview_rows=rows)
+            run_silver(spark, layers, args.run_ts, snapshots=args.snapshots, **options)
         elif args.job == "gold":
-            run_gold(spark, layers, args.run_ts, missing=args.missing, preview_rows=rows)
+            run_gold(spark, layers, args.run_ts, missing=args.missing, **options)
         else:
-            run_medallion(spark, layers, args.run_ts, args.snapshots, preview_rows=rows)
+            run_medallion(
+                spark, layers, args.run_ts, args.snapshots, preview_rows=args.preview
+            )
     elif args.job == "publish":
         if args.partition_column is None and not args.single_task:
             raise SystemExit("publish: give --partition-column, or --single-task for a small table")

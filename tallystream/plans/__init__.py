@@ -1,3 +1,4 @@
+from tallystream.plans.journal import Journal
 from tallystream.plans.medallion import Layers, run_bronze, run_gold, run_medallion, run_silver
 
-__all__ = ["Layers", "run_bronze", "run_gold", "run_medallion", "run_silver"]
+__all__ = ["Journal", "Layers", "run_bronze", "run_gold", "run_medallion", "run_silver"]

@@ -1,9 +1,9 @@
+from tallystream.sources.days import day_folder, read_day
 from tallystream.sources.jdbc import Database, jdbc_bounds, jdbc_scan
 from tallystream.sources.landing import csv_landing_scan
 from tallystream.sources.snapshots import (
     day_stamp,
     latest_snapshot,
-    read_day,
     read_snapshots,
     second_stamp,
 )
@@ -13,6 +13,7 @@ __all__ = [
     "Database",
     "Topic",
     "csv_landing_scan",
+    "day_folder",
     "day_stamp",
     "file_topic",
     "jdbc_bounds",

@@ -6,7 +6,8 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallystream.sources.paths import folders, path_exists
+from tallystream.sources.paths import finished as is_finished
+from tallystream.sources.paths import folders
 
 
 def _utc(run_ts: datetime) -> datetime:
@@ -41,7 +42,7 @@ def latest_snapshot(
         raise ValueError(f"by must be 'modified' or 'name', not {by!r}")
     found = folders(spark, f"{base}/{pattern}")
     if finished:
-        found = [f for f in found if path_exists(spark, f"{f.path}/_SUCCESS")]
+        found = [f for f in found if is_finished(spark, f.path)]
     newest = max(found, key=None if by == "modified" else lambda f: f.path, default=None)
     return newest.path if newest else None
 
@@ -62,7 +63,7 @@ def read_snapshots(
     pattern = f"{day_stamp(run_ts)}_*"
     if snapshots == "all":
         found = folders(spark, f"{base}/{pattern}")
-        finished = sorted(f.path for f in found if path_exists(spark, f"{f.path}/_SUCCESS"))
+        finished = sorted(f.path for f in found if is_finished(spark, f.path))
         if found and not finished:
             raise FileNotFoundError(f"no finished snapshot matches {base}/{pattern}")
         paths = finished or [f"{base}/{pattern}"]
@@ -73,12 +74,3 @@ def read_snapshots(
     if newest is None:
         raise FileNotFoundError(f"no snapshot matches {base}/{pattern}")
     return spark.read.parquet(newest)
-
-
-def read_day(spark: SparkSession, path: str, missing: str = "raise") -> DataFrame | None:
-    """A day folder. If it is absent: an error, or None with ``missing="skip"``."""
-    if path_exists(spark, path):
-        return spark.read.parquet(path)
-    if missing == "skip":
-        return None
-    raise FileNotFoundError(path)

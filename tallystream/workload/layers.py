@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,8 +12,9 @@ from tallystream.functions import clean_strings
 from tallystream.plans import Layers, run_bronze, run_gold, run_medallion, run_silver
 from tallystream.plans.medallion import BIOGRAPHY, RESULTS
 from tallystream.scratch import new_dir
-from tallystream.sinks import overwrite_day, write_snapshot
+from tallystream.sinks import overwrite_day, publish_version, write_snapshot, write_version
 from tallystream.sources import csv_landing_scan, latest_snapshot, read_day, read_snapshots
+from tallystream.sources.paths import remove
 from tallystream.workload import domain
 from tallystream.workload.domain import clean_sql, table
 
@@ -92,6 +94,44 @@ def silver_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present[0].withColumn("days_present", F.lit(len(present)))
 
 
+def overwrite_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An overwrite fails in some of its tasks: the day is what it was."""
+    layers = Layers.below(new_dir(spark, "broken"))
+    path = layers.silver_day("part", MORNING)
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    overwrite_day(part, path)
+    fails = F.expr("IF(p_partkey % 97 = 5, CAST(raise_error('broken') AS INT), p_size + 1)")
+    failed = False
+    try:
+        overwrite_day(part.repartition(8, "p_partkey").withColumn("p_size", fails), path)
+    except PySparkException:
+        failed = True
+    return read_day(spark, path).withColumn("failed", F.lit(failed))
+
+
+def overwrite_cut_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A process ends after naming a new version and before putting it in place: it counts."""
+    layers = Layers.below(new_dir(spark, "cut"))
+    path = layers.silver_day("part", MORNING)
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    overwrite_day(part, path)
+    publish_version(spark, path, write_version(clean_strings(part), path))
+    return read_day(spark, path)
+
+
+def guard_unfinished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day whose writer has not ended is as good as absent."""
+    layers = Layers.below(new_dir(spark, "unfinished"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    paths = [layers.silver_day("part", day) for day in (MORNING, NEXT_DAY)]
+    overwrite_day(part, paths[0])
+    part.write.parquet(paths[1])
+    remove(spark, f"{paths[1]}/_SUCCESS")
+    days = [read_day(spark, path, missing="skip") for path in paths]
+    present = [day for day in days if day is not None]
+    return present[0].withColumn("days_present", F.lit(len(present)))
+
+
 def bronze_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _landed(spark, sf_dir, "bronze")
     written = run_bronze(spark, layers, MORNING)
@@ -149,6 +189,36 @@ def medallion_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_day(spark, gold).drop("timestamp")
 
 
+def medallion_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run breaks after bronze; run again, it does the two steps that are left."""
+    layers = _landed(spark, sf_dir, "resumed")
+
+    def breaks(step: str, _) -> None:
+        if step == f"bronze-{RESULTS}":
+            raise InterruptedError(step)
+
+    try:
+        run_medallion(spark, layers, MORNING, watch=breaks)
+    except InterruptedError:
+        pass
+    steps = []
+    gold = run_medallion(spark, layers, MORNING, watch=lambda step, _: steps.append(step))
+    return read_day(spark, gold).drop("timestamp").withColumn("steps", F.lit(len(steps)))
+
+
+def medallion_late_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run stops half-way through bronze, as a file has not landed, and goes on when it has."""
+    layers = _landed(spark, sf_dir, "late", (BIOGRAPHY,))
+    try:
+        run_medallion(spark, layers, MORNING)
+    except PySparkException:
+        landing = domain.results(spark, sf_dir)
+        landing.write.option("header", "true").csv(layers.landing_file(RESULTS))
+    steps = []
+    gold = run_medallion(spark, layers, MORNING, watch=lambda step, _: steps.append(step))
+    return read_day(spark, gold).drop("timestamp").withColumn("steps", F.lit(len(steps)))
+
+
 QUERIES = {
     "csv_landing_scan": csv_scan,
     "csv_landing_scan_bios": csv_scan_bios,
@@ -158,6 +228,9 @@ QUERIES = {
     "latest_snapshot": newest_folder,
     "silver_write": silver_written,
     "silver_scan_guarded": silver_guarded,
+    "silver_scan_unfinished": guard_unfinished,
+    "silver_overwrite_broken": overwrite_broken,
+    "silver_overwrite_cut_short": overwrite_cut_short,
     "run_bronze": bronze_job,
     "run_bronze_results": bronze_job_results,
     "run_silver": silver_job,
@@ -166,6 +239,8 @@ QUERIES = {
     "run_medallion": medallion,
     "run_medallion_two_landings": medallion_twice,
     "run_medallion_latest": medallion_latest,
+    "run_medallion_resumed": medallion_resumed,
+    "run_medallion_late_landing": medallion_late_landing,
 }
 
 # A CSV file cannot tell an empty text from a missing one: both read as NULL.
@@ -204,6 +279,11 @@ ORACLES = {
     "silver_scan_guarded": (
         "SELECT p_partkey, p_name, CAST(1 AS INTEGER) AS days_present FROM part"
     ),
+    "silver_scan_unfinished": (
+        "SELECT p_partkey, p_name, CAST(1 AS INTEGER) AS days_present FROM part"
+    ),
+    "silver_overwrite_broken": "SELECT p_partkey, p_name, p_size, true AS failed FROM part",
+    "silver_overwrite_cut_short": f"SELECT p_partkey, {clean_sql('p_name')} AS p_name FROM part",
     "run_bronze": f"SELECT {_TEXT_BIOS} FROM ({domain.BIOGRAPHIES_SQL})",
     "run_bronze_results": f"SELECT {_TEXT_RESULTS} FROM ({domain.RESULTS_SQL})",
     "run_silver": f"SELECT {_CLEANED} FROM ({domain.RESULTS_SQL})",
@@ -212,4 +292,6 @@ ORACLES = {
     "run_medallion": _gold_sql(1),
     "run_medallion_two_landings": _gold_sql(2),
     "run_medallion_latest": _gold_sql(1),
+    "run_medallion_resumed": f"SELECT *, CAST(2 AS INTEGER) AS steps FROM ({_gold_sql(1)})",
+    "run_medallion_late_landing": f"SELECT *, CAST(3 AS INTEGER) AS steps FROM ({_gold_sql(1)})",
 }

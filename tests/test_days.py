@@ -1,0 +1,204 @@
+"""Days that are replaced as a whole, and runs that go on where they broke."""
+
+from datetime import datetime, timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tallystream import cli
+from tallystream.plans import Journal, Layers, run_bronze, run_medallion, run_silver
+from tallystream.plans.medallion import BIOGRAPHY, RESULTS
+from tallystream.sinks import (
+    drop_leftovers,
+    overwrite_day,
+    publish_version,
+    put_in_place,
+    write_version,
+)
+from tallystream.sources import day_folder, latest_snapshot, read_day
+from tallystream.sources.paths import read_note, write_note
+
+RUN = datetime(2024, 8, 4, 8, 0, 0)
+
+
+@pytest.fixture
+def day(tmp_path):
+    return f"file:{tmp_path}/silver/t/20240804"
+
+
+def local(path):
+    return Path(path.removeprefix("file:"))
+
+
+def rows(df):
+    return sorted(r[0] for r in df.collect())
+
+
+def failing(spark):
+    return spark.range(0, 100, 1, 8).select(F.expr("IF(id = 77, CAST(raise_error('broken') AS BIGINT), id)").alias("id"))
+
+
+@pytest.mark.parametrize("plain", [True, False])
+def test_a_failed_overwrite_changes_nothing(spark, day, plain):
+    with pytest.raises(PySparkException):
+        overwrite_day(failing(spark), day, plain)
+    assert read_day(spark, day, missing="skip") is None
+    overwrite_day(spark.range(3), day, plain)
+    with pytest.raises(PySparkException):
+        overwrite_day(failing(spark), day, plain)
+    assert rows(read_day(spark, day)) == [0, 1, 2]
+    overwrite_day(spark.range(5), day, plain)
+    assert rows(read_day(spark, day)) == [0, 1, 2, 3, 4]
+    if plain:
+        assert spark.read.parquet(day).count() == 5
+
+
+def test_a_process_may_end_at_any_point(spark, day):
+    overwrite_day(spark.range(2), day)
+    version = write_version(spark.range(3), day)  # ends before it is named
+    assert read_day(spark, day).count() == 2
+    publish_version(spark, day, version)  # ends before it is in place
+    assert read_day(spark, day).count() == 3
+    local(day).rename(local(day).with_name("moved-away"))  # ends between the two renames
+    assert read_day(spark, day).count() == 3
+    put_in_place(spark, day)
+    put_in_place(spark, day)
+    assert day_folder(spark, day) == day
+    assert spark.read.parquet(day).count() == read_day(spark, day).count() == 3
+
+
+def test_a_running_reader_keeps_its_version(spark, day):
+    overwrite_day(spark.range(4), day, plain=False)
+    reader = read_day(spark, day)
+    overwrite_day(spark.range(9), day, plain=False)
+    assert (reader.count(), read_day(spark, day).count()) == (4, 9)
+
+
+def test_the_last_of_two_writers_counts(spark, day):
+    first, second = write_version(spark.range(1), day), write_version(spark.range(2), day)
+    publish_version(spark, day, second)
+    publish_version(spark, day, first)
+    put_in_place(spark, day)
+    assert read_day(spark, day).count() == 1
+
+
+def test_a_version_that_lost_files_is_refused(spark, day):
+    overwrite_day(spark.range(0, 100, 1, 4), day)
+    next(local(day).glob("part-*")).unlink()
+    with pytest.raises(FileNotFoundError, match="not all files"):
+        read_day(spark, day)
+    with pytest.raises(FileNotFoundError, match="not all files"):
+        read_day(spark, day, missing="skip")
+
+
+def test_folders_written_otherwise_count_when_finished(spark, day):
+    spark.range(6).write.parquet(day)
+    assert read_day(spark, day).count() == 6
+    (local(day) / "_SUCCESS").unlink()
+    assert read_day(spark, day, missing="skip") is None
+    with pytest.raises(FileNotFoundError, match="unfinished"):
+        read_day(spark, day)
+    overwrite_day(spark.range(2), day)
+    assert spark.read.parquet(day).count() == read_day(spark, day).count() == 2
+
+
+def test_leftovers_are_dropped_when_old(spark, day):
+    overwrite_day(spark.range(2), day, plain=False)
+    with pytest.raises(PySparkException):
+        overwrite_day(failing(spark), day)
+    write_version(spark.range(7), day)
+    assert drop_leftovers(spark, day) == []
+    assert len(drop_leftovers(spark, day, older_than_seconds=-60)) >= 1
+    assert read_day(spark, day).count() == 2
+    assert drop_leftovers(spark, day, older_than_seconds=-60) == []
+    assert latest_snapshot(spark, day.rpartition("/")[0], by="name") is None  # hidden folders are no snapshots
+
+
+def test_notes_are_written_once(spark, tmp_path):
+    path = f"file:{tmp_path}/notes/a.json"
+    assert read_note(spark, path) is None
+    assert write_note(spark, path, {"a": "é", "n": 1})
+    assert not write_note(spark, path, {"a": "other"})
+    assert read_note(spark, path) == {"a": "é", "n": 1}
+    assert [p.name for p in (tmp_path / "notes").iterdir() if p.suffix == ".json"] == ["a.json"]
+
+
+@pytest.fixture
+def landed(tmp_path):
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / f"{BIOGRAPHY}.csv").write_text("athlete_id,sex\n1,F\n")
+    (folder / f"{RESULTS}.csv").write_text("athlete_id,sport,country_noc,medal\n1,Judo,UKR,Gold\n2,Judo,UKR,\n")
+    return Layers.below(f"file:{tmp_path}")
+
+
+def recorder(into, breaks_after=None):
+    def watch(step, entry):
+        into.append(step)
+        if step == breaks_after:
+            raise InterruptedError(step)
+
+    return watch
+
+
+STEPS = [f"bronze-{BIOGRAPHY}", f"bronze-{RESULTS}", f"silver-{RESULTS}", f"gold-{RESULTS}"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_run_goes_on_after_any_step(spark, landed, step):
+    first, second, third = [], [], []
+    with pytest.raises(InterruptedError):
+        run_medallion(spark, landed, RUN, watch=recorder(first, step))
+    gold = run_medallion(spark, landed, RUN, watch=recorder(second))
+    assert first + second == STEPS
+    assert sorted(map(tuple, read_day(spark, gold).drop("timestamp").collect())) == [
+        ("judo", "ukr", "", 1),
+        ("judo", "ukr", "gold", 1),
+    ]
+    assert run_medallion(spark, landed, RUN, watch=recorder(third)) == gold and third == []
+
+
+def test_an_unfinished_snapshot_of_the_run_is_written_anew(spark, landed):
+    path = landed.bronze_snapshot(RESULTS, RUN)
+    spark.range(3).write.parquet(path)
+    (local(path) / "_SUCCESS").unlink()
+    with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+        run_bronze(spark, landed, RUN)
+    run_medallion(spark, landed, RUN)
+    assert "sport" in spark.read.parquet(path).columns
+
+
+def test_other_options_repeat_silver_and_gold(spark, landed):
+    run_medallion(spark, landed, RUN)
+    run_bronze(spark, landed, RUN + timedelta(hours=1))
+    steps = []
+    gold = run_medallion(spark, landed, RUN, snapshots="latest", watch=recorder(steps))
+    assert steps == STEPS[2:]
+    assert read_day(spark, gold).agg(F.sum("medal_count")).first()[0] == 2
+
+
+def test_a_journal_of_single_stages(spark, landed):
+    journal = Journal(spark, landed.run_journal(RUN))
+    run_bronze(spark, landed, RUN, journal=journal)
+    (local(landed.landing_file(RESULTS))).unlink()  # not read again
+    run_bronze(spark, landed, RUN, journal=journal)
+    written = run_silver(spark, landed, RUN, journal=journal)
+    local(landed.silver_day(RESULTS, RUN) + "/_version").unlink()
+    assert run_silver(spark, landed, RUN, journal=journal) == written
+
+
+def test_stages_resume_from_the_command_line(spark, landed, tmp_path):
+    stamp = [f"file:{tmp_path}", "--run-ts", RUN.isoformat(), "--preview", "0"]
+    cli.main(["bronze", *stamp, "--resume"])
+    cli.main(["bronze", *stamp, "--resume"])
+    with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+        cli.main(["bronze", *stamp])
+    for stage in ("silver", "gold"):
+        cli.main([stage, *stamp, "--resume", "--versions-only"])
+    assert not local(landed.gold_day(RUN)).exists()
+    assert read_day(spark, landed.gold_day(RUN)).count() == 2
+    steps = []
+    run_medallion(spark, landed, RUN, watch=recorder(steps))
+    assert steps == [f"gold-{RESULTS}"]  # a single gold stage does not say which snapshots it is from
