@@ -13,9 +13,9 @@ from tallystream.operators.enrich import SPREAD
 from tallystream.plans import Journal, Layers, run_bronze, run_gold, run_medallion, run_silver
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
 from tallystream.session import build_session
-from tallystream.sinks import jdbc_sink, replay_publish, topic_sink
+from tallystream.sinks import jdbc_sink, log_sink, replay_publish, topic_sink
 from tallystream.sources import Database, jdbc_scan, kafka_topic, read_topic, stream_topic
-from tallystream.streaming import enrichment_stream, follow_topic, keep_enriching
+from tallystream.streaming import enrichment_stream, follow_topic, keep_enriching, split_topic
 
 STAGES = ("bronze", "silver", "gold", "medallion")
 
@@ -95,6 +95,14 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--records", choices=("results", "tallies"), default="results")
     job.add_argument("--output", required=True, help="folder for the records, as Parquet")
     job.add_argument("--checkpoint", required=True)
+
+    job = jobs.add_parser("quarantine", parents=[topics], help="store the unreadable records of a topic")
+    job.add_argument("--topic", required=True)
+    job.add_argument("--records", choices=("results", "tallies"), default="results")
+    job.add_argument("--output", required=True, help="folder, one partition per micro-batch")
+    job.add_argument("--accepted", help="folder for the readable records, stored in the same pass")
+    job.add_argument("--required", nargs="*", default=["athlete_id"], help="fields that must be there")
+    job.add_argument("--checkpoint", required=True)
     return parser
 
 
@@ -191,4 +199,10 @@ def main(argv: list[str] | None = None) -> None:
     else:
         schema = RESULT_EVENT if args.records == "results" else ENRICHED_TALLY
         records = stream_topic(spark, _topic(args, args.topic))
+        if args.job == "quarantine":
+            accepted = log_sink(args.accepted) if args.accepted else None
+            split_topic(
+                records, schema, accepted, log_sink(args.output), args.checkpoint, required=args.required
+            ).awaitTermination()
+            return
         follow_topic(records, schema, args.checkpoint, args.output).awaitTermination()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +44,42 @@ def parse_envelope(
     return df.select(*keep, F.inline(F.array(parsed)))
 
 
+#: What can be wrong with a record.
+FAULTS = ("empty", "not_json", "not_object", "wrong_type", "missing_field")
+_CORRUPT = "_corrupt_record"
+
+
+def judge_envelope(
+    df: DataFrame,
+    schema: T.StructType,
+    fields: Sequence[str] | None = None,
+    keep: Sequence[str] = (),
+    required: Sequence[str] = (),
+) -> DataFrame:
+    """The ``keep`` columns, the raw ``value`` as text, its fields as columns, and its ``fault``.
+
+    ``fault`` is NULL for a JSON object whose fields have their types; fields may be absent or
+    null, but for the ``required`` ones. Otherwise it is one of ``FAULTS``, and what could be read of the fields stands there
+    nevertheless. Only the ``fields`` in use are judged. Each record is parsed once; the faulty
+    ones a second time, to tell a broken text from a field of another type.
+    """
+    wanted = T.StructType([*narrow(schema, fields).fields, T.StructField(_CORRUPT, T.StringType())])
+    value = F.col("value").cast("string")
+    parsed = F.from_json(value, wanted, {"columnNameOfCorruptRecord": _CORRUPT})
+    rows = df.select(*keep, value.alias("value"), F.inline(F.array(parsed)))
+    text = F.ltrim("value", F.lit(" \t\r\n"))
+    is_json = F.try_parse_json("value").isNotNull()
+    fault = (
+        F.when(F.coalesce(text, F.lit("")) == "", "empty")
+        .when(~text.startswith("{"), F.when(is_json, "not_object").otherwise("not_json"))
+        .when(F.col(_CORRUPT).isNotNull(), F.when(is_json, "wrong_type").otherwise("not_json"))
+    )
+    if required:
+        lacking = reduce(Column.__or__, [F.col(name).isNull() for name in required])
+        fault = fault.when(lacking, "missing_field")
+    return rows.withColumn("fault", fault).drop(_CORRUPT)
+
+
 def decode_topic(df: DataFrame, schema: T.StructType) -> DataFrame:
     """``partition``, ``key`` as text and ``value`` as a struct, for batch or stream.
 

@@ -5,4 +5,13 @@ from tallystream.streaming.enrichment import (
     start_enrichment,
 )
 
-__all__ = ["enrichment_stream", "follow_topic", "keep_enriching", "start_enrichment"]
+from tallystream.streaming.quarantine import split_records, split_topic
+
+__all__ = [
+    "enrichment_stream",
+    "follow_topic",
+    "keep_enriching",
+    "split_records",
+    "split_topic",
+    "start_enrichment",
+]
