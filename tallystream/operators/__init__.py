@@ -1,6 +1,6 @@
 from tallystream.operators.biography import clean_biography, require_columns
 from tallystream.operators.counts import gold_counts
-from tallystream.operators.enrich import enrich_agg, enrich_join, hot_athletes
+from tallystream.operators.enrich import enrich_agg, enrich_join, hot_athletes, tally
 from tallystream.operators.preview import preview
 from tallystream.operators.sizing import BROADCAST_LIMIT, fits_broadcast, measured_bytes
 from tallystream.operators.versions import latest_per_key
@@ -17,4 +17,5 @@ __all__ = [
     "measured_bytes",
     "preview",
     "require_columns",
+    "tally",
 ]

@@ -30,7 +30,7 @@ SPREAD = 16
 Hot = Sequence[int] | Callable[[], Sequence[int]] | None
 
 
-def _biography_side(biography: DataFrame) -> DataFrame:
+def biography_side(biography: DataFrame) -> DataFrame:
     # Both sides have a country_noc; the biography's is the one that is kept.
     return biography.select(
         KEY, "sex", F.col("country_noc").alias("bio_country_noc"), "height", "weight"
@@ -63,6 +63,14 @@ def _join(
         return results.select(KEY, *columns).join(F.broadcast(side), KEY)
     if hot is None and not results.isStreaming:
         return results.select(KEY, *columns).join(side.hint("merge"), KEY)
+    salted_results, salted_side = salted(results, side, columns, spread, hot)
+    return salted_results.join(salted_side.hint("merge"), [KEY, "salt"]).drop("salt")
+
+
+def salted(
+    results: DataFrame, side: DataFrame, columns: Sequence[str], spread: int, hot: Hot
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a ``salt``: results have one of ``spread``, the other side each."""
     # The salt is a hash of the record with its topic position or whatever else tells it
     # from its copies, so a task that is run again puts its rows where the lost one did.
     salt = F.pmod(F.xxhash64(*results.columns), F.lit(spread)).cast("int")
@@ -72,9 +80,8 @@ def _join(
         salt = F.when(is_hot, salt).otherwise(F.lit(0))
         salts = F.when(is_hot, salts).otherwise(F.array(F.lit(0)))
     return (
-        results.select(KEY, *columns, salt.alias("salt"))
-        .join(side.withColumn("salt", F.explode(salts)).hint("merge"), [KEY, "salt"])
-        .drop("salt")
+        results.select(KEY, *columns, salt.alias("salt")),
+        side.withColumn("salt", F.explode(salts)),
     )
 
 
@@ -92,16 +99,29 @@ def enrich_join(
     ``carry`` names further result columns to keep.
     """
     columns = (*RESULT_COLUMNS, *carry)
-    side = _biography_side(biography)
+    side = biography_side(biography)
     small = fits_broadcast(side, broadcast_limit)
     joined = _join(results, side, columns, small, spread, hot)
     return joined.select(*columns, *PROFILE_COLUMNS, "height", "weight")
 
 
+def tally(joined: DataFrame) -> DataFrame:
+    """The same as ``enrich_agg``, out of rows that are joined already."""
+    return (
+        joined.groupBy(*RESULT_COLUMNS, *PROFILE_COLUMNS)
+        .agg(
+            F.avg("height").alias("avg_height"),
+            F.avg("weight").alias("avg_weight"),
+            F.count("*").alias("athlete_count"),
+        )
+        .withColumn("timestamp", F.current_timestamp())
+    )
+
+
 def _profiles(biography: DataFrame) -> DataFrame:
     """Sums per athlete, sex and country: duplicates of an id cost one row, not a fan-out."""
     return (
-        _biography_side(biography)
+        biography_side(biography)
         .groupBy(KEY, *PROFILE_COLUMNS)
         .agg(
             F.sum("height").alias("sum_height"),
@@ -144,7 +164,7 @@ def enrich_agg(
         results = results.withColumn("window", F.window("event_time", window))
         keys = ("window", *RESULT_COLUMNS)
     # There are no more profiles than biographies, and none takes twice the bytes.
-    small = fits_broadcast(_biography_side(biography), broadcast_limit // 2)
+    small = fits_broadcast(biography_side(biography), broadcast_limit // 2)
     if small or results.isStreaming:
         counted = results.withColumn("n", F.lit(1).cast("long"))
     else:

@@ -5,6 +5,7 @@ from tallystream.streaming.enrichment import (
     start_enrichment,
 )
 
+from tallystream.streaming.late import start_joining, tally_stream, wait_for_biographies
 from tallystream.streaming.quarantine import split_records, split_topic
 
 __all__ = [
@@ -14,4 +15,7 @@ __all__ = [
     "split_records",
     "split_topic",
     "start_enrichment",
+    "start_joining",
+    "tally_stream",
+    "wait_for_biographies",
 ]

@@ -26,7 +26,7 @@ NOW = {"availableNow": True}
 RECORD = T.StructType([*RESULT_EVENT.fields, T.StructField("at", T.StringType())])
 
 
-class _Job:
+class Job:
     """Folders of one run of the continuous job."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, label: str, skewed: bool = False) -> None:
@@ -78,7 +78,7 @@ class _Job:
 
 def streamed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of a topic, followed as a stream, parsed and stored."""
-    job = _Job(spark, sf_dir, "records")
+    job = Job(spark, sf_dir, "records")
     job.publish(range(domain.WAVES))
     records = stream_topic(spark, job.topic).selectExpr("CAST(value AS STRING)")
     parsed = parse_envelope(records, RESULT_EVENT)
@@ -92,7 +92,7 @@ def final_totals(
     spark: SparkSession, sf_dir: str, skewed: bool = False, stored: bool = False, **options
 ) -> DataFrame:
     """One run that takes the topic in several micro-batches."""
-    job = _Job(spark, sf_dir, "stream", skewed)
+    job = Job(spark, sf_dir, "stream", skewed)
     if stored:
         options["profiles"] = f"{job.base}/profiles"
     for wave in range(domain.WAVES):
@@ -116,7 +116,7 @@ def final_totals_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resumed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run, more records, and a second run from the same checkpoint."""
-    job = _Job(spark, sf_dir, "resume")
+    job = Job(spark, sf_dir, "resume")
     job.publish(range(0, 1))
     job.run()
     job.publish(range(1, domain.WAVES))
@@ -126,7 +126,7 @@ def resumed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each wave emitted: the groups it touched, with running totals."""
-    job = _Job(spark, sf_dir, "updates")
+    job = Job(spark, sf_dir, "updates")
     for wave in range(domain.WAVES):
         job.publish(range(wave, wave + 1))
         job.run(wave)
@@ -136,7 +136,7 @@ def update_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tallies per day of the records' own time, each emitted once its day is over."""
-    job = _Job(spark, sf_dir, "windows")
+    job = Job(spark, sf_dir, "windows")
     job.publish(range(domain.WAVES))
     job.run(output_mode="append", window="1 day", watermark="1 minute", event_time="at")
     log = spark.read.parquet(job.log).drop("run", "batch_id")
@@ -146,7 +146,7 @@ def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each emitted row arrived at either sink of the fan-out."""
-    job = _Job(spark, sf_dir, "fanout")
+    job = Job(spark, sf_dir, "fanout")
     for wave in range(domain.WAVES):
         job.publish(range(wave, wave + 1))
         job.run(wave)
