@@ -11,9 +11,9 @@ from tallystream.functions import parse_envelope
 from tallystream.operators import BROADCAST_LIMIT, hot_athletes
 from tallystream.operators.enrich import SPREAD
 from tallystream.plans import Journal, Layers, run_bronze, run_gold, run_medallion, run_silver
-from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
+from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT, STAMPED_TALLY
 from tallystream.session import build_session
-from tallystream.sinks import jdbc_sink, log_sink, replay_publish, topic_sink
+from tallystream.sinks import JdbcLedger, jdbc_sink, log_sink, replay_publish, topic_sink
 from tallystream.sources import Database, jdbc_scan, kafka_topic, read_topic, stream_topic
 from tallystream.streaming import enrichment_stream, follow_topic, keep_enriching, split_topic
 
@@ -74,6 +74,13 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--output-topic", required=True)
     job.add_argument("--output-table", required=True)
     job.add_argument("--checkpoint", required=True)
+    job.add_argument(
+        "--once",
+        action="store_true",
+        help="deliver each row once: records are stamped, and rows reach the table through a "
+        "staging table and a marker per batch, which the job creates",
+    )
+    job.add_argument("--job-number", type=int, default=0, help="with --once: another for each checkpoint")
     job.add_argument("--replan-seconds", type=float, default=3600.0)
     job.add_argument(
         "--find-hot",
@@ -94,6 +101,9 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--topic", required=True)
     job.add_argument("--records", choices=("results", "tallies"), default="results")
     job.add_argument("--output", required=True, help="folder for the records, as Parquet")
+    job.add_argument(
+        "--once-within", metavar="DURATION", help="drop stamped tallies that were sent twice so far apart"
+    )
     job.add_argument("--checkpoint", required=True)
 
     job = jobs.add_parser("quarantine", parents=[topics], help="store the unreadable records of a topic")
@@ -163,10 +173,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "enrich":
         database = _database(args)
         source = _topic(args, args.topic, starting_offsets=args.starting_offsets)
-        sinks = [
-            topic_sink(_topic(args, args.output_topic)),
-            jdbc_sink(database, args.output_table),
-        ]
+        if args.once:
+            table_sink = JdbcLedger(database, args.output_table, job=args.job_number)
+        else:
+            table_sink = jdbc_sink(database, args.output_table)
+        sinks = [topic_sink(_topic(args, args.output_topic), stamped=args.once), table_sink]
 
         def define():
             biography = jdbc_scan(
@@ -197,7 +208,9 @@ def main(argv: list[str] | None = None) -> None:
             preview_rows=args.preview,
         )
     else:
-        schema = RESULT_EVENT if args.records == "results" else ENRICHED_TALLY
+        once = getattr(args, "once_within", None)
+        tallies = STAMPED_TALLY if once else ENRICHED_TALLY
+        schema = RESULT_EVENT if args.records == "results" else tallies
         records = stream_topic(spark, _topic(args, args.topic))
         if args.job == "quarantine":
             accepted = log_sink(args.accepted) if args.accepted else None
@@ -205,4 +218,6 @@ def main(argv: list[str] | None = None) -> None:
                 records, schema, accepted, log_sink(args.output), args.checkpoint, required=args.required
             ).awaitTermination()
             return
-        follow_topic(records, schema, args.checkpoint, args.output).awaitTermination()
+        follow_topic(
+            records, schema, args.checkpoint, args.output, once_within=once
+        ).awaitTermination()

@@ -37,6 +37,15 @@ ENRICHED_TALLY = T.StructType(
     ]
 )
 
+# The same with what tells a record that was sent twice.
+STAMPED_TALLY = T.StructType(
+    [
+        *ENRICHED_TALLY.fields,
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("record_id", T.StringType()),
+    ]
+)
+
 # Columns of a topic as the Kafka source presents it.
 TOPIC_RECORD = T.StructType(
     [

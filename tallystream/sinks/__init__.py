@@ -9,9 +9,11 @@ from tallystream.sinks.files import (
     write_snapshot,
     write_version,
 )
+from tallystream.sinks.ledger import JdbcLedger
 from tallystream.sinks.topic import replay_publish, topic_sink, write_topic
 
 __all__ = [
+    "JdbcLedger",
     "drop_leftovers",
     "fanout_batch",
     "jdbc_append",

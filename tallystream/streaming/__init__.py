@@ -1,4 +1,5 @@
 from tallystream.streaming.enrichment import (
+    drop_repeats,
     enrichment_stream,
     follow_topic,
     keep_enriching,
@@ -9,6 +10,7 @@ from tallystream.streaming.late import start_joining, tally_stream, wait_for_bio
 from tallystream.streaming.quarantine import split_records, split_topic
 
 __all__ = [
+    "drop_repeats",
     "enrichment_stream",
     "follow_topic",
     "keep_enriching",

@@ -123,22 +123,45 @@ def keep_enriching(
             rounds -= 1
 
 
+def drop_repeats(decoded: DataFrame, within: str = "1 hour") -> DataFrame:
+    """Decoded records of a stamped topic, each once, for batch or stream.
+
+    A record is known by the ``batch_id`` and ``record_id`` that its sender gave it. In a stream
+    these are remembered until the records' own ``timestamp``, that of their batch, lies ``within``
+    behind the newest one; what is older still has been seen and is dropped. Records without a
+    stamp cannot be told apart: they are all kept, unless they are that old.
+    """
+    stamp = {
+        "batch_id": F.coalesce("value.batch_id", F.lit(-1)),
+        "record_id": F.coalesce("value.record_id", F.expr("uuid()")),
+    }
+    named = decoded.withColumns(stamp)
+    if not decoded.isStreaming:
+        return named.dropDuplicates([*stamp]).drop(*stamp)
+    timed = named.withColumn("sent", F.col("value.timestamp")).withWatermark("sent", within)
+    return timed.dropDuplicatesWithinWatermark([*stamp]).drop(*stamp, "sent")
+
+
 def follow_topic(
     records: DataFrame,
     schema: T.StructType,
     checkpoint: str,
     output: str,
     *,
+    once_within: str | None = None,
     trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
     """Write every decoded record to the folder ``output`` (Parquet) as it arrives.
 
     ``checkpoint`` remembers the position; a batch repeated after a restart is not added
-    twice. Nothing is shown: read the folder, or a part of it with ``preview``.
+    twice. Records that their sender sent twice are, unless they are stamped and ``once_within``
+    says how long apart the two may be (see ``drop_repeats``). Nothing is shown: read the folder, or a part of it with ``preview``.
     """
+    decoded = decode_topic(records, schema)
+    if once_within is not None:
+        decoded = drop_repeats(decoded, once_within)
     writer = (
-        decode_topic(records, schema)
-        .writeStream.format("parquet")
+        decoded.writeStream.format("parquet")
         .option("path", output)
         .option("checkpointLocation", checkpoint)
     )

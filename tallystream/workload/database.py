@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallystream.operators import clean_biography, enrich_agg, latest_per_key
 from tallystream.scratch import new_dir
-from tallystream.sinks import jdbc_append, jdbc_sink, replay_publish, topic_sink
+from tallystream.sinks import JdbcLedger, jdbc_append, jdbc_sink, replay_publish, topic_sink
 from tallystream.sources import Database, file_topic, jdbc_scan, stream_topic
 from tallystream.streaming import enrichment_stream, start_enrichment
 from tallystream.workload import domain
@@ -102,7 +102,29 @@ def continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(latest_per_key(log).drop("batch_id"))
 
 
+def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of running totals: a task writes its rows twice, an attempt ends before it is
+    committed, a batch comes again after a restart. The table holds each row once."""
+    database, name = configured_database(spark), _table("ledger")
+    biography = clean_biography(domain.biographies(spark, sf_dir))
+    results = domain.results(spark, sf_dir, f"{domain.WAVE} AS wave")
+    waves = [enrich_agg(results.filter(f"wave <= {w}"), biography) for w in range(domain.WAVES)]
+    first = JdbcLedger(database, name)
+    first(waves[0], 0)
+    first.stage(waves[1].filter("sport < 'm'"), 1)  # ends here, with half of the batch
+    again = JdbcLedger(database, name)
+    again.stage(waves[1], 1)
+    again.append_staged(waves[1].filter("medal = 'Gold'"), 1)  # tasks that were run again
+    again.commit(waves[1], 1)
+    again.commit(waves[1], 1)
+    for sink in (again, JdbcLedger(database, name)):
+        for wave in (1, 2):
+            sink(waves[wave], wave)
+    return rounded(jdbc_scan(spark, database, name).drop("job").withColumnRenamed("batch_id", "wave"))
+
+
 QUERIES = {
+    "jdbc_ledger": ledger,
     "jdbc_scan": scanned,
     "jdbc_enrich_agg": enriched,
     "jdbc_append": appended,
@@ -110,6 +132,12 @@ QUERIES = {
 }
 
 ORACLES = {
+    "jdbc_ledger": f"""
+        SELECT w.wave, {domain.TALLY_COLUMNS_SQL}
+        FROM (SELECT DISTINCT {domain.WAVE} AS wave FROM events) w
+        JOIN ({domain.JOINED_SQL}) j ON j.wave <= w.wave
+        GROUP BY w.wave, sport, medal, sex, bio_country_noc
+    """,
     "jdbc_scan": f"SELECT event_id, {', '.join(domain.RESULTS)} FROM ({domain.RESULTS_SQL})",
     "jdbc_enrich_agg": domain.TALLY_SQL,
     "stream_enrich_jdbc": domain.TALLY_SQL,

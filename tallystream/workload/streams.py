@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystream.functions import parse_envelope
-from tallystream.operators import hot_athletes, latest_per_key
+from tallystream.operators import clean_biography, enrich_agg, hot_athletes, latest_per_key
 from tallystream.operators.enrich import KEY
-from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT
+from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT, STAMPED_TALLY
 from tallystream.scratch import new_dir
 from tallystream.sinks import log_sink, replay_publish, topic_sink
 from tallystream.sources import Topic, file_topic, read_topic, stream_topic
 from tallystream.sources.paths import file_count
-from tallystream.streaming import enrichment_stream, start_enrichment
+from tallystream.streaming import enrichment_stream, follow_topic, start_enrichment
 from tallystream.workload import domain
 from tallystream.workload.joins import rounded
 
@@ -162,7 +162,27 @@ def fanned_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sent_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of each wave, sent to a topic; two batches are sent again, one of them after the
+    next. The reader, restarted in between, keeps each record once."""
+    job = Job(spark, sf_dir, "twice")
+    biography = clean_biography(domain.biographies(spark, sf_dir))
+    results = domain.results(spark, sf_dir, f"{domain.WAVE} AS wave")
+    sink = topic_sink(job.out, stamped=True)
+    output = f"{job.base}/followed"
+    for waves in ((0, 0), (1, 0), (2, 1, 2)):
+        for wave in waves:
+            sink(enrich_agg(results.filter(f"wave <= {wave}"), biography), wave)
+        follow_topic(
+            stream_topic(spark, job.out), STAMPED_TALLY, f"{job.base}/checkpoint", output,
+            once_within="1 hour", trigger=NOW,
+        ).awaitTermination()
+    rows = spark.read.parquet(output).select("value.*").drop("record_id")
+    return rounded(rows.withColumnRenamed("batch_id", "wave"))
+
+
 QUERIES = {
+    "topic_once": sent_twice,
     "topic_stream": streamed_records,
     "stream_enrich_agg": final_totals,
     "stream_enrich_agg_salted": final_totals_salted,
@@ -184,6 +204,12 @@ _UPDATES = f"""
 _DAY = "CAST(floor(epoch(ts) / 86400) * 86400 AS BIGINT)"
 
 ORACLES = {
+    "topic_once": f"""
+        SELECT w.wave, {domain.TALLY_COLUMNS_SQL}
+        FROM (SELECT DISTINCT {domain.WAVE} AS wave FROM events) w
+        JOIN ({domain.JOINED_SQL}) j ON j.wave <= w.wave
+        GROUP BY w.wave, sport, medal, sex, bio_country_noc
+    """,
     "topic_stream": f"SELECT {', '.join(domain.RESULTS)} FROM ({domain.RESULTS_SQL})",
     "stream_enrich_agg": domain.TALLY_SQL,
     "stream_enrich_agg_salted": domain.TALLY_SQL,

@@ -1,0 +1,168 @@
+"""Delivery of each row once: database ledger and stamped topics."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallystream import cli
+from tallystream.functions import decode_topic
+from tallystream.operators import latest_per_key
+from tallystream.schemas import ENRICHED_TALLY, STAMPED_TALLY
+from tallystream.sinks import JdbcLedger, fanout_batch, jdbc_append, topic_sink, write_topic
+from tallystream.sources import file_topic, jdbc_scan, read_topic, stream_topic
+from tallystream.streaming import drop_repeats, follow_topic
+from tallystream.workload.database import configured_database
+
+NOW = {"availableNow": True}
+ROWS = [("judo", "Gold", "F", "UKR", 1), ("judo", None, "F", "UKR", 2), (None, "judo", "F", "UKR", 3), ("luge", None, None, None, 4)]
+TALLY = "sport string, medal string, sex string, bio_country_noc string, athlete_count long"
+
+
+@pytest.fixture
+def database(spark):
+    return configured_database(spark)
+
+
+@pytest.fixture
+def name():
+    return f"t_{uuid.uuid4().hex[:10]}"
+
+
+def tallies(spark, rows=ROWS):
+    return spark.createDataFrame(rows, TALLY)
+
+
+def held(spark, database, name):
+    rows = jdbc_scan(spark, database, name).collect()
+    return sorted((r["job"], r["batch_id"], r["athlete_count"]) for r in rows)
+
+
+def batch(number, job=0, rows=4):
+    return [(job, number, n + 1) for n in range(rows)]
+
+
+def test_a_repeated_task_leaves_nothing(spark, database, name):
+    ledger = JdbcLedger(database, name)
+    ledger.stage(tallies(spark), 7)
+    for _ in range(3):
+        ledger.append_staged(tallies(spark, ROWS[:3]), 7)
+    assert not ledger.delivered(spark, 7)
+    assert ledger.commit(tallies(spark), 7) and ledger.delivered(spark, 7)
+    assert not ledger.commit(tallies(spark), 7)
+    assert held(spark, database, name) == batch(7)
+    assert jdbc_scan(spark, database, f"{name}_staging").count() == 0
+
+
+def test_an_attempt_that_ended_early_is_replaced(spark, database, name):
+    JdbcLedger(database, name).stage(tallies(spark, [("old", "x", "F", "UKR", 9)]), 0)
+    JdbcLedger(database, name)(tallies(spark), 0)
+    assert held(spark, database, name) == batch(0)
+
+
+def test_sums_computed_twice_are_one_row(spark, database, name):
+    """The keys tell rows apart, not means that differ in the last digit."""
+    means = tallies(spark).withColumn("avg_height", F.lit(1.8))
+    ledger = JdbcLedger(database, name)
+    ledger.stage(means, 0)
+    ledger.append_staged(means.withColumn("avg_height", F.lit(1.8000000000000003)), 0)
+    ledger.commit(means, 0)
+    assert held(spark, database, name) == batch(0)
+
+
+def test_a_batch_comes_again_and_jobs_are_apart(spark, database, name):
+    for job in (0, 1):
+        for _ in range(2):
+            ledger = JdbcLedger(database, name, job=job)
+            fanout_batch([ledger])(tallies(spark), 0)
+            fanout_batch([ledger])(tallies(spark), 1)
+    assert held(spark, database, name) == [r for job in (0, 1) for b in (0, 1) for r in batch(b, job)]
+
+
+def test_a_failed_move_leaves_nothing_behind(spark, database, name):
+    ledger = JdbcLedger(database, name)
+    ledger.stage(tallies(spark), 0)
+    with pytest.raises(Exception, match="(?i)no_such_column"):
+        ledger.commit(tallies(spark).withColumn("no_such_column", F.lit(1)), 0)
+    assert not ledger.delivered(spark, 0)
+    assert ledger.commit(tallies(spark), 0)
+    assert held(spark, database, name) == batch(0)
+
+
+def stamped_rows(spark):
+    return tallies(spark).withColumns({"avg_height": F.lit(1.8), "avg_weight": F.lit(70.0), "timestamp": F.current_timestamp()})
+
+
+def test_records_sent_twice_are_kept_once(spark, tmp_path):
+    topic = file_topic(f"file:{tmp_path}/t")
+    sink = topic_sink(topic, stamped=True)
+    for number in (0, 0, 1):
+        sink(stamped_rows(spark), number)
+    decoded = decode_topic(read_topic(spark, topic), STAMPED_TALLY)
+    assert (decoded.count(), drop_repeats(decoded).count()) == (12, 8)
+    output = f"file:{tmp_path}/out"
+    for again in range(2):
+        follow_topic(
+            stream_topic(spark, topic), STAMPED_TALLY, f"file:{tmp_path}/cp", output, once_within="1 hour", trigger=NOW
+        ).awaitTermination()
+        sink(stamped_rows(spark), 1)
+    rows = spark.read.parquet(output).select("value.*")
+    assert rows.count() == 8 and rows.groupBy("batch_id").count().filter("count = 4").count() == 2
+
+
+def test_records_without_a_stamp_are_all_kept(spark, tmp_path):
+    topic = file_topic(f"file:{tmp_path}/t")
+    topic_sink(topic)(stamped_rows(spark), 0)
+    topic_sink(topic)(stamped_rows(spark), 0)
+    decoded = decode_topic(read_topic(spark, topic), STAMPED_TALLY)
+    assert drop_repeats(decoded).count() == 8
+    output = f"file:{tmp_path}/out"
+    follow_topic(
+        stream_topic(spark, topic), STAMPED_TALLY, f"file:{tmp_path}/cp", output, once_within="1 hour", trigger=NOW
+    ).awaitTermination()
+    assert spark.read.parquet(output).count() == 8
+
+
+def test_state_of_repeats_expires(spark, tmp_path):
+    """What lies further behind than the limit leaves the state."""
+    topic = file_topic(f"file:{tmp_path}/t")
+
+    def send(number, at):
+        rows = stamped_rows(spark).withColumn("timestamp", F.lit(at).cast("timestamp"))
+        topic_sink(topic, stamped=True)(rows, number)
+        query = follow_topic(
+            stream_topic(spark, topic), STAMPED_TALLY, f"file:{tmp_path}/cp", f"file:{tmp_path}/out",
+            once_within="10 minutes", trigger=NOW,
+        )
+        query.awaitTermination()
+        return query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+
+    assert send(0, "2024-08-04 10:00:00") == 4
+    assert send(1, "2024-08-04 10:05:00") == 8
+    assert send(2, "2024-08-04 12:00:00") == 4
+    assert spark.read.parquet(f"file:{tmp_path}/out").count() == 12
+
+
+def test_command_line(spark, tmp_path, database, name, monkeypatch):
+    monkeypatch.setattr(cli, "kafka_topic", lambda servers, topic, **_: file_topic(f"file:{tmp_path}/{topic}"))
+    keep, follow = cli.keep_enriching, cli.follow_topic
+    monkeypatch.setattr(cli, "keep_enriching", lambda *a, **k: keep(*a, **k, trigger=NOW))
+    monkeypatch.setattr(cli, "follow_topic", lambda *a, **k: follow(*a, **k, trigger=NOW))
+    bio = spark.createDataFrame([(1, "1,80", "75,5", "F", "UKR")], "athlete_id int, height string, weight string, sex string, country_noc string")
+    jdbc_append(bio, database, f"{name}_bio")
+    records = spark.createDataFrame([("1", '{"athlete_id":1,"sport":"judo","medal":"Gold"}')], "key string, value string")
+    write_topic(records, file_topic(f"file:{tmp_path}/in"))
+    jdbc = ["--jdbc-url", database.url, "--jdbc-driver", database.driver]
+    cli.main([
+        "enrich", "--servers", "a:1", *jdbc, "--topic", "in", "--bio-table", f"{name}_bio", "--output-topic", "out",
+        "--output-table", name, "--checkpoint", f"file:{tmp_path}/cp", "--once", "--job-number", "3", "--preview", "0",
+    ])
+    totals = latest_per_key(jdbc_scan(spark, database, name)).collect()
+    assert [(r["job"], r["batch_id"], r["athlete_count"]) for r in totals] == [(3, 0, 1)]
+    cli.main([
+        "follow", "--servers", "a:1", "--topic", "out", "--records", "tallies", "--output", f"file:{tmp_path}/seen",
+        "--checkpoint", f"file:{tmp_path}/cp2", "--once-within", "1 hour",
+    ])
+    row = spark.read.parquet(f"file:{tmp_path}/seen").select("value.*").first()
+    assert row["batch_id"] == 0 and row["athlete_count"] == 1 and len(row["record_id"]) == 32
+    assert set(ENRICHED_TALLY.fieldNames()) < set(row.asDict())
