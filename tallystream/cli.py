@@ -10,7 +10,16 @@ from functools import partial
 from tallystream.functions import parse_envelope
 from tallystream.operators import BROADCAST_LIMIT, hot_athletes
 from tallystream.operators.enrich import SPREAD
-from tallystream.plans import Journal, Layers, run_bronze, run_gold, run_medallion, run_silver
+from tallystream.plans import (
+    Journal,
+    Layers,
+    run_bronze,
+    run_gold,
+    run_medallion,
+    run_silver,
+    run_silver_increment,
+)
+from tallystream.plans.medallion import RESULTS
 from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT, STAMPED_TALLY
 from tallystream.session import build_session
 from tallystream.sinks import JdbcLedger, jdbc_sink, log_sink, replay_publish, topic_sink
@@ -46,6 +55,10 @@ def _parser() -> argparse.ArgumentParser:
                 "--resume", action="store_true", help="pass over what this --run-ts has finished"
             )
 
+    job = jobs.add_parser("increment", help="clean the snapshots that no earlier run has")
+    job.add_argument("base", help="folder that holds the layers")
+    job.add_argument("--table", default=RESULTS)
+
     topics = argparse.ArgumentParser(add_help=False)
     topics.add_argument("--servers", required=True)
     topics.add_argument("--security-protocol", default="PLAINTEXT")
@@ -159,6 +172,8 @@ def main(argv: list[str] | None = None) -> None:
             run_medallion(
                 spark, layers, args.run_ts, args.snapshots, preview_rows=args.preview
             )
+    elif args.job == "increment":
+        print(run_silver_increment(spark, Layers.below(args.base), args.table) or "nothing new")
     elif args.job == "publish":
         if args.partition_column is None and not args.single_task:
             raise SystemExit("publish: give --partition-column, or --single-task for a small table")

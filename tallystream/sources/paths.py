@@ -47,6 +47,13 @@ def finished(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def finished_at(spark: SparkSession, path: str) -> int | None:
+    """When a Spark writer ended there (milliseconds), or None if none has."""
+    fs, hadoop_path = _resolve(spark, f"{path}/_SUCCESS")
+    found = fs.globStatus(hadoop_path) or []
+    return found[0].getModificationTime() if found else None
+
+
 def content(spark: SparkSession, path: str) -> tuple[int, int]:
     """Files below ``path`` and their bytes; (0, 0) if there is nothing."""
     fs, hadoop_path = _resolve(spark, path)

@@ -9,7 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.functions import clean_strings
-from tallystream.plans import Layers, run_bronze, run_gold, run_medallion, run_silver
+from tallystream.plans import (
+    Layers,
+    gold_of_increments,
+    increments,
+    read_increments,
+    run_bronze,
+    run_gold,
+    run_medallion,
+    run_silver,
+    run_silver_increment,
+)
 from tallystream.plans.medallion import BIOGRAPHY, RESULTS
 from tallystream.scratch import new_dir
 from tallystream.sinks import overwrite_day, publish_version, write_snapshot, write_version
@@ -21,6 +31,7 @@ from tallystream.workload.domain import clean_sql, table
 MORNING = datetime(2024, 8, 4, 8, 0, 0)
 EVENING = datetime(2024, 8, 4, 20, 30, 15)
 NEXT_DAY = datetime(2024, 8, 5, 0, 0, 1)
+LATER = datetime(2024, 8, 5, 18, 0, 0)
 
 
 def _landed(
@@ -219,7 +230,35 @@ def medallion_late_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_day(spark, gold).drop("timestamp").withColumn("steps", F.lit(len(steps)))
 
 
+def _increments(spark: SparkSession, sf_dir: str) -> Layers:
+    """Three landings, the last two on one day, and five runs: each landing is cleaned once."""
+    layers = Layers.below(new_dir(spark, "increments"))
+    rows = domain.results(spark, sf_dir, f"{domain.WAVE} AS wave")
+    for wave, moment in enumerate((MORNING, NEXT_DAY, LATER)):
+        landing = rows.filter(F.col("wave") == wave)
+        write_snapshot(landing, layers.bronze_snapshot(RESULTS, moment))
+        if wave != 1:  # two landings wait for one run
+            run_silver_increment(spark, layers)
+            run_silver_increment(spark, layers)
+    run_silver_increment(spark, layers)
+    return layers
+
+
+def silver_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with the snapshot that it is from."""
+    layers = _increments(spark, sf_dir)
+    snapshot = F.regexp_extract("source_file", r"(\d{8}_\d{6})/[^/]*$", 1)
+    rows = read_increments(spark, layers).withColumn("snapshot", snapshot)
+    return rows.withColumn("increments", F.lit(len(increments(spark, layers)))).drop("source_file", "landed_at")
+
+
+def gold_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold_of_increments(spark, _increments(spark, sf_dir)).drop("timestamp")
+
+
 QUERIES = {
+    "run_silver_increment": silver_increments,
+    "gold_of_increments": gold_increments,
     "csv_landing_scan": csv_scan,
     "csv_landing_scan_bios": csv_scan_bios,
     "bronze_snapshot_write": snapshot_written,
@@ -262,7 +301,18 @@ def _gold_sql(times: int) -> str:
     )
 
 
+# What each column is cleaned to, by its type.
+_CLEANED_TYPED = ", ".join(
+    c if c in ("edition_id", "athlete_id") else f"{clean_sql(c)} AS {c}" for c in domain.RESULTS
+)
+
 ORACLES = {
+    "run_silver_increment": (
+        f"SELECT wave, {_CLEANED_TYPED}, CASE wave WHEN 0 THEN '20240804_080000' "
+        "WHEN 1 THEN '20240805_000001' ELSE '20240805_180000' END AS snapshot, "
+        f"CAST(2 AS INTEGER) AS increments FROM ({domain.RESULTS_SQL})"
+    ),
+    "gold_of_increments": _gold_sql(1),
     "csv_landing_scan": f"SELECT {_TEXT_RESULTS} FROM ({domain.RESULTS_SQL})",
     "csv_landing_scan_bios": f"SELECT {_TEXT_BIOS} FROM ({domain.BIOGRAPHIES_SQL})",
     "bronze_snapshot_write": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
