@@ -57,14 +57,15 @@ def _join(
     small: bool,
     spread: int,
     hot: Hot,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join on the athlete; ``columns`` of the results survive."""
+    """Join on the athlete; ``columns`` of the results survive."""
     if small:
-        return results.select(KEY, *columns).join(F.broadcast(side), KEY)
+        return results.select(KEY, *columns).join(F.broadcast(side), KEY, how)
     if hot is None and not results.isStreaming:
-        return results.select(KEY, *columns).join(side.hint("merge"), KEY)
+        return results.select(KEY, *columns).join(side.hint("merge"), KEY, how)
     salted_results, salted_side = salted(results, side, columns, spread, hot)
-    return salted_results.join(salted_side.hint("merge"), [KEY, "salt"]).drop("salt")
+    return salted_results.join(salted_side.hint("merge"), [KEY, "salt"], how).drop("salt")
 
 
 def salted(
@@ -133,6 +134,23 @@ def _profiles(biography: DataFrame) -> DataFrame:
     )
 
 
+def contributions(
+    results: DataFrame,
+    biography: DataFrame,
+    *,
+    broadcast_limit: int = BROADCAST_LIMIT,
+    spread: int = SPREAD,
+    hot: Hot = None,
+) -> DataFrame:
+    """What each result adds to its group: sums and counts of heights and weights, joined rows.
+
+    Added up per sport, medal, sex and country they give the totals of ``enrich_agg``.
+    """
+    small = fits_broadcast(biography_side(biography), broadcast_limit // 2)
+    joined = _join(results, _profiles(biography), RESULT_COLUMNS, small, spread, hot)
+    return joined.withColumnRenamed("n_rows", "athlete_count")
+
+
 def _mean(name: str) -> Column:
     total = F.sum(F.col("n") * F.col(f"sum_{name}"))
     rows = F.sum(F.col("n") * F.col(f"n_{name}"))
@@ -148,6 +166,7 @@ def enrich_agg(
     spread: int = SPREAD,
     hot: Hot = None,
     keep: Callable[[DataFrame], DataFrame] | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Mean height, mean weight and row count per sport, medal, sex and country.
 
@@ -158,6 +177,10 @@ def enrich_agg(
 
     ``keep`` is given the grouped biographies if they are too large to broadcast, and
     returns what the join reads in their place, for instance a stored copy.
+
+    ``watch`` is given the results as they leave the join, with their number ``n`` and, where
+    there was no biography, NULL for ``n_rows``, and returns them, for instance observed. Without
+    it results without a biography do not leave the join.
     """
     keys = RESULT_COLUMNS
     if window:
@@ -172,9 +195,12 @@ def enrich_agg(
     profiles = _profiles(biography)
     if keep is not None and not small:
         profiles = keep(profiles)
+    how = "inner" if watch is None else "left"
+    joined = _join(counted, profiles, (*keys, "n"), small, spread, hot, how)
+    if watch is not None:
+        joined = watch(joined).filter(F.col("n_rows").isNotNull())
     tallies = (
-        _join(counted, profiles, (*keys, "n"), small, spread, hot)
-        .groupBy(*keys, *PROFILE_COLUMNS)
+        joined.groupBy(*keys, *PROFILE_COLUMNS)
         .agg(
             _mean("height"),
             _mean("weight"),

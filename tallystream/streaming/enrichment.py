@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -10,12 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallystream.functions.envelope import decode_topic, parse_envelope
+from tallystream.functions.envelope import decode_topic, judge_envelope, parse_envelope
 from tallystream.operators.biography import clean_biography
 from tallystream.operators.enrich import KEY, RESULT_COLUMNS, SPREAD, Hot, enrich_agg
 from tallystream.operators.sizing import BROADCAST_LIMIT
 from tallystream.schemas import RESULT_EVENT
 from tallystream.sinks.fanout import Sink, fanout_batch
+from tallystream.streaming.metrics import observe_records, observe_unmatched
 
 POSITION = ("partition", "offset")
 
@@ -32,6 +34,7 @@ def enrichment_stream(
     spread: int = SPREAD,
     hot: Hot = None,
     profiles: str | None = None,
+    metrics: str | None = None,
 ) -> DataFrame:
     """Running tallies of topic ``records`` joined to a raw ``biography`` table.
 
@@ -51,9 +54,15 @@ def enrichment_stream(
     ``watermark`` says how late a record may be. Without a window neither has any
     effect on the results. They are left out then, because Spark follows each batch
     that moves a watermark by an empty one, which reads the biography for nothing.
+
+    ``metrics`` names what each batch is observed for: how many records it had and how many
+    of them led to nothing, and why (see ``streaming.metrics``).
     """
     fields = [KEY, *RESULT_COLUMNS, *([event_time] if event_time else [])]
-    results = parse_envelope(records, schema, fields, keep=POSITION)
+    if metrics:
+        results = observe_records(judge_envelope(records, schema, fields, keep=POSITION), metrics)
+    else:
+        results = parse_envelope(records, schema, fields, keep=POSITION)
     if window:
         stamp = F.col(event_time).try_cast("timestamp") if event_time else F.current_timestamp()
         results = results.withColumn("event_time", stamp).withWatermark("event_time", watermark)
@@ -70,6 +79,7 @@ def enrichment_stream(
         spread=spread,
         hot=hot,
         keep=stored if profiles else None,
+        watch=partial(observe_unmatched, name=metrics) if metrics else None,
     )
 
 

@@ -11,7 +11,13 @@ from tallystream.schemas import RESULT_EVENT
 from tallystream.scratch import new_dir
 from tallystream.sinks import log_sink, write_topic
 from tallystream.sources import file_topic, stream_topic
-from tallystream.streaming import split_topic
+from tallystream.streaming import (
+    MetricsLog,
+    enrichment_stream,
+    read_metrics,
+    split_topic,
+    start_enrichment,
+)
 from tallystream.workload import domain
 from tallystream.workload.joins import rounded
 
@@ -77,7 +83,31 @@ def tallies_of_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(enrich_agg(accepted, clean_biography(domain.biographies(spark, sf_dir))))
 
 
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of three waves had and what of it led to nothing, as a listener has kept it."""
+    base = new_dir(spark, "metrics")
+    topic, folder = file_topic(f"{base}/topic"), f"{base}/metrics"
+    listener = MetricsLog(spark, folder, "enrichment")
+    spark.streams.addListener(listener)
+    try:
+        for wave in range(domain.WAVES):
+            write_topic(_damaged(spark, sf_dir).filter(f"offset % {domain.WAVES} = {wave}"), topic)
+            tallies = enrichment_stream(
+                stream_topic(spark, topic), domain.biographies(spark, sf_dir), metrics="enrichment"
+            )
+            query = start_enrichment(
+                tallies, [log_sink(f"{base}/log/run={wave}")], f"{base}/checkpoint", trigger={"availableNow": True}
+            )
+            query.awaitTermination()
+            listener.complete(query)
+    finally:
+        spark.streams.removeListener(listener)
+    counts = ["records", "malformed", "without_athlete", "unmatched", "late"]
+    return read_metrics(spark, folder).select(F.col("batch_id").alias("wave"), *counts)
+
+
 QUERIES = {
+    "stream_metrics": metrics,
     "records_judged": judged,
     "stream_quarantine": split,
     "enrich_agg_accepted": tallies_of_accepted,
@@ -90,7 +120,17 @@ _SPLIT = f"""
     FROM ({domain.RESULTS_SQL})
 """
 
+_UNUSABLE = "('not_json', 'empty', 'not_object', 'wrong_type')"
+
 ORACLES = {
+    "stream_metrics": f"""
+        SELECT wave, count(*) AS records,
+               count(*) FILTER (fault IN {_UNUSABLE}) AS malformed,
+               count(*) FILTER (fault = 'missing_field') AS without_athlete,
+               count(*) FILTER (fault IS NULL AND athlete_id NOT IN (SELECT athlete_id FROM ({domain.CLEAN_BIO_SQL}))) AS unmatched,
+               CAST(0 AS BIGINT) AS late
+        FROM (SELECT *, {_FAULT} AS fault FROM ({domain.RESULTS_SQL})) GROUP BY wave
+    """,
     "records_judged": _SPLIT,
     "stream_quarantine": _SPLIT,
     "enrich_agg_accepted": domain.TALLY_SQL.replace(
