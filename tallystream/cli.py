@@ -24,7 +24,13 @@ from tallystream.schemas import ENRICHED_TALLY, RESULT_EVENT, STAMPED_TALLY
 from tallystream.session import build_session
 from tallystream.sinks import JdbcLedger, jdbc_sink, log_sink, replay_publish, topic_sink
 from tallystream.sources import Database, jdbc_scan, kafka_topic, read_topic, stream_topic
-from tallystream.streaming import enrichment_stream, follow_topic, keep_enriching, split_topic
+from tallystream.streaming import (
+    MetricsLog,
+    enrichment_stream,
+    follow_topic,
+    keep_enriching,
+    split_topic,
+)
 
 STAGES = ("bronze", "silver", "gold", "medallion")
 
@@ -108,6 +114,10 @@ def _parser() -> argparse.ArgumentParser:
         help="folder of this job alone for biographies too large to broadcast, renewed every "
         "--replan-seconds; without it every micro-batch reads the table",
     )
+    job.add_argument(
+        "--profile-buckets", type=int, help="buckets of that folder, for micro-batches that move only records"
+    )
+    job.add_argument("--metrics", help="folder for the counts of each micro-batch")
     job.add_argument("--preview", type=int, default=20, metavar="ROWS")
 
     job = jobs.add_parser("follow", parents=[topics], help="store the decoded records of a topic")
@@ -213,8 +223,13 @@ def main(argv: list[str] | None = None) -> None:
                 spread=args.spread,
                 hot=hot,
                 profiles=args.profiles,
+                profile_buckets=args.profile_buckets,
+                metrics="enrichment" if args.metrics else None,
             )
 
+        if args.metrics:
+            spark.streams.addListener(MetricsLog(spark, args.metrics, "enrichment"))
+
         keep_enriching(
             define,
             sinks,

@@ -29,6 +29,9 @@ SPREAD = 16
 # Athletes to salt, or a function that finds them, called only if salts are needed.
 Hot = Sequence[int] | Callable[[], Sequence[int]] | None
 
+# Given a side of a join, returns what is read in its place, for instance a stored copy.
+Keep = Callable[[DataFrame], DataFrame]
+
 
 def biography_side(biography: DataFrame) -> DataFrame:
     # Both sides have a country_noc; the biography's is the one that is kept.
@@ -58,6 +61,7 @@ def _join(
     spread: int,
     hot: Hot,
     how: str = "inner",
+    keep_salted: Keep | None = None,
 ) -> DataFrame:
     """Join on the athlete; ``columns`` of the results survive."""
     if small:
@@ -65,6 +69,8 @@ def _join(
     if hot is None and not results.isStreaming:
         return results.select(KEY, *columns).join(side.hint("merge"), KEY, how)
     salted_results, salted_side = salted(results, side, columns, spread, hot)
+    if keep_salted is not None:
+        salted_side = keep_salted(salted_side)
     return salted_results.join(salted_side.hint("merge"), [KEY, "salt"], how).drop("salt")
 
 
@@ -165,7 +171,8 @@ def enrich_agg(
     broadcast_limit: int = BROADCAST_LIMIT,
     spread: int = SPREAD,
     hot: Hot = None,
-    keep: Callable[[DataFrame], DataFrame] | None = None,
+    keep: Keep | None = None,
+    keep_salted: Keep | None = None,
     watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Mean height, mean weight and row count per sport, medal, sex and country.
@@ -176,7 +183,8 @@ def enrich_agg(
     can expire; it shows as ``window_start`` and ``window_end``.
 
     ``keep`` is given the grouped biographies if they are too large to broadcast, and
-    returns what the join reads in their place, for instance a stored copy.
+    returns what the join reads in their place, for instance a stored copy. ``keep_salted`` is
+    the same for them as the salted join of a stream takes them: with a ``salt``, and once for each.
 
     ``watch`` is given the results as they leave the join, with their number ``n`` and, where
     there was no biography, NULL for ``n_rows``, and returns them, for instance observed. Without
@@ -196,7 +204,7 @@ def enrich_agg(
     if keep is not None and not small:
         profiles = keep(profiles)
     how = "inner" if watch is None else "left"
-    joined = _join(counted, profiles, (*keys, "n"), small, spread, hot, how)
+    joined = _join(counted, profiles, (*keys, "n"), small, spread, hot, how, keep_salted)
     if watch is not None:
         joined = watch(joined).filter(F.col("n_rows").isNotNull())
     tallies = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 from functools import partial
 from typing import Any
@@ -34,6 +35,7 @@ def enrichment_stream(
     spread: int = SPREAD,
     hot: Hot = None,
     profiles: str | None = None,
+    profile_buckets: int | None = None,
     metrics: str | None = None,
 ) -> DataFrame:
     """Running tallies of topic ``records`` joined to a raw ``biography`` table.
@@ -47,7 +49,9 @@ def enrichment_stream(
     ``profiles`` names a folder of this job alone. Biographies too large to broadcast are
     then cleaned and grouped once, when the stream is defined, and stored there in place of
     an earlier copy; micro-batches read that copy, and changes show when the stream is
-    defined again. No other query may be reading the folder at that time.
+    defined again. No other query may be reading the folder at that time. With ``profile_buckets``
+    the copy is stored as the join takes it, salts included, in so many buckets: a micro-batch
+    reads it without an exchange and moves its records only. It takes as many tasks as buckets.
 
     ``window`` adds a window over the event time as a group key. The event time is
     the time of processing, unless ``event_time`` names a field of the record, and
@@ -71,6 +75,16 @@ def enrichment_stream(
         grouped.write.mode("overwrite").parquet(profiles)
         return grouped.sparkSession.read.schema(grouped.schema).parquet(profiles)
 
+    def bucketed(side: DataFrame) -> DataFrame:
+        # A name of its own for each folder, so that two jobs of a session do not meet.
+        name = f"profiles_{hashlib.md5(profiles.encode()).hexdigest()}"
+        spark, keys = side.sparkSession, (KEY, "salt")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        dealt = side.repartition(profile_buckets, *keys)  # as the buckets are: one file for each
+        writer = dealt.write.bucketBy(profile_buckets, *keys).sortBy(*keys).mode("overwrite")
+        writer.option("path", profiles).format("parquet").saveAsTable(name)
+        return spark.table(name)
+
     return enrich_agg(
         results,
         clean_biography(biography),
@@ -78,7 +92,8 @@ def enrichment_stream(
         broadcast_limit=broadcast_limit,
         spread=spread,
         hot=hot,
-        keep=stored if profiles else None,
+        keep=stored if profiles and not profile_buckets else None,
+        keep_salted=bucketed if profiles and profile_buckets else None,
         watch=partial(observe_unmatched, name=metrics) if metrics else None,
     )
 

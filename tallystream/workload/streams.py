@@ -114,6 +114,13 @@ def final_totals_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final_totals(spark, sf_dir, skewed=True, stored=True, broadcast_limit=0)
 
 
+def final_totals_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As above, the biographies stored in the buckets in which the join takes them."""
+    return final_totals(
+        spark, sf_dir, skewed=True, stored=True, broadcast_limit=0, profile_buckets=8
+    )
+
+
 def resumed_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run, more records, and a second run from the same checkpoint."""
     job = Job(spark, sf_dir, "resume")
@@ -187,6 +194,7 @@ QUERIES = {
     "stream_enrich_agg": final_totals,
     "stream_enrich_agg_salted": final_totals_salted,
     "stream_enrich_agg_hot": final_totals_hot,
+    "stream_enrich_agg_bucketed": final_totals_bucketed,
     "stream_resume": resumed_totals,
     "stream_update_log": update_log,
     "stream_windowed_agg": closed_windows,
@@ -214,6 +222,7 @@ ORACLES = {
     "stream_enrich_agg": domain.TALLY_SQL,
     "stream_enrich_agg_salted": domain.TALLY_SQL,
     "stream_enrich_agg_hot": domain.SKEWED_TALLY_SQL,
+    "stream_enrich_agg_bucketed": domain.SKEWED_TALLY_SQL,
     "stream_resume": domain.TALLY_SQL,
     "stream_update_log": _UPDATES,
     "stream_windowed_agg": f"""

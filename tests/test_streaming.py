@@ -229,6 +229,26 @@ def test_large_biographies_are_stored_once(stage, capsys):
     assert plan.count("Exchange hashpartitioning(athlete_id") == 2  # one for each side
 
 
+@pytest.mark.parametrize("hot", [None, [1]])
+def test_bucketed_biographies_are_not_moved(stage, capsys, hot):
+    """Of a micro-batch's join only the records pass an exchange, and into the buckets."""
+    options = {"broadcast_limit": 0, "hot": hot, "spread": 3, "profile_buckets": 5}
+    options["profiles"] = f"{stage.base}/profiles"
+    seen = []
+    for batch in (FIRST, SECOND):
+        stage.send(batch)
+        stage.run([collector(seen)], **options)
+    assert seen == [{("judo", "Gold"): 2, ("judo", None): 2}, {("judo", "Gold"): 3}]
+    capsys.readouterr()
+    stage.tallies(**options).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning(athlete_id") == 1
+    assert "Bucketed: true" in plan and "salt" in plan
+    join, rest = plan[: plan.index("SortMergeJoin")], plan[plan.index("SortMergeJoin") :]
+    assert rest.count("Exchange") == 1 and ", 5)" in rest[rest.index("Exchange") :].splitlines()[0]
+    assert join.count("Exchange hashpartitioning(sport") == 1
+
+
 def test_small_biographies_are_not_stored(stage):
     profiles = f"{stage.base}/profiles"
     stage.send(FIRST)
