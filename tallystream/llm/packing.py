@@ -12,7 +12,9 @@ import re
 import string
 import sys
 import types
+import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +36,24 @@ TEXT_BYTES = 1 << 21
 _MARKS = string.punctuation
 
 
+@cache
+def marked_letters() -> str:
+    """Letters whose lower case or normal form ends in a mark, which joins the marks behind it."""
+    found = []
+    for letter in filter(str.isalpha, map(chr, range(sys.maxunicode + 1))):
+        forms = letter.lower() + unicodedata.normalize("NFC", letter)
+        if any(unicodedata.category(c).startswith("M") for c in forms):
+            found.append(letter)
+    return "".join(found)
+
+
 class WordEncoder:
     """Ids of whole texts from the ids of their distinct words, with a bounded memory of words.
 
     Holds for tokenizers that ignore the case of A to Z, never join what white space parts and
     end each piece with ``</w>``; the test compares it with the tokenizer on whole texts. Texts
-    with a special token or a combining mark go to the tokenizer as they are.
+    with a special token, a combining mark or a letter that stands for one go to the tokenizer as
+    they are.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -53,7 +67,8 @@ class WordEncoder:
             self.last[i] = piece.endswith("</w>")
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Special tokens, and marks that may join the letter before them.
-        self.odd = "|".join([r"[\x{0300}-\x{036f}]", *map(re.escape, special)])
+        marks = r"[\x{0300}-\x{036f}" + marked_letters() + "]"
+        self.odd = "|".join([marks, *map(re.escape, special)])
         self.seen: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 

@@ -1,0 +1,53 @@
+"""Ids of single words equal the tokenizer's, for every letter and what may stand behind it."""
+
+import random
+import string
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from tallystream.llm import packing
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.WordEncoder(packing.public_tokenizer(), packing.END_ID)
+
+
+def differing(encoder, texts):
+    """Texts whose ids are not those of the tokenizer."""
+    wrong = []
+    for a in range(0, len(texts), 50_000):
+        part = texts[a : a + 50_000]
+        raw, _ = encoder.encode(pa.array(part))
+        plain = encoder.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+        for text, ids, own in zip(part, raw.to_pylist(), plain, strict=True):
+            if np.frombuffer(ids, "<u4").tolist() != [*own.ids, packing.END_ID]:
+                wrong.append(text)
+    return wrong
+
+
+LETTERS = [chr(i) for i in range(0x110000) if chr(i).isalpha()]
+
+
+@pytest.mark.parametrize("mark", [".", "'", "̀", "़"])
+def test_every_letter_before_a_mark(encoder, mark):
+    assert differing(encoder, [letter + mark for letter in LETTERS]) == []
+
+
+def test_letters_that_stand_for_marks(encoder):
+    found = packing.marked_letters()
+    assert "İ" in found and "क़" in found and "a" not in found and len(found) < 200
+    texts = [f"{before}{letter}{mark}{after}" for letter in found for mark in string.punctuation
+             for before in ("", "ab") for after in ("", " x")]
+    assert differing(encoder, texts) == []
+    assert differing(encoder, ["DİYARBAKIR'da İ. İ, (İ) i̇. Σ. ΣΑΣ."]) == []
+
+
+def test_random_texts(encoder):
+    rng = random.Random(0)
+    odd = packing.marked_letters()
+    pieces = ["a", "B", "ẞ", "ß", "Σ", "ﬁ", "é", "é", "1", "½", "'s", "'", "--", ".", " ", " ", "  ", "\n", "‍", "한", "하", "中"]
+    texts = ["".join(rng.choice(pieces if rng.random() < 0.9 else odd) for _ in range(rng.randrange(1, 12))) for _ in range(60_000)]
+    assert differing(encoder, texts) == []
