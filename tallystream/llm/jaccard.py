@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tallystream.llm.batches import parts, structs
 from tallystream.llm.components import components
-from tallystream.llm.tables import id_of, key_of, store, table
+from tallystream.llm.tables import store, table
 from tallystream.llm.words import grams, mix, signed, words
 
 SHINGLE = 5
@@ -352,10 +352,12 @@ def compare(texts: DataFrame, members: DataFrame, queries: DataFrame) -> DataFra
     return store(compared, "compared")
 
 
-def linked_sets(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: d (id, null as the largest number), n_shingles, component."""
-    spark = docs.sparkSession
-    texts = docs.select(key_of().alias("d"), "text")
+def linked_sets(texts: DataFrame) -> DataFrame:
+    """One row per row of ``texts`` (d, a number of its own, and text): d, n_shingles, component.
+
+    A component is named by its smallest d. The numbers must be stored with the texts.
+    """
+    spark = texts.sparkSession
     signs = store(
         texts.mapInArrow(_signatures, "d long, n long, k1 long, k2 long, m0 long, m1 long, m2 long"), "signs"
     )
@@ -420,25 +422,46 @@ def linked_sets(docs: DataFrame) -> DataFrame:
     )
 
 
+def _linked_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a number __d for each row, stored, and its ``linked_sets``.
+
+    Links are between rows, not ids: rows without an id, or with an id in common, stay apart.
+    """
+    rows = store(docs.withColumn("__d", F.monotonically_increasing_id()), "rows")
+    return rows, linked_sets(rows.select(F.col("__d").alias("d"), "text"))
+
+
 def join_near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every document.
 
     Two documents link when their sets of distinct 5-word shingles (A to Z lower-cased) have a
     Jaccard similarity of 0.75 or more. Fewer than five words are one shingle; a null, empty or
-    blank text has none, links with nothing and is its own component. Rows that share a doc_id
-    each give a row and may link through either text; null ids count as one id, larger than all
-    others. Other columns are ignored; no rows give no rows.
+    blank text has none, links with nothing and is its own component. Every row is linked by
+    its own text, also where rows share a doc_id or have none. A component of rows without an
+    id has a null component_id; others pass over null ids. Other columns are ignored; no rows
+    give no rows.
     """
-    return linked_sets(docs).select(
-        id_of("d").alias("doc_id"), "n_shingles", id_of("component").alias("component_id")
+    rows, linked = _linked_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    named = store(
+        rows.select("doc_id", F.col("__d").alias("d")).join(linked, "d").select("doc_id", "n_shingles", "component"),
+        "linked",
     )
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(smallest, "component").select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, columns unchanged."""
-    smallest = linked_sets(docs).filter("d = component").select(F.col("d").alias("__d")).distinct()
-    keyed = docs.withColumn("__d", key_of())
-    return keyed.join(store(smallest, "kept"), "__d", "left_semi").select(*docs.columns)
+    """One row of each component, columns unchanged: that with the smallest doc_id.
+
+    Null ids come after all others; of rows with the same id one is kept. Rows that link with
+    nothing stay, whatever their ids.
+    """
+    rows, linked = _linked_rows(docs)
+    ids = rows.select(F.col("__d").alias("d"), F.col("doc_id").cast("long").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("absent"), "id", "d")
+    kept = ids.join(linked, "d").groupBy("component").agg(F.min(order).alias("first"))
+    kept = store(kept.select(F.col("first.d").alias("__d")), "kept")
+    return rows.join(kept, "__d", "left_semi").select(*docs.columns)
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
