@@ -1,9 +1,12 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-Every vector, less the mean of all, is scaled to unit length, rotated and kept as the signs of
-its components with three scalars. The signs estimate inner products without bias, with an
-error bound from the scalars; only vectors whose upper bound reaches the best lower bounds are
-compared in full. Queries go to all tasks in blocks of bounded size.
+Every vector, less the mean of all, is scaled to unit length, turned in a few random ways and
+kept as the signs of its components, packed into words of 64 bits, with its length and how close
+each code comes to it. Queries are turned alike and cut to four bits a component, of which each
+bit makes one mask. Counting the bits that codes and masks have in common estimates inner products
+without bias, with an error bound from the scalars; only vectors whose upper bound reaches
+the best scores found so far are compared in full. Queries go to all tasks in blocks of bounded
+size.
 """
 
 from __future__ import annotations
@@ -20,20 +23,31 @@ from tallystream.llm.tables import store, table
 NEAREST = 20
 #: Width of the error bound in standard deviations of the estimate.
 SIGMAS = 4.0
+#: Codes of a vector, each turned another way: so many times the bits, an error less by the root.
+TURNS = 4
+#: Bits of a query's component.
+QUERY_BITS = 4
 #: Query components broadcast at a time (32 MB as doubles).
 BLOCK_VALUES = 1 << 22
-ROWS_PER_TASK = 20_000
-#: Candidates compared with the queries at a time.
-CHUNK = 4_096
+ROWS_PER_TASK = 8_192
+#: Candidates, and queries, compared at a time.
+CHUNK, QUERIES = 4_096, 64
 _SEED = 20_250
 
 
-def rotation(size: int) -> np.ndarray:
+def rotation(size: int, turn: int = 0) -> np.ndarray:
     """A random orthogonal matrix, the same everywhere."""
-    q, r = np.linalg.qr(np.random.default_rng(_SEED).standard_normal((size, size)))
+    q, r = np.linalg.qr(np.random.default_rng(_SEED + turn).standard_normal((size, size)))
     return q * np.sign(np.diag(r))
 
 
+def packed(bits: np.ndarray) -> np.ndarray:
+    """Rows of zeros and ones as rows of 64-bit words."""
+    octets = np.packbits(bits.astype(bool), axis=1)
+    octets = np.pad(octets, ((0, 0), (0, -octets.shape[1] % 8)))
+    return np.ascontiguousarray(octets).view(np.uint64)
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """Rows (id, vector of doubles) that take part: no null, non-finite component; not zero, not empty."""
     doubles = F.transform("vector", lambda x: x.cast("double"))
@@ -50,23 +64,26 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _codes(mean: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = rotation(len(mean))
+        size = len(mean)
+        turns = [rotation(size, t) for t in range(TURNS)]
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = _matrix(batch["vector"]) - mean
             norm = np.sqrt((x * x).sum(axis=1))
-            unit = (x / np.maximum(norm, 1e-300)[:, None]) @ turn
-            bits = np.packbits(unit >= 0, axis=1)
-            # Inner product of the unit vector with its code, itself of unit length.
-            close = np.abs(unit).sum(axis=1) / np.sqrt(len(mean))
+            unit = x / np.maximum(norm, 1e-300)[:, None]
+            turned = [unit @ t for t in turns]
+            codes = np.hstack([packed(u >= 0) for u in turned])
+            # Inner product of the unit vector with each code, itself of unit length.
+            close = np.stack([np.abs(u).sum(axis=1) for u in turned], axis=1) / np.sqrt(size)
+            borders = np.arange(len(norm) + 1, dtype=np.int32) * TURNS
             yield pa.record_batch(
                 {
                     "id": batch["id"],
                     "vector": batch["vector"],
-                    "bits": pa.array([b.tobytes() for b in bits], pa.binary()),
+                    "codes": pa.array([c.tobytes() for c in codes], pa.binary()),
                     "norm": pa.array(norm),
-                    "close": pa.array(np.maximum(close, 1e-12)),
+                    "close": pa.ListArray.from_arrays(borders, pa.array(np.maximum(close, 1e-12).ravel())),
                 }
             )
 
@@ -77,7 +94,7 @@ def index(vectors: DataFrame, mean: np.ndarray) -> DataFrame:
     """The stored index: every usable vector with its code and scalars."""
     rows = vectors.count()
     coded = vectors.repartition(max(1, -(-rows // ROWS_PER_TASK))).mapInArrow(
-        _codes(mean), "id long, vector array<double>, bits binary, norm double, close double"
+        _codes(mean), "id long, vector array<double>, codes binary, norm double, close array<double>"
     )
     return store(coded, "index")
 
@@ -94,40 +111,90 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
+class Masks:
+    """Queries as the masks that codes are counted against."""
+
+    def __init__(self, queries: np.ndarray):
+        self.size = size = queries.shape[1]
+        self.length = np.sqrt((queries * queries).sum(axis=1))
+        self.turns = []
+        top = (1 << QUERY_BITS) - 1
+        for t in range(TURNS):
+            turned = queries @ rotation(size, t)
+            low = turned.min(axis=1)
+            step = np.maximum((turned.max(axis=1) - low) / top, 1e-300)
+            levels = np.rint((turned - low[:, None]) / step[:, None]).astype(np.uint8)
+            masks = [packed(levels >> bit & 1) for bit in range(QUERY_BITS)]
+            self.turns.append((masks, low, step, turned.sum(axis=1)))
+        # Cutting a component to a step errs by at most half, evenly.
+        self.blur = np.max([step for _, _, step, _ in self.turns], axis=0) / np.sqrt(12)
+
+    def estimates(self, part: slice, codes: np.ndarray, close: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        """Inner products of some queries (rows) with coded vectors less their mean (columns)."""
+        words = codes.shape[1] // TURNS
+        total = np.zeros((part.stop - part.start, len(codes)), np.float32)
+        for t, (masks, low, step, whole) in enumerate(self.turns):
+            own = codes[:, t * words : (t + 1) * words]
+            common = np.zeros(total.shape, np.uint32)
+            for bit, mask in enumerate(masks):
+                for w in range(words):
+                    both = np.bitwise_count(own[:, w][None, :] & mask[part, w][:, None])
+                    common += both.astype(np.uint32) << np.uint32(bit)
+            ones = np.bitwise_count(own).sum(axis=1, dtype=np.int64)
+            product = common * (2 * step[part]).astype(np.float32)[:, None]
+            product += (2 * low[part]).astype(np.float32)[:, None] * ones.astype(np.float32)
+            product -= whole[part].astype(np.float32)[:, None]
+            total += product * (norm / (close[:, t] * np.sqrt(self.size) * TURNS)).astype(np.float32)
+        return total
+
+
 def _search(shared, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, queries, mean = shared.value
         size = len(mean)
-        turned = queries @ rotation(size) / np.sqrt(size)
-        lengths = np.sqrt((queries * queries).sum(axis=1))
+        masks = Masks(queries)
         centre = queries @ mean
         found = [(np.zeros(0), np.zeros(0, np.int64))] * len(queries)
         floor = np.full(len(queries), -np.inf)  # the k-th best score so far
+        reach = 0.0  # no vector of a chunk is longer
+
+        def compare(q: int, some: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+            some = some[ids[some] != query_ids[q]]
+            if floor[q] > -np.inf:  # a first look in any order of summing, beyond whose error none counts
+                near = vectors[some] @ queries[q]
+                some = some[near >= floor[q] - 1e-9 * (masks.length[q] * reach + 1)]
+            scores = np.concatenate([found[q][0], exact(vectors[some], queries[q])])
+            both = np.concatenate([found[q][1], ids[some]])
+            keep = _best(scores, both, k)
+            found[q] = scores[keep], both[keep]
+            if len(keep) == k:
+                floor[q] = scores[keep[-1]]
+
         for batch in batches:
             for lo in range(0, batch.num_rows, CHUNK):
                 rows = batch.slice(lo, CHUNK)
                 ids, vectors = rows["id"].to_numpy(), _matrix(rows["vector"])
-                packed = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(len(ids), -1)
-                signs = np.unpackbits(packed, axis=1, count=size).astype(np.float64) * 2 - 1
-                norm, close = rows["norm"].to_numpy(), rows["close"].to_numpy()
-                middle = centre[:, None] + (turned @ signs.T) * (norm / close)
-                spread = SIGMAS * norm * np.sqrt(np.maximum(1 - close**2, 0)) / close / np.sqrt(max(size - 1, 1))
-                margin = lengths[:, None] * spread
-                if len(ids) > k:
-                    low = np.partition(middle - margin, -k - 1, axis=1)[:, -k - 1]  # one may be the query
-                    least = np.maximum(floor, low)
-                else:
-                    least = floor
-                slack = 1e-9 * (lengths * (norm.max() + np.abs(mean).sum()) + 1)
-                for q in np.flatnonzero(((middle + margin) >= (least - slack)[:, None]).any(axis=1)):
-                    some = np.flatnonzero(middle[q] + margin[q] >= least[q] - slack[q])
-                    some = some[ids[some] != query_ids[q]]
-                    scores = np.concatenate([found[q][0], exact(vectors[some], queries[q])])
-                    both = np.concatenate([found[q][1], ids[some]])
-                    keep = _best(scores, both, k)
-                    found[q] = scores[keep], both[keep]
-                    if len(keep) == k:
-                        floor[q] = scores[keep[-1]]
+                codes = np.frombuffer(b"".join(rows["codes"].to_pylist()), np.uint64).reshape(len(ids), -1)
+                norm, close = rows["norm"].to_numpy(), _matrix(rows["close"])
+                error = np.sqrt(((1 - np.minimum(close, 1) ** 2) / close**2).sum(axis=1) / max(size - 1, 1))
+                error, blur = SIGMAS * norm * error / TURNS, SIGMAS * norm * np.sqrt((close**-2).sum(axis=1)) / TURNS
+                reach = norm.max() + np.abs(mean).sum()
+                for first in range(0, len(queries), QUERIES):
+                    part = slice(first, min(first + QUERIES, len(queries)))
+                    upper = masks.estimates(part, codes, close, norm)
+                    unsure = masks.length[part, None] * error + masks.blur[part, None] * blur
+                    upper += unsure.astype(np.float32)
+                    # Single precision and the largest code's length bound what sums may lose.
+                    slack = 1e-5 * (masks.length[part] * 2 * reach + 1)
+                    for q in range(part.start, part.stop):
+                        above = upper[q - first]
+                        if len(found[q][0]) < k:  # no floor yet: that of the most promising ones
+                            lead = np.argpartition(-above, min(2 * k, len(above) - 1))[: 2 * k]
+                            compare(q, lead, ids, vectors)
+                            above[lead] = -np.inf
+                        some = np.flatnonzero(above >= floor[q] - centre[q] - slack[q - first])
+                        if len(some):
+                            compare(q, some[above[some] > -np.inf], ids, vectors)
         sizes = [len(s) for s, _ in found]
         if sum(sizes):
             yield pa.record_batch(
