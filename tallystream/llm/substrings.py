@@ -91,7 +91,7 @@ def _anchors(window: int):
 
 
 _PASSAGE = (
-    "shard long, block int, level int, copy int, kind int, d long, t int, lo int, n int, words binary"
+    "shard long, block int, level int, copy int, kind int, d long, t long, lo int, n int, words binary"
 )
 
 
@@ -139,11 +139,11 @@ def _passages(window: int):
 
 _ARROW = pa.schema(
     [("shard", pa.int64()), ("block", pa.int32()), ("level", pa.int32()), ("copy", pa.int32()),
-     ("kind", pa.int32()), ("d", pa.int64()), ("t", pa.int32()), ("lo", pa.int32()),
+     ("kind", pa.int32()), ("d", pa.int64()), ("t", pa.int64()), ("lo", pa.int32()),
      ("n", pa.int32()), ("words", pa.binary())]
 )
 
-_FOUND = "kind int, a long, b long, d long, t int, start int, n int"
+_FOUND = "kind int, a long, b long, d long, t long, start int, n int"
 
 
 def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +161,7 @@ def _stream(window: int):
         return pa.record_batch(
             {
                 "kind": full(kind, np.int32), "a": pa.array(a), "b": pa.array(b),
-                "d": full(d, np.int64), "t": full(t, np.int32),
+                "d": full(d, np.int64), "t": full(t, np.int64),
                 "start": pa.array(start.astype(np.int32)), "n": pa.array(n.astype(np.int32)),
             }
         )
@@ -199,12 +199,12 @@ def _stream(window: int):
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Windows of each document that also start in a document with a smaller id.
 
-    One row per document that has some: d (id, null as the largest number), t (hash of the
-    text), spans (array of start and number of consecutive windows).
+    One row per id and text that has some: d (id, null as the largest number), t (hash of the
+    text), spans (array of start and number of consecutive windows). Equal rows share one.
     """
-    texts = docs.select(key_of().alias("d"), F.hash("text").alias("t"), "text")
+    texts = docs.select(key_of().alias("d"), F.xxhash64("text").alias("t"), "text")
     anchors = store(
-        texts.mapInArrow(_anchors(window), "h long, d long, t int, place int, lo int, n int"), "anchors"
+        texts.mapInArrow(_anchors(window), "h long, d long, t long, place int, lo int, n int"), "anchors"
     )
     shared = store(
         anchors.groupBy("h")
@@ -223,10 +223,12 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         "shared",
     )
     fields = ("lo", "n", "place", "first", "first_place", "level")
+    # Equal rows are looked at once, so that no list and no shard grows with their number.
     by_document = (
-        anchors.join(shared, "h").groupBy("d", "t").agg(F.collect_list(F.struct(*fields)).alias("anchors"))
+        anchors.join(shared, "h").groupBy("d", "t").agg(F.collect_set(F.struct(*fields)).alias("anchors"))
     )
-    passages = texts.join(by_document, ["d", "t"]).mapInArrow(_passages(window), _PASSAGE)
+    once = texts.dropDuplicates(["d", "t"])
+    passages = once.join(by_document, ["d", "t"]).mapInArrow(_passages(window), _PASSAGE)
     unit = ["shard", "block", "level", "copy"]
     found = store(
         passages.repartition(*unit).sortWithinPartitions(*unit, "kind").mapInArrow(_stream(window), _FOUND),
@@ -278,14 +280,19 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     smaller doc_id. Runs lie within one row; they are judged on the input, not on what is
     left. ``kept_text`` has the kept words joined by one space. A null text has no words and
     an empty ``kept_text``. Of rows with the same doc_id none counts as earlier than another;
-    a null doc_id comes after all others. Columns of other names are passed on unchanged.
+    a null doc_id comes after all others. Columns of other names are passed on unchanged; a
+    column named like one of the three is an error.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    taken = sorted({"kept_text", "n_words", "n_removed"} & {c.lower() for c in docs.columns})
+    if taken:
+        raise ValueError(f"rename the columns {taken}, which the operator adds")
+
     spans = repeated_windows(docs, window).select(
         F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("spans").alias("__spans")
     )
-    keyed = docs.withColumns({"__d": key_of(), "__t": F.hash("text")})
+    keyed = docs.withColumns({"__d": key_of(), "__t": F.xxhash64("text")})
     joined = keyed.join(spans, ["__d", "__t"], "left").select(*docs.columns, "__spans")
     schema = T.StructType(
         docs.schema.fields
