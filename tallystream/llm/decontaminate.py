@@ -59,6 +59,8 @@ EQUAL = 0.8
 _EQUAL_FOR_OTHER = round(EQUAL / (1 - EQUAL))
 #: Words of test items that are broadcast at a time (some 2 MB, 30 MB as seeds); more are more passes.
 BLOCK_WORDS = 250_000
+#: Hits made at a time; a single place can have as many as the block has items' places.
+HITS = 1 << 20
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _FILTER_BITS = 22
 
@@ -95,8 +97,14 @@ class SeedIndex:
             self.tables.append((hashes[order], item[order], order - self.rows[item[order]], sieve))
 
     def hits(self, numbers: np.ndarray, row_of: np.ndarray):
-        """Distinct (row, item, place in ``numbers`` where the item would begin)."""
-        found = []
+        """Distinct (row, item, place in ``numbers`` where the item would begin).
+
+        Repeated words hit each other everywhere, so hits are made in pieces of bounded size, of
+        which only distinct ones are kept, as one number each.
+        """
+        found = np.zeros(0, np.int64)
+        before = int(np.diff(self.rows).max(initial=0))
+        n_items, n_rows = len(self.ids), int(row_of.max(initial=0)) + 1
         for (mask, _), (hashes, item, place, sieve) in zip(self.masks, self.tables, strict=True):
             if not len(hashes):
                 continue
@@ -105,12 +113,20 @@ class SeedIndex:
             at = at[row_of[at] == row_of[at + mask[-1]]]
             lo, hi = (np.searchsorted(hashes, own[at], side) for side in ("left", "right"))
             n = hi - lo
-            entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            at = np.repeat(at, n)
-            found.append(np.stack([row_of[at], item[entry], at - place[entry]]))
-        if not found:
-            return np.zeros((0, 3), np.int64)
-        return np.unique(np.concatenate(found, axis=1), axis=1).T
+            at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
+            piece = (np.cumsum(n) - n) // HITS
+            cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(n)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a < b:
+                    m = n[a:b]
+                    entry = np.repeat(lo[a:b] - (np.cumsum(m) - m), m) + np.arange(m.sum())
+                    where = np.repeat(at[a:b], m)
+                    begin = where - place[entry] + before
+                    named = (begin * n_items + item[entry]) * n_rows + row_of[where]
+                    found = np.union1d(found, named)
+        rest, row = np.divmod(found, n_rows)
+        begin, item = np.divmod(rest, n_items)
+        return np.stack([row, item, begin - before], axis=1)
 
     def verify(self, numbers: np.ndarray, first: int, end: int, item: int, begin: int):
         """Longest overlap of the item laid at ``begin``: (start in the row, start in the item, words, equal).

@@ -19,6 +19,8 @@ LENGTHS = (1, 2, 3)
 TRAINING_ROWS = 20_000
 #: The matrix of log-probabilities is broadcast: 0.5 MB a language.
 LANGUAGES = 200
+#: Entries of the probability table gathered at a time (32 MB), whatever the texts and languages.
+GATHERED = 1 << 22
 SMOOTHING = 0.5
 UNKNOWN = "und"
 _TASKS = 8
@@ -112,8 +114,10 @@ def _score(shared):
         for batch in parts(batches):
             size = batch.num_rows
             sums = np.zeros((size, len(names)))
-            for bucket, row in buckets(batch["text"]):
-                if len(row) and names:
+            step = max(1, GATHERED // max(len(names), 1))
+            for buckets_of, rows_of in buckets(batch["text"]):
+                for a in range(0, len(rows_of) if names else 0, step):
+                    bucket, row = buckets_of[a : a + step], rows_of[a : a + step]
                     heads = np.flatnonzero(np.diff(row, prepend=-1))
                     sums[row[heads]] += np.add.reduceat(table[bucket], heads, axis=0)
             letters = pc.fill_null(pc.match_substring_regex(batch["text"], r"\pL"), False)

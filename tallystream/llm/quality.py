@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tallystream.llm.batches import parts
 from tallystream.llm.language import remainder
-from tallystream.llm.tables import table
+from tallystream.llm.tables import one_text, refuse_names, table
 from tallystream.llm.words import text_bytes, words
 
 #: Rows of positives, of unlabelled text, and labelled rows for the class prior; chosen by hash.
@@ -131,7 +131,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality); None without a positive.
 
     The class prior is the share of label 1 among the labelled rows. Positives and unlabelled
-    texts (any text, labelled or not) are about ``rows`` each, those with the smallest hash of doc_id.
+    texts (any text, labelled or not) are about ``rows`` ids each, those with the smallest hash of
+    doc_id; of several texts of an id one is learned from.
     """
     labelled = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.max("quality").alias("quality")
@@ -145,10 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model
         spread = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 32))
         return df.filter(spread < int((1 << 32) * min(1.0, rows / max(n, 1))))
 
-    positives = some(labelled.filter("quality = 1"), tally["good"], 1).select("doc_id", F.lit(1).alias("role"))
     texts = docs.select("doc_id", "text").filter("doc_id IS NOT NULL")
-    unlabelled = some(texts, texts.count(), 2).select("doc_id", F.lit(0).alias("role"), "text")
-    chosen = texts.join(positives, "doc_id").select("doc_id", "role", "text").unionByName(unlabelled)
+    positives = one_text(texts, some(labelled.filter("quality = 1"), tally["good"], 1).select("doc_id"))
+    unlabelled = one_text(some(texts, texts.count(), 2))
+    chosen = positives.withColumn("role", F.lit(1)).unionByName(unlabelled.withColumn("role", F.lit(0)))
     got = (
         chosen.withColumnRenamed("doc_id", "id").mapInArrow(_shapes_of, "id long, role int, shape binary")
         .orderBy("role", "id", "shape").toArrow()
@@ -174,10 +175,12 @@ def _score(shared, schema):
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """All rows and columns of ``docs`` with ``quality_score`` (0 to 1) from the text alone.
 
-    A null text scores as an empty one. Without a model every text scores 0.5.
+    A null text scores as an empty one. Without a model every text scores 0.5. A column of that
+    name is an error.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    refuse_names(docs, ["quality_score"])
     schema = T.StructType([*docs.schema.fields, T.StructField("quality_score", T.DoubleType())])
     shared = docs.sparkSession.sparkContext.broadcast(model and tuple(model))
     return docs.mapInArrow(_score(shared, to_arrow_schema(schema)), schema)

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tallystream.llm.automaton import SuffixAutomaton
 from tallystream.llm.batches import parts, structs
-from tallystream.llm.tables import key_of, store, table
+from tallystream.llm.tables import key_of, refuse_names, store, table
 from tallystream.llm.words import grams, mix, signed, words
 
 WINDOW = 50
@@ -285,9 +285,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    taken = sorted({"kept_text", "n_words", "n_removed"} & {c.lower() for c in docs.columns})
-    if taken:
-        raise ValueError(f"rename the columns {taken}, which the operator adds")
+    refuse_names(docs, ["kept_text", "n_words", "n_removed"])
 
     spans = repeated_windows(docs, window).select(
         F.col("d").alias("__d"), F.col("t").alias("__t"), F.col("spans").alias("__spans")

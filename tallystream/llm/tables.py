@@ -58,3 +58,16 @@ def id_of(key: str) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def refuse_names(df: DataFrame, added: list[str]) -> None:
+    """An error if ``df`` has columns named like those that an operator adds."""
+    taken = sorted(set(added) & {c.lower() for c in df.columns})
+    if taken:
+        raise ValueError(f"rename the columns {taken}, which the operator adds")
+
+
+def one_text(docs: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """doc_id and text, one for each id (of ``ids``): a sample by id stays as small as it was asked for."""
+    rows = docs.select("doc_id", "text") if ids is None else docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystream.llm.batches import parts
-from tallystream.llm.tables import store, table
+from tallystream.llm.tables import one_text, refuse_names, store, table
 from tallystream.llm.words import words
 
 #: Labelled rows the model is fitted on, chosen by hash.
@@ -131,14 +131,14 @@ def learn(row, feature, counts, toxic, buckets) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Model | None:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0/1).
 
-    About ``rows`` labelled rows are used, those with the smallest hash of doc_id; an id with
-    several labels counts as toxic if one says so. None if a class is missing.
+    About ``rows`` labelled ids are used, those with the smallest hash of doc_id; an id with
+    several labels counts as toxic if one says so, and of several texts one is learned from. None if a class is missing.
     """
     known = labels.filter("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = store(known, "labels")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 32)) < int((1 << 32) * min(1.0, rows / max(known.count(), 1)))
     found = store(
-        docs.select("doc_id", "text").join(known.filter(share), "doc_id")
+        one_text(docs, known.filter(share).select("doc_id")).join(known, "doc_id")
         .select(F.col("doc_id").alias("id"), "toxic", "text")
         .mapInArrow(_features_of, "id long, toxic int, bucket array<int>, times array<int>"),
         "features",
@@ -201,10 +201,12 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     """All rows and columns of ``docs`` with ``expected_severity`` (0 to 3) and ``grade``.
 
     The grade is the number of thresholds that are more likely passed than not. A null, empty or
-    unknown text scores as one without toxic features; without a model all are 0.
+    unknown text scores as one without toxic features; without a model all are 0. A column named
+    like one of the two is an error.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    refuse_names(docs, ["expected_severity", "grade"])
     schema = T.StructType(
         [
             *docs.schema.fields,

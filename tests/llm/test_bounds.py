@@ -1,0 +1,69 @@
+"""Bounded pieces give the same results, samples stay as small as asked for, names do not clash."""
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tallystream.llm import decontaminate, language, quality, toxicity
+from tallystream.llm.decontaminate import SeedIndex, overlaps
+from tallystream.llm.tables import one_text
+from tallystream.llm.words import words
+
+DOCS = "doc_id long, text string"
+
+
+def test_hits_in_pieces(monkeypatch):
+    rng = random.Random(0)
+    items = [" ".join(rng.choice("ab") for _ in range(rng.randrange(6, 40))) for _ in range(12)]
+    index = SeedIndex(list(range(12)), items)
+    texts = [" ".join(rng.choice("ab") for _ in range(300)), "", "a " * 200, items[3]]
+    numbers, rows = words(pa.array(texts), lower=True)
+    row_of = np.repeat(np.arange(len(texts)), np.diff(rows))
+    whole = index.hits(numbers, row_of)
+    for size in (1, 50, 5_000):
+        monkeypatch.setattr(decontaminate, "HITS", size)
+        assert np.array_equal(index.hits(numbers, row_of), whole)
+    assert [3, 3, int(rows[3])] in whole.tolist()
+
+
+def test_one_word_over_and_over(spark):
+    docs = spark.createDataFrame([(1, "a " * 40_000), (2, "b " * 50)], DOCS)
+    benchmark = spark.createDataFrame([(1, "a " * 60)], "item_id long, text string")
+    found = overlaps(docs, benchmark).collect()
+    assert [(r["d"], r["n_words"], r["n_equal"]) for r in found] == [(1, 60, 60)]
+
+
+def test_languages_in_pieces(spark, monkeypatch):
+    rng = random.Random(1)
+    alphabets = {f"l{i:03}": "abcdefghijklmnopqrstuvwxyz"[i % 20 : i % 20 + 6] for i in range(40)}
+    rows = [(i, " ".join("".join(rng.choices(letters, k=5)) for _ in range(30)), name)
+            for i, (name, letters) in enumerate(alphabets.items())] * 2
+    frame = spark.createDataFrame(rows, DOCS + ", lang string")
+    model = language.fit(frame)
+    asked = frame.withColumn("held_out", F.lit(True))
+    whole = language.predict(asked, model).orderBy("doc_id", "lang_pred").collect()
+    monkeypatch.setattr(language, "GATHERED", 200)
+    pieces = language.predict(asked, model).orderBy("doc_id", "lang_pred").collect()
+    assert [r["lang_pred"] for r in whole] == [r["lang_pred"] for r in pieces]
+    assert np.allclose([r["score"] for r in whole], [r["score"] for r in pieces])
+
+
+def test_a_sample_takes_one_text_of_an_id(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, "a"), (None, "b"), (None, "c")]
+    frame = spark.createDataFrame(rows, DOCS)
+    ids = spark.createDataFrame([(1,), (2,), (3,)], "doc_id long")
+    assert sorted(r["doc_id"] for r in one_text(frame, ids).collect()) == [1, 2]
+    chosen = {r["doc_id"]: r["text"] for r in one_text(frame).collect()}
+    assert chosen == {r["doc_id"]: r["text"] for r in one_text(frame.repartition(7)).collect()}
+
+
+@pytest.mark.parametrize(
+    "operator, name", [(toxicity.score, "grade"), (toxicity.score, "Expected_Severity"), (quality.score, "quality_score")]
+)
+def test_names_that_operators_add(spark, operator, name):
+    frame = spark.createDataFrame([(1, "a", 2)], f"{DOCS}, {name} int")
+    with pytest.raises(ValueError, match=name.lower()):
+        operator(frame, None)
