@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tallystream.llm.batches import parts, structs
 from tallystream.llm.components import components
-from tallystream.llm.tables import store, table
+from tallystream.llm.tables import key_of, store, table
 from tallystream.llm.words import grams, mix, signed, words
 
 SHINGLE = 5
@@ -77,7 +77,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns["k2"][some] = signed(np.add.reduceat(mix(tokens ^ _SEEDS[0]), heads))
             for i, seed in enumerate(_SEEDS):
                 columns[f"m{i}"][some] = signed(np.minimum.reduceat(mix(tokens + seed), heads))
-        yield pa.record_batch({"d": batch["d"], "n": pa.array(sizes)} | {k: pa.array(v) for k, v in columns.items()})
+        named = {"d": batch["d"], "o": batch["o"], "n": pa.array(sizes)}
+        yield pa.record_batch(named | {k: pa.array(v) for k, v in columns.items()})
 
 
 def _by_bucket(bits: int):
@@ -353,26 +354,31 @@ def compare(texts: DataFrame, members: DataFrame, queries: DataFrame) -> DataFra
 
 
 def linked_sets(texts: DataFrame) -> DataFrame:
-    """One row per row of ``texts`` (d, a number of its own, and text): d, n_shingles, component.
+    """One row per row of ``texts`` (d, a number of its own, o, its order, and text): d, n_shingles, component.
 
-    A component is named by its smallest d. The numbers must be stored with the texts.
+    A component is named by its smallest d. The numbers must be stored with the texts. The first
+    in order of several similar sets leads them: near copies resemble their original more than
+    each other, and originals come first more often than not.
     """
     spark = texts.sparkSession
     signs = store(
-        texts.mapInArrow(_signatures, "d long, n long, k1 long, k2 long, m0 long, m1 long, m2 long"), "signs"
+        texts.mapInArrow(_signatures, "d long, o long, n long, k1 long, k2 long, m0 long, m1 long, m2 long"), "signs"
     )
+    texts = texts.select("d", "text")
+    first = F.min(F.struct("o", "d")).alias("first")
     same = ["n", "k1", "k2"]
     sets = store(
         signs.filter("n > 0").groupBy(*same)
-        .agg(F.min("d").alias("d"), *[F.first(m).alias(m) for m in ("m0", "m1", "m2")]),
+        .agg(first, *[F.first(m).alias(m) for m in ("m0", "m1", "m2")])
+        .select("first.*", *same, "m0", "m1", "m2"),
         "sets",
     )
     total = sets.agg(F.sum("n")).first()[0] or 0
-    # First groups: sets that share a smallest hash, around the smallest id among them.
+    # First groups: sets that share a smallest hash, around the first among them.
     near = []
     for m in ("m0", "m1", "m2"):
         lead = store(
-            sets.groupBy(m).agg(F.min("d").alias("g"), F.max("d").alias("last")).filter("g < last").select(m, "g"),
+            sets.groupBy(m).agg(first, F.count("*").alias("times")).filter("times > 1").select(m, F.col("first.d").alias("g")),
             "lead",
         )
         near.append(sets.join(lead, m).filter("d <> g").select("g", F.lit(0).alias("part"), F.col("d").alias("q")))
@@ -428,7 +434,7 @@ def _linked_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     Links are between rows, not ids: rows without an id, or with an id in common, stay apart.
     """
     rows = store(docs.withColumn("__d", F.monotonically_increasing_id()), "rows")
-    return rows, linked_sets(rows.select(F.col("__d").alias("d"), "text"))
+    return rows, linked_sets(rows.select(F.col("__d").alias("d"), key_of().alias("o"), "text"))
 
 
 def join_near_duplicates(docs: DataFrame) -> DataFrame:
