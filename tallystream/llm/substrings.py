@@ -5,25 +5,31 @@ has the same anchor wherever it stands: its 12-word run with the smallest hash.
 in more than one document name the reference: the passages around them in the first document
 that has them, cut into shards of at most ``SHARD`` anchor places. Each shard's automaton is
 built in a task, past which the matching passages of later documents stream; shards that many
-documents match are sent to several tasks, each with its share of the documents. What has a
-known anchor but is not in the first document's passage (the same anchor, other surroundings)
-is compared by the hash of whole runs, so nothing is missed.
+documents match are sent to several tasks, each with its share of the documents.
+
+What has a known anchor but is not in the first document's passage (the same anchor, other
+surroundings) goes to another round with wider anchors: of 31, 41, 46 and at last 50 words,
+each the one before and what stands beside it in the run. Surroundings that a single document
+has end there; the first document of all others is the reference of that round. An anchor of
+50 words is the whole run, so nothing is missed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystream.llm.automaton import SuffixAutomaton
 from tallystream.llm.batches import parts, structs
 from tallystream.llm.tables import key_of, refuse_names, store, table
-from tallystream.llm.words import grams, mix, signed, words
+from tallystream.llm.words import grams, signed, words
 
 WINDOW = 50
 #: Places in the first document that one reference shard covers.
@@ -31,26 +37,28 @@ SHARD = 4096
 #: Documents that stream past one copy of a shard before it is sent to twice as many tasks.
 PER_COPY = 64
 
-_REFERENCE, _STREAMED, _LOOSE = 0, 1, 2
-_MATCHED, _HASHED = 0, 1
+_REFERENCE, _OWN, _STREAMED = 0, 1, 2
+_MATCHED, _MISSED = 0, 1
 
 
-def _anchor_width(window: int) -> int:
-    """Short enough for few anchors (two in ``window - width + 2`` places), long enough to be rare."""
-    return max(1, window // 4)
+def anchor_widths(window: int) -> list[int]:
+    """Words of an anchor in each round.
 
+    The first is short enough for few anchors (two in ``window - width + 2`` places) and long
+    enough to be rare. Each further one takes half of what is left of the run, on the side that
+    has it; a few last words are taken at once.
+    """
+    widths = [max(1, window // 4)]
+    while widths[-1] < window:
+        left = window - widths[-1]
+        widths.append(window if left <= 4 else widths[-1] + (left + 1) // 2)
+    return widths
 
-def minimizers(numbers: np.ndarray, rows: np.ndarray, window: int):
-    """Anchors of all windows that lie within a row.
 
-    Returns arrays of row, anchor hash, anchor place, first window and number of windows in
-    a row that share the anchor; places are counted from the start of the row.
-    """
-    k = _anchor_width(window)
+def _least(numbers: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs as long as a first anchor, and the place of each window's least one."""
+    k = anchor_widths(window)[0]
     span = window - k + 1
-    if len(numbers) < window:
-        none = np.zeros(0, np.int64)
-        return none, none.astype(np.uint64), none, none, none
     hashes = grams(numbers, k)
     # High half: hash; low half: place, so that the first of equal hashes wins.
     least = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
@@ -60,14 +68,57 @@ def minimizers(numbers: np.ndarray, rows: np.ndarray, window: int):
         width *= 2
     if width < span:
         least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+    return hashes, (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Where any of the columns differs from the row before; the first row is a head."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = False
+    for x in columns:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
+
+
+def minimizers(numbers: np.ndarray, rows: np.ndarray, window: int):
+    """Anchors of all windows that lie within a row.
+
+    Returns arrays of row, anchor hash, anchor place, first window and number of windows in
+    a row that share the hash; places are counted from the start of the row. Where a text
+    repeats itself, the windows with equal anchors are one entry (for each ``SHARD`` places).
+    """
+    if len(numbers) < window:
+        none = np.zeros(0, np.int64)
+        return none, none.astype(np.uint64), none, none, none
+    hashes, place = _least(numbers, window)
     row_of = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
-    first = np.flatnonzero(row_of[: len(least)] == row_of[window - 1 :])
-    place = (least[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    heads = np.flatnonzero(np.diff(place, prepend=-1)) if len(place) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(heads, len(place)))
-    lo, place = first[heads], place[heads]
-    row = row_of[lo]
-    return row, hashes[place], place - rows[row], lo - rows[row], counts
+    first = np.flatnonzero(row_of[: len(place)] == row_of[window - 1 :])
+    row, place = row_of[first], place[first]
+    h, place, first = hashes[place], place - rows[row], first - rows[row]
+    heads = _heads(h, row, place // SHARD)
+    counts = np.diff(np.append(heads, len(h)))
+    return row[heads], h[heads], place[heads], first[heads], counts
+
+
+def wider_anchors(numbers: np.ndarray, windows: np.ndarray, window: int, step: int, start: int = 0):
+    """Anchors of round ``step`` of the given windows of a passage that begins at ``start``.
+
+    Returns arrays of hash, place, first window and number of neighbouring windows that share
+    the hash; places are counted like ``start``.
+    """
+    widths = anchor_widths(window)
+    place, width = _least(numbers, window)[1][windows], widths[0]
+    for wider in widths[1 : step + 1]:
+        if wider == window:
+            place = windows
+        else:  # to the left where there is room, else to the right, where there must be
+            more = wider - width
+            place = np.where(place - windows >= more, place - more, place)
+        width = wider
+    h = grams(numbers, width)[place]
+    place, first = place + start, windows + start
+    heads = _heads(h, place // SHARD, first - np.arange(len(first)))
+    return h[heads], place[heads], first[heads], np.diff(np.append(heads, len(h)))
 
 
 def _anchors(window: int):
@@ -90,9 +141,16 @@ def _anchors(window: int):
     return run
 
 
+#: A reference shard: places of one text.
+_SHARD = ("first", "first_t", "block", "level")
 _PASSAGE = (
-    "shard long, block int, level int, copy int, kind int, d long, t long, lo int, n int, words binary"
+    "first long, first_t long, block int, level int, kind int, d long, t long, lo int, n int, words binary"
 )
+_ARROW = pa.schema(
+    [("first", pa.int64()), ("first_t", pa.int64()), ("block", pa.int32()), ("level", pa.int32()),
+     ("kind", pa.int32()), ("d", pa.int64()), ("t", pa.int64()), ("lo", pa.int32()),
+     ("n", pa.int32()), ("words", pa.binary())]
+)
 
 
 def _passages(window: int):
@@ -108,28 +166,15 @@ def _passages(window: int):
                 f = {k: v[offsets[i] : offsets[i + 1]] for k, v in all_fields.items()}
                 order = np.argsort(f["lo"], kind="stable")
                 f = {k: v[order] for k, v in f.items()}
-                own = f["first"] == d
-                kind = np.where(own, np.where(f["first_place"] == f["place"], _REFERENCE, _LOOSE), _STREAMED)
-                block = f["first_place"] // SHARD
                 # Neighbouring windows bound for the same shard stay together.
-                breaks = np.ones(len(kind), bool)
-                breaks[1:] = f["lo"][1:] != f["lo"][:-1] + f["n"][:-1]
-                for x in (kind, block, f["level"], f["first"]):
-                    breaks[1:] |= x[1:] != x[:-1]
-                heads = np.flatnonzero(breaks)
-                tails = np.append(heads[1:], len(kind)) - 1
-                share = int(mix(np.array([d], np.int64).view(np.uint64))[0] >> np.uint64(1))
+                gaps = np.cumsum(np.append(True, f["lo"][1:] != f["lo"][:-1] + f["n"][:-1]))
+                heads = _heads(gaps, f["kind"], *(f[x] for x in _SHARD))
+                tails = np.append(heads[1:], len(order)) - 1
                 for a, b in zip(heads.tolist(), tails.tolist(), strict=True):
-                    lo, level = int(f["lo"][a]), int(f["level"][a])
+                    lo = int(f["lo"][a])
                     n = int(f["lo"][b] + f["n"][b]) - lo
                     text = numbers[rows[i] + lo : rows[i] + lo + n + window - 1].tobytes()
-                    if kind[a] == _REFERENCE:
-                        copies = range(1 << level)
-                    else:
-                        copies = [share & ((1 << level) - 1)]
-                    place = int(block[a]) if kind[a] != _LOOSE else -1
-                    for copy in copies:
-                        out.append((int(f["first"][a]), place, level, copy, int(kind[a]), d, t, lo, n, text))
+                    out.append((*(int(f[x][a]) for x in (*_SHARD, "kind")), d, t, lo, n, text))
             if out:
                 columns = zip(*out, strict=True)
                 yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, _ARROW, strict=True)], schema=_ARROW)
@@ -137,14 +182,12 @@ def _passages(window: int):
     return run
 
 
-_ARROW = pa.schema(
-    [("shard", pa.int64()), ("block", pa.int32()), ("level", pa.int32()), ("copy", pa.int32()),
-     ("kind", pa.int32()), ("d", pa.int64()), ("t", pa.int64()), ("lo", pa.int32()),
-     ("n", pa.int32()), ("words", pa.binary())]
+_FOUND = "kind int, h long, place int, d long, t long, lo int, n int, words binary"
+_FOUND_ARROW = pa.schema(
+    [("kind", pa.int32()), ("h", pa.int64()), ("place", pa.int32()), ("d", pa.int64()),
+     ("t", pa.int64()), ("lo", pa.int32()), ("n", pa.int32()), ("words", pa.binary())]
 )
 
-_FOUND = "kind int, a long, b long, d long, t long, start int, n int"
-
 
 def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Heads and lengths of runs of consecutive numbers."""
@@ -152,64 +195,49 @@ def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return places[heads], np.diff(np.append(heads, len(places)))
 
 
-def _stream(window: int):
-    """Rows come sorted by shard, each shard's reference first; one automaton lives at a time."""
+def _stream(window: int, step: int):
+    """Rows come sorted by shard, each shard's reference first; one automaton lives at a time.
 
-    def emit(kind, a, b, d, t, start, n):
-        size = len(start)
-        full = lambda x, kind: pa.array(np.full(size, x, kind))
-        return pa.record_batch(
-            {
-                "kind": full(kind, np.int32), "a": pa.array(a), "b": pa.array(b),
-                "d": full(d, np.int64), "t": full(t, np.int64),
-                "start": pa.array(start.astype(np.int32)), "n": pa.array(n.astype(np.int32)),
-            }
-        )
+    Gives the matched runs, and passages around the anchors of round ``step`` of what is missed.
+    """
+
+    def judge(row: dict, automaton: SuffixAutomaton) -> Iterator[tuple]:
+        d, t, lo = row["d"], row["t"], row["lo"]
+        numbers = np.frombuffer(row["words"], np.uint64)
+        missed = np.array(automaton.matches(numbers.tolist()))[window - 1 :] < window
+        if row["kind"] == _STREAMED:  # what a document has twice does not go
+            for start, n in zip(*(x.tolist() for x in _runs(np.flatnonzero(~missed) + lo)), strict=True):
+                yield _MATCHED, None, None, d, t, start, n, None
+        if missed.any():
+            found = wider_anchors(numbers, np.flatnonzero(missed), window, step, lo)
+            for h, place, first, n in zip(signed(found[0]).tolist(), *(x.tolist() for x in found[1:]), strict=True):
+                yield _MISSED, h, place, d, t, first, n, numbers[first - lo : first - lo + n + window - 1].tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, automaton = None, SuffixAutomaton()
         for batch in batches:
-            waiting = []
+            out = []
             for row in batch.to_pylist():
-                numbers = np.frombuffer(row["words"], np.uint64)
-                key = (row["shard"], row["block"], row["level"], row["copy"])
+                key = (*(row[x] for x in _SHARD), row["copy"])
                 if key != shard:
                     shard, automaton = key, SuffixAutomaton()
                 if row["kind"] == _REFERENCE:
-                    automaton.add(numbers.tolist())
-                    continue
-                missed = np.ones(row["n"], bool)
-                if row["kind"] == _STREAMED:
-                    runs = np.array(automaton.matches(numbers.tolist()))
-                    missed = runs[window - 1 :] < window
-                    if not missed.all():
-                        start, n = _runs(np.flatnonzero(~missed) + row["lo"])
-                        zero = np.zeros(len(start), np.int64)
-                        waiting.append(emit(_MATCHED, zero, zero, row["d"], row["t"], start, n))
-                if missed.any():
-                    at = np.flatnonzero(missed)
-                    a, b = (signed(grams(numbers, window, seed)[at]) for seed in (0, 1))
-                    waiting.append(emit(_HASHED, a, b, row["d"], row["t"], at + row["lo"], np.ones(len(at))))
-            if waiting:
-                yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                    automaton.add(np.frombuffer(row["words"], np.uint64).tolist())
+                else:
+                    out.extend(judge(row, automaton))
+            if out:
+                columns = zip(*out, strict=True)
+                yield pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, _FOUND_ARROW, strict=True)], schema=_FOUND_ARROW)
 
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Windows of each document that also start in a document with a smaller id.
-
-    One row per id and text that has some: d (id, null as the largest number), t (hash of the
-    text), spans (array of start and number of consecutive windows). Equal rows share one.
-    """
-    texts = docs.select(key_of().alias("d"), F.xxhash64("text").alias("t"), "text")
-    anchors = store(
-        texts.mapInArrow(_anchors(window), "h long, d long, t long, place int, lo int, n int"), "anchors"
-    )
-    shared = store(
+def _shared(anchors: DataFrame) -> DataFrame:
+    """Anchors of several documents, the first text that has each, and how many tasks its shard goes to."""
+    return (
         anchors.groupBy("h")
         .agg(
-            F.min(F.struct("d", "place")).alias("first"),
+            F.min(F.struct("d", "t", "place")).alias("first"),
             F.max("d").alias("last"),
             F.count("*").alias("docs"),
         )
@@ -217,34 +245,64 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .select(
             "h",
             F.col("first.d").alias("first"),
-            F.col("first.place").alias("first_place"),
+            F.col("first.t").alias("first_t"),
+            F.floor(F.col("first.place") / SHARD).cast("int").alias("block"),
             F.greatest(F.lit(0), F.floor(F.log2(F.col("docs") / PER_COPY))).cast("int").alias("level"),
-        ),
-        "shared",
+        )
+    )
+
+
+def _kind() -> Column:
+    """What an anchor is to the shard of its hash."""
+    own = F.col("d") == F.col("first")
+    here = (F.col("t") == F.col("first_t")) & (F.floor(F.col("place") / SHARD) == F.col("block"))
+    return F.when(own & here, _REFERENCE).when(own, _OWN).otherwise(_STREAMED)
+
+
+def _past_automata(passages: DataFrame, window: int, step: int) -> DataFrame:
+    """Send each passage to its shard: references to all of its tasks, others to one of them."""
+    copies = F.expr("sequence(0, shiftleft(1, level) - 1)")
+    one = F.expr("array(cast(xxhash64(d, t) & (shiftleft(1L, level) - 1) AS int))")
+    unit = [*_SHARD, "copy"]
+    return (
+        passages.withColumn("copy", F.explode(F.when(F.col("kind") == _REFERENCE, copies).otherwise(one)))
+        .repartition(*unit)
+        .sortWithinPartitions(*unit, "kind")
+        .mapInArrow(_stream(window, step), _FOUND)
     )
-    fields = ("lo", "n", "place", "first", "first_place", "level")
+
+
+def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Windows of each document that also start in a document with a smaller id.
+
+    One row per id and text that has some: d (id, null as the largest number), t (hash of the
+    text), spans (array of start and number of consecutive windows). Equal rows share one.
+    """
+    texts = docs.select(key_of().alias("d"), F.xxhash64("text").alias("t"), "text")
+    anchors = store(
+        texts.mapInArrow(_anchors(window), "h long, d long, t long, place int, lo int, n int"), "anchors"
+    )
+    shared = store(_shared(anchors), "shared")
+    fields = ("lo", "n", "kind", *_SHARD)
     # Equal rows are looked at once, so that no list and no shard grows with their number.
     by_document = (
-        anchors.join(shared, "h").groupBy("d", "t").agg(F.collect_set(F.struct(*fields)).alias("anchors"))
-    )
+        anchors.join(shared, "h").withColumn("kind", _kind())
+        .groupBy("d", "t").agg(F.collect_set(F.struct(*fields)).alias("anchors"))
+    )
     once = texts.dropDuplicates(["d", "t"])
     passages = once.join(by_document, ["d", "t"]).mapInArrow(_passages(window), _PASSAGE)
-    unit = ["shard", "block", "level", "copy"]
-    found = store(
-        passages.repartition(*unit).sortWithinPartitions(*unit, "kind").mapInArrow(_stream(window), _FOUND),
-        "matched",
-    )
-    hashed = found.filter(F.col("kind") == _HASHED).select("a", "b", "d", "t", "start")
-    earliest = store(
-        hashed.groupBy("a", "b").agg(F.min("d").alias("first"), F.max("d").alias("last"))
-        .filter("first < last").select("a", "b", "first"),
-        "loose",
-    )
-    loose = hashed.join(earliest, ["a", "b"]).filter("first < d").select("d", "t", "start", F.lit(1).alias("n"))
-    return (
-        found.filter(F.col("kind") == _MATCHED).select("d", "t", "start", "n").unionByName(loose)
-        .groupBy("d", "t").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    )
+    last = len(anchor_widths(window)) - 1
+    found = []
+    for step in count(1):
+        found.append(store(_past_automata(passages, window, min(step, last)), "matched"))
+        left = found[-1].filter(F.col("kind") == _MISSED).drop("kind")
+        shared = store(_shared(left), "shared")
+        if shared.isEmpty():  # in the round of whole runs: unless hashes of two are equal
+            break
+        passages = left.join(shared, "h").withColumn("kind", _kind()).select(*_ARROW.names)
+    matched = reduce(DataFrame.unionByName, found).filter(F.col("kind") == _MATCHED)
+    spans = F.collect_list(F.struct(F.col("lo").alias("start"), "n"))
+    return matched.groupBy("d", "t").agg(spans.alias("spans"))
 
 
 def _cut(window: int, schema: pa.Schema):

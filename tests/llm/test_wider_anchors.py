@@ -1,0 +1,70 @@
+"""Rounds of substring dedup: anchors that widen until they are whole runs."""
+
+import random
+
+import numpy as np
+import pytest
+
+from tallystream.llm import substrings
+from tallystream.llm.substrings import anchor_widths, cut_repeats, minimizers, wider_anchors
+from test_llm import removed_by_hand
+
+DOCS = "doc_id long, text string"
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 7, 50])
+def test_equal_windows_have_equal_anchors_inside_them(window):
+    numbers = np.random.default_rng(0).integers(0, 3, 400).astype(np.uint64)
+    windows = np.arange(len(numbers) - window + 1)
+    assert anchor_widths(window)[-1] == window
+    for step, width in enumerate(anchor_widths(window)):
+        seen = {}
+        h, place, first, n = wider_anchors(numbers, windows, window, step, 10)
+        assert n.sum() == len(windows)
+        for x, p, f, size in zip(h, place - 10, first - 10, n, strict=True):
+            assert f <= p <= p + width <= f + window
+            for i in range(f, f + size):
+                assert seen.setdefault(tuple(numbers[i : i + window]), x) == x
+
+
+def test_texts_that_repeat_themselves_have_few_anchors():
+    numbers = np.tile(np.array([1, 2], np.uint64), 5_000)
+    row, _, place, lo, n = minimizers(numbers, np.array([0, 5_000, 10_000]), 50)
+    assert list(row) == [0, 0, 1, 1] and n.sum() == 2 * 4_951
+    assert list(place // substrings.SHARD) == [0, 1, 0, 1] and list(lo) == [0, 4_095, 0, 4_095]
+
+
+def some_words(rng, n):
+    return " ".join(f"w{rng.randrange(5_000)}" for _ in range(n))
+
+
+def repeated_lines():
+    """A line once in the first document and six times in each other, with other surroundings."""
+    rng = random.Random(3)
+    line = some_words(rng, 15)
+    tails = [some_words(rng, 70) for _ in range(4)]
+    rows = [(0, f"{some_words(rng, 60)} {line} {some_words(rng, 60)}")]
+    for d in range(1, 60):
+        rows.append((d, " ".join(f"{line} {rng.choice(tails)}" for _ in range(6))))
+    return rows
+
+
+def one_word():
+    return [(d, " ".join(["a"] * (200 + 40 * (d % 3)))) for d in range(9)] + [(9, "b " + "a " * 300 + "c")]
+
+
+def texts_of_one_id():
+    rng = random.Random(4)
+    shared = some_words(rng, 80)
+    return [(7, f"{some_words(rng, 20)} {shared} {i}") for i in range(40)] + [(8, f"x {shared} y"), (6, some_words(rng, 90))]
+
+
+@pytest.mark.parametrize("rows", [repeated_lines(), one_word(), texts_of_one_id()], ids=["lines", "word", "id"])
+def test_every_round_against_brute_force(spark, rows, monkeypatch):
+    monkeypatch.setattr(substrings, "SHARD", 64)
+    monkeypatch.setattr(substrings, "PER_COPY", 4)
+    cut = cut_repeats(spark.createDataFrame(rows, DOCS).repartition(5))
+    got = [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for r in cut.collect()]
+    want = removed_by_hand(rows, 50)
+    assert sorted(got, key=str) == want
+    assert sum(r[2] for r in want) > 60
